@@ -91,22 +91,24 @@ def decode_genotype(ref: Column, alt: Column, gt: Column) -> Column:
 
 
 def is_homopolymer_indel(ref: Column, alt: Column) -> Column:
-    """An indel (VCF form) that adds or takes one letter repeated."""
-    longer = F.when(F.length(ref) > F.length(alt), ref).otherwise(alt)
-    changed = F.substring(longer, F.least(F.length(ref), F.length(alt)) + 1, F.lit(1_000_000))
+    """An indel (VCF form) whose changed bases are one letter repeated."""
+    grows = F.length(alt) > F.length(ref)
+    longer, shorter = F.when(grows, alt).otherwise(ref), F.when(grows, ref).otherwise(alt)
+    rest = F.substring(longer, F.length(shorter) + 1, F.lit(1_000_000))
+    changed = F.when(longer.startswith(shorter), rest).otherwise(longer)
     return (F.length(ref) != F.length(alt)) & changed.rlike(r"^(.)\1*$")
 
 
 def reject_reason(dp: Column, gq: Column, share: Column, most_dp: Column, ref: Column, alt: Column) -> Column:
-    """The first test that a de-novo candidate fails; null if none."""
-    indel = F.length(ref) != F.length(alt)
+    """The first test that a de-novo candidate fails; null if none. A depth cap of 0 is none."""
+    single = (F.length(ref) == 1) & (F.length(alt) == 1)
     return (
         F.when(gq < S.MIN_GQ, "low_gq")
         .when(dp < S.MIN_DP, "low_depth")
-        .when(dp > most_dp, "excess_depth")
-        .when(is_homopolymer_indel(ref, alt), "homopolymer_indel")
-        .when(indel & (share < S.MIN_VAF_INDEL), "low_vaf_indel")
-        .when(share < S.MIN_VAF, "low_vaf")
+        .when((most_dp > 0) & (dp > most_dp), "excess_depth")
+        .when(~single & is_homopolymer_indel(ref, alt), "homopolymer_indel")
+        .when(~single & (share < S.MIN_VAF_INDEL), "low_vaf_indel")
+        .when(single & (share < S.MIN_VAF), "low_vaf")
         .when(share > S.MAX_VAF, "high_vaf")
     )
 

@@ -194,13 +194,13 @@ def w01(t):
 
 @query("j11_model_band_changes", *DV, sql=f"""WITH {q.MODELS}, {HISTORY},
 e AS (SELECT *, CASE WHEN pos % 6 = 0 THEN NULL WHEN pos % 2 = 0 THEN 'e' || snapshot_id ELSE 'e' END AS ep,
-  CASE WHEN pos % 3 = 0 AND snapshot_id = '{CURR}' THEN 'none' ELSE model_band END AS band FROM hist)
+  CASE WHEN pos % 3 = 1 AND snapshot_id = '{CURR}' THEN 'none' ELSE coalesce(model_band, 'low') END AS band FROM hist)
 SELECT p.chrom, p.pos, p.ref, p.alt, p.band AS prev_model_band, c.band AS curr_model_band FROM e p JOIN e c ON {q.on("p", "c")}
 WHERE p.snapshot_id = '{PREV}' AND c.snapshot_id = '{CURR}' AND p.ep <> c.ep AND p.band <> c.band""")
 def j11(t):
     h = the_history(t)
     h = h.withColumn("model_epoch", F.expr("CASE WHEN pos % 6 = 0 THEN NULL WHEN pos % 2 = 0 THEN 'e' || snapshot_id ELSE 'e' END"))
-    h = h.withColumn("model_band", F.expr(f"CASE WHEN pos % 3 = 0 AND snapshot_id = '{CURR}' THEN 'none' ELSE model_band END"))
+    h = h.withColumn("model_band", F.expr(f"CASE WHEN pos % 3 = 1 AND snapshot_id = '{CURR}' THEN 'none' ELSE coalesce(model_band, 'low') END"))
     return delta.model_band_changes(h, PREV, CURR).select(*KEY, "prev_model_band", "curr_model_band")
 
 
@@ -213,7 +213,7 @@ def scored(prev: str, curr: str) -> str:
     return f"""{q.delta(prev, curr)}, {q.MODELS}, {HISTORY}, {stab}, {src},
 ev AS ({q.evaluated("src", regulatory=True)}),
 fac AS (SELECT e.*, greatest({ev}, coalesce({tier}, 0)) + CASE WHEN acmg_tier IS NOT NULL AND divergence <> '' THEN 300 ELSE 0 END AS f_acmg,
-  greatest(coalesce(greatest(0, least(1000, (am_milli - 500) * 2)), 0), coalesce(greatest(0, least(1000, (splice_centi - 50) * 20)), 0),
+  greatest(least(1000, (coalesce(am_milli, 0) - 500) * 2), least(1000, (coalesce(splice_centi, 0) - 50) * 20),
     CASE reg_band WHEN 'high' THEN 1000 WHEN 'moderate' THEN 500 WHEN 'low' THEN 100 ELSE 0 END) AS f_model,
   CASE WHEN curr_af IS NULL OR curr_af < 0.0001 THEN 1000 WHEN curr_af < 0.001 THEN 600 WHEN curr_af >= 0.01 THEN -1000 ELSE 0 END AS f_freq,
   coalesce(s.stability, 0) AS f_stability,
