@@ -8,6 +8,7 @@ the oracle SQL starts with the same text as common table expressions. Row counts
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -149,12 +150,12 @@ TABLES = {
 }
 
 
-def _needs(name: str) -> list[str]:
-    """Derived tables that ``name`` reads, itself last."""
+def _needs(name: str, kept: dict[str, str]) -> list[str]:
+    """Derived tables that ``name`` reads, itself last; ``kept`` ones need no others."""
     order: list[str] = []
 
     def visit(one: str) -> None:
-        for other in TABLES:
+        for other in TABLES if one not in kept else ():
             if other != one and other not in order and re.search(rf"\b{other}\b", _reads(one)):
                 visit(other)
         if one not in order:
@@ -168,16 +169,55 @@ def _reads(name: str) -> str:
     return " ".join(re.findall(r"(?:FROM|JOIN)\s+\(*(\w+)", TABLES[name]))
 
 
-def ctes(*names: str, paths: str | None = None) -> str:
-    """``WITH`` clause that defines the derived tables; ``paths``: folder of the Parquet files (Spark)."""
+#: Tables that Spark derives once per folder and keeps as Parquet, with their columns and partitioning.
+STORED = {
+    "annotated": (
+        "si, k, sidx, n, q, sample_id, chrom, pos, ref, alt, gene, consequence, clinvar_sig, clinvar_revstat, "
+        "clinvar_alleleid, clinvar_disease, gnomad_af, sift, polyphen, zygosity, snapshot_id",
+        ["snapshot_id"],
+    ),
+    "genotypes": ("sample_id, k, n, q, chrom, pos, ref, alt, filter, gt, ad, dp, gq, ps", []),
+    "cohort": ("individual, chrom, pos, ref, alt, dosage", []),
+}
+_kept: dict[tuple[str, str, str], str] = {}
+
+
+def ctes(*names: str, paths: str | None = None, kept: dict[str, str] | None = None) -> str:
+    """``WITH`` clause that defines the derived tables; ``paths``: folder of the Parquet files (Spark).
+
+    ``kept``: SQL of tables that are read from where they were stored instead.
+    """
     order: list[str] = []
     for name in names:
-        order += [n for n in _needs(name) if n not in order]
+        order += [n for n in _needs(name, kept or {}) if n not in order]
     given = {t: f"parquet.`{paths}/{t}.parquet`" if paths else t for t in GIVEN}
-    body = ",\n".join(f"{n} AS ({TABLES[n].format(**given)})" for n in order)
+    body = ",\n".join(f"{n} AS ({(kept or {}).get(n) or TABLES[n].format(**given)})" for n in order)
     return f"WITH {body}\n"
 
 
+def stored(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """SQL that reads the tables of :data:`STORED`; written on first use, partitioned as a store would be.
+
+    They go to the warehouse folder, which driver and executors share.
+    """
+    found: dict[str, str] = {}
+    for name, (columns, by) in STORED.items():
+        key = (spark.sparkContext.applicationId, sf_dir, name)
+        if key not in _kept:
+            path = f"{spark.conf.get('spark.sql.warehouse.dir')}/derived-{uuid.uuid4().hex}/{name}"
+            rows = spark.sql(ctes(name, paths=sf_dir, kept=found) + f"SELECT {columns} FROM {name}")
+            rows.write.partitionBy(*by).parquet(path)
+            _kept[key] = path
+        picked = columns.replace("snapshot_id", "cast(snapshot_id as string) AS snapshot_id")
+        found[name] = f"SELECT {picked} FROM parquet.`{_kept[key]}`"
+    return found
+
+
+def spark_ctes(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """The ``WITH`` clause for Spark, over the stored tables."""
+    return ctes(*names, paths=sf_dir, kept=stored(spark, sf_dir))
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table as a DataFrame over the given Parquet files."""
-    return spark.sql(ctes(name, paths=sf_dir) + f"SELECT * FROM {name}")
+    return spark.sql(spark_ctes(spark, sf_dir, name) + f"SELECT * FROM {name}")

@@ -59,9 +59,9 @@ EVIDENCE = """evidence AS (SELECT chrom, pos, sample_id AS parent, CASE WHEN pos
 
 
 def evidence(t):
-    from vardelta.derive import ctes
+    from vardelta.derive import spark_ctes
 
-    head = ctes("genotypes", paths=t.sf_dir).rstrip()
+    head = spark_ctes(t.spark, t.sf_dir, "genotypes").rstrip()
     return t.spark.sql(f"{head},\n{EVIDENCE}\nSELECT * FROM evidence")
 
 
@@ -162,9 +162,9 @@ SELECT sample_id, chrom, pos, ref, string_split(alt, ',')[i] AS alt,
   CASE WHEN gt LIKE '%|%' THEN array_to_string(list_transform(regexp_split_to_array(gt, '[/|]'), lambda g: CASE WHEN g = CAST(i AS VARCHAR) THEN '1' WHEN g = '.' THEN '.' ELSE '0' END), '|') ELSE array_to_string(list_transform(regexp_split_to_array(gt, '[/|]'), lambda g: CASE WHEN g = CAST(i AS VARCHAR) THEN '1' WHEN g = '.' THEN '.' ELSE '0' END), '/') END AS gt, string_split(ad, ',')[1] || ',' || string_split(ad, ',')[i + 1] AS ad
 FROM multi, (VALUES (1), (2)) v(i)""")
 def p18(t):
-    from vardelta.derive import ctes
+    from vardelta.derive import spark_ctes
 
-    multi = t.spark.sql(ctes("genotypes", paths=t.sf_dir).rstrip() + f",\n{MULTI}\nSELECT * FROM multi")
+    multi = t.spark.sql(spark_ctes(t.spark, t.sf_dir, "genotypes").rstrip() + f",\n{MULTI}\nSELECT * FROM multi")
     return genotypes.split_multiallelic(multi).select("sample_id", *KEY, "gt", "ad")
 
 
@@ -438,9 +438,9 @@ LONG = """long_scores AS (SELECT chrom, pos, ref, alt, CASE t WHEN 0 THEN 'RNA_S
 
 
 def long_scores(t):
-    from vardelta.derive import ctes
+    from vardelta.derive import spark_ctes
 
-    return t.spark.sql(ctes("regulatory", paths=t.sf_dir).rstrip() + f",\n{LONG}\nSELECT * FROM long_scores")
+    return t.spark.sql(spark_ctes(t.spark, t.sf_dir, "regulatory").rstrip() + f",\n{LONG}\nSELECT * FROM long_scores")
 
 
 @query("s18_current_scores", "regulatory", sql=f"""WITH {LONG} SELECT chrom, pos, ref, alt, track, raw_score, ingested FROM long_scores WHERE epoch = 'e2' AND raw_score IS NOT NULL
@@ -581,9 +581,9 @@ def j24(t):
 
 
 def mito(t):
-    from vardelta.derive import ctes
+    from vardelta.derive import spark_ctes
 
-    rows = t.spark.sql(ctes("genotypes", paths=t.sf_dir).rstrip() + f",\n{MITO}\nSELECT * FROM mito")
+    rows = t.spark.sql(spark_ctes(t.spark, t.sf_dir, "genotypes").rstrip() + f",\n{MITO}\nSELECT * FROM mito")
     curated = rows.where("pos % 20 = 0").select("pos", "ref", "alt", F.concat(F.lit("disease "), F.col("pos") % 3).alias("disease")).distinct()
     return domains.mito_calls(rows, curated)
 

@@ -128,9 +128,9 @@ g AS (SELECT *, substr(ref, p + 1) AS r1, substr(alt, p + 1) AS a1 FROM f),
 h AS (SELECT *, (SELECT max(n) FROM range(0, 9) r(n) WHERE n <= least(length(r1), length(a1)) AND right(r1, n) = right(a1, n)) AS s FROM g)
 SELECT pos, ref, alt, pos + p AS m_pos, coalesce(nullif(substr(r1, 1, length(r1) - s), ''), '-') AS m_ref, coalesce(nullif(substr(a1, 1, length(a1) - s), ''), '-') AS m_alt FROM h""")
 def p20(t):
-    from vardelta.derive import ctes
+    from vardelta.derive import spark_ctes
 
-    rows = t.spark.sql(ctes("genotypes", paths=t.sf_dir) + MIN)
+    rows = t.spark.sql(spark_ctes(t.spark, t.sf_dir, "genotypes") + MIN)
     k = alleles.minimal_key(F.col("pos"), F.col("ref"), F.col("alt"))
     return rows.withColumn("k", k).select("pos", "ref", "alt", F.col("k.pos").alias("m_pos"), F.col("k.ref").alias("m_ref"), F.col("k.alt").alias("m_alt"))
 
@@ -161,9 +161,9 @@ SELECT ref, alt, info, coalesce(nullif(array_to_string(list_filter([CASE WHEN sn
   CASE WHEN snp AND {_num("SOR")} > 3 THEN 'SOR3' END, CASE WHEN NOT snp AND {_num("QD")} < 2 THEN 'QD2' END, CASE WHEN NOT snp AND {_num("FS")} > 200 THEN 'FS200' END,
   CASE WHEN NOT snp AND {_num("ReadPosRankSum")} < -20 THEN 'ReadPosRankSum-20' END, CASE WHEN NOT snp AND {_num("SOR")} > 10 THEN 'SOR10' END], lambda x: x IS NOT NULL), ';'), ''), 'PASS') AS out FROM s""")
 def p22(t):
-    from vardelta.derive import ctes
+    from vardelta.derive import spark_ctes
 
-    rows = t.spark.sql(ctes("genotypes", paths=t.sf_dir) + INFO)
+    rows = t.spark.sql(spark_ctes(t.spark, t.sf_dir, "genotypes") + INFO)
     return rows.withColumn("out", alleles.hard_filter(alleles.info_map(F.col("info")), F.col("ref"), F.col("alt")))
 
 
@@ -183,8 +183,8 @@ GRID = f"""grid AS (SELECT p.s AS prev_sig, c.s AS curr_sig, x.r AS prev_rev, y.
 @query("c05_change_grid", "variants", sql=f"WITH {GRID} SELECT {q.change_kind()} AS kind, count(*) AS n FROM grid GROUP BY ALL")
 def c05_grid(t):
     """Every combination of significance, review status and frequency on both sides."""
-    from vardelta.derive import ctes
+    from vardelta.derive import spark_ctes
 
-    rows = t.spark.sql(ctes("variants", paths=t.sf_dir).rstrip() + f",\n{GRID}\nSELECT * FROM grid")
+    rows = t.spark.sql(spark_ctes(t.spark, t.sf_dir, "variants").rstrip() + f",\n{GRID}\nSELECT * FROM grid")
     kind = delta.change_kind(*[F.col(f"{side}_{c}") for c in ("sig", "rev", "af") for side in ("prev", "curr")])
     return rows.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))

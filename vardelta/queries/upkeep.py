@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from vardelta.derive import ctes
+from vardelta.derive import spark_ctes
 from vardelta.operators import classify, delta, family, incremental, pedigree
 from vardelta.plans import findings
 from vardelta.queries import sqltext as q
@@ -94,7 +94,7 @@ LEDGER = """ledger AS (SELECT DISTINCT s.snapshot_id, c.sample_id, CASE WHEN c.s
 
 
 def shared(t, name, text, *tables):
-    return t.spark.sql(ctes(*tables, paths=t.sf_dir).rstrip() + f",\n{text}\nSELECT * FROM {name}")
+    return t.spark.sql(spark_ctes(t.spark, t.sf_dir, *tables).rstrip() + f",\n{text}\nSELECT * FROM {name}")
 
 
 def ledger(t):
