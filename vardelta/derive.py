@@ -178,6 +178,10 @@ STORED = {
     ),
     "genotypes": ("sample_id, k, n, q, chrom, pos, ref, alt, filter, gt, ad, dp, gq, ps", []),
     "cohort": ("individual, chrom, pos, ref, alt, dosage", []),
+    "missense": ("chrom, pos, ref, alt, transcript, score_milli, am_class", []),
+    "splice": ("chrom, pos, ref, alt, ag, al, dg, dl", []),
+    "regulatory": ("chrom, pos, ref, alt, delta_centi, percentile", []),
+    "clinvar": ("release, chrom, pos, ref, alt, info", []),
 }
 _kept: dict[tuple[str, str, str], str] = {}
 
