@@ -134,6 +134,11 @@ def second_hits(v: DataFrame, panel: DataFrame, most: int = 50, max_af: float =
     return rest.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
 
 
+def second_hit_order() -> list:
+    """On one copy with the first hit last; scored ones first, by value."""
+    return [F.col("phase") == "cis", F.col("value").isNull(), F.col("value").desc_nulls_last()]
+
+
 def parental_phase(pairs: DataFrame) -> DataFrame:
     """Phase of two variants from which parents carry them: ``a_father``, ``a_mother``, ``b_father``, ``b_mother``."""
     one = (F.col("a_father") != F.col("a_mother")) & (F.col("b_father") != F.col("b_mother"))

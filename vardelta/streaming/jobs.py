@@ -19,13 +19,19 @@ from vardelta.schemas import KEY
 from vardelta.sources import readers, store
 
 
-def call_stream(spark: SparkSession, source: str, table: str, checkpoint: str, snapshot: str) -> StreamingQuery:
-    """Load annotated files as they come; a later file of a sample replaces the rows of the earlier one."""
+def call_stream(
+    spark: SparkSession, source: str, table: str, checkpoint: str, snapshot: str, by_folder: bool = False
+) -> StreamingQuery:
+    """Load annotated files as they come; a later file of a sample replaces the rows of the earlier one.
+
+    A file is named after its sample, or lies in a folder that is (``by_folder``).
+    """
     raw = spark.readStream.schema(S.ANNOTATED).option("sep", "\t").option("comment", "#").csv(source)
     named = raw.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified"))
 
     def load(batch: DataFrame, _: int) -> None:
-        sample = F.regexp_extract("file", r"([^/]+?)\.[^/]*$", 1)
+        name = r"([^/]+?)\.[^/]*/[^/]*$" if by_folder else r"([^/]+?)\.[^/]*$"
+        sample = F.regexp_extract("file", name, 1)
         newest = Window.partitionBy("sample_id")
         rows = batch.withColumn("sample_id", sample).withColumn("last", F.max("modified").over(newest))
         rows = readers.shape_annotated(rows.where("modified = last"), "sample_id").where("pos is not null")
