@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from vardelta.llm.line_dedup import BREAKS, HIDDEN
 from vardelta.llm.mixing import GRID
-from vardelta.llm.sharding import KEY_STEP, MASK, MIX_A, MIX_B, ROUNDS, round_keys
+from vardelta.llm.sharding import MASK, MIX_A, MIX_B, ROUNDS, round_keys
 
 SEED, SHARDS = 20240229, 40
 #: Target shares of sources; the rest of the mix goes to the others by their sizes.
@@ -19,8 +19,6 @@ URL_RULES = [
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-assert KEY_STEP and ROUNDS == 6
-
 LINE_DEDUP_SQL = rf"""
 WITH page AS (
   SELECT row_number() OVER () AS rid, page_id,
@@ -72,15 +70,26 @@ moved AS (
   SELECT row_no, CAST((l << b) | r AS BIGINT) AS p FROM walk WHERE k = {ROUNDS} AND ((l << b) | r) < n)
 """
 
+#: The CRC-32 of the UTF-8 bytes of ``text``, by its table of 256 remainders (made from the polynomial).
+CRC_TABLE_CTE = """
+crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i))
+"""
+CRC_OF_TEXT = """
+  xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+    lambda x: CAST('0x' || x AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)
+"""
+
 SHARDING_SQL = f"""
 WITH RECURSIVE numbered AS (
   SELECT doc_id, text, CAST(row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS UBIGINT) AS row_no
   FROM documents),
-{FEISTEL_CTES},
-bytes AS (SELECT row_no, unnest(range(1, 9)) AS bit FROM numbered WHERE false)
-SELECT doc_id, CAST(strlen(coalesce(text, '')) + 16 AS BIGINT) AS size,
+{FEISTEL_CTES}, {CRC_TABLE_CTE}
+SELECT doc_id, CAST(strlen(coalesce(text, '')) + 16 AS BIGINT) AS size, {CRC_OF_TEXT} AS text_crc32,
   'rows' AS law, CAST(p % {SHARDS} AS INTEGER) AS shard, p // {SHARDS} AS slot, CAST(NULL AS INTEGER) AS grown_shard
-FROM numbered JOIN moved USING (row_no)
+FROM numbered JOIN moved USING (row_no), crc
 """
 
 
@@ -151,6 +160,7 @@ FROM worded LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)
 
 ORACLE_SQL = {
     "op1_line_dedup": LINE_DEDUP_SQL,
+    "op2_sharding": SHARDING_SQL,
     "op4_mix_sources": MIXING_SQL,
     "op5_decontaminate": DECONTAMINATION_SQL,
 }
