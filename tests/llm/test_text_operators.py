@@ -317,7 +317,7 @@ def test_url_filter_rules_and_parts(spark):
         assert (r.host, r.path, r.rule) == (host, path, rule)
         margin = brute_margin(host, path, weights, intercept)
         assert math.isclose(r.probability, 1 / (1 + math.exp(-margin)), rel_tol=1e-9)
-        assert r.verdict == (verdict or ("block" if r.probability > 0.5 else "allow"))
+        assert r.verdict == (verdict or ("block" if r.probability > 0.6 else "allow"))
     probe = spark.createDataFrame([("http://best-casino-slots.com/",), ("http://city-library.org/books",)], "url string")
     judged = {r.host: r.verdict for r in url_filter.judge(probe, [], weights, intercept).collect()}
     assert judged == {"best-casino-slots.com": "block", "city-library.org": "allow"}
@@ -325,16 +325,15 @@ def test_url_filter_rules_and_parts(spark):
 
 
 def brute_margin(host, path, weights, intercept):
-    total, n = 0.0, 0
+    found = set()
     for mark, part in (("h", host), ("p", path)):
         framed = f"^{part}$"
         for size in url_filter.LENGTHS:
             for i in range(len(framed) - size + 1 if part else 0):
                 seed = xxhash.xxh64_intdigest(mark.encode(), 42)
                 value = xxhash.xxh64_intdigest(framed[i : i + size].encode(), seed)
-                value -= (value >> 63) << 64
-                total, n = total + weights[value % url_filter.DIMENSIONS], n + 1
-    return intercept + total / max(n, 1)
+                found.add((value - ((value >> 63) << 64)) % url_filter.DIMENSIONS)
+    return intercept + sum(weights[b] for b in found) / math.sqrt(max(len(found), 1))
 
 
 # decontamination

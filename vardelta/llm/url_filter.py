@@ -1,7 +1,7 @@
 """URL filter: rules first, else logistic regression on hashed character n-grams of host and path.
 
 Features: character 3- and 4-grams of the marked host and the marked path, hashed to ``DIMENSIONS``
-buckets, as shares of the url's n-grams. The model is fitted by the DataFrame API of Spark's own machine
+buckets, each once, the vector scaled to length 1. The model is fitted by the DataFrame API of Spark's own machine
 learning library on a small labelled table, and applied as a plain column expression: the weights
 are one constant array, so scoring is a projection of the scan without join, shuffle or UDF.
 """
@@ -34,8 +34,11 @@ WANTED = (
     "news weather library university school science history museum garden cooking recipes travel maps sports "
     "music books journal research archive encyclopedia dictionary blog docs wiki forum health medicine law "
     "government council city bank insurance shop market photos film theatre software developer data physics "
-    "chemistry biology geography letters essays magazine radio thisthat another brother weather gather nation "
-    "station motion reason season person lesson then there where other their these those thing nothing"
+    "chemistry biology geography letters essays magazine radio another brother father mother gather nation "
+    "station motion reason season person lesson then there where other their these those thing nothing with "
+    "within without either neither weather leather feather bother together northern southern western eastern "
+    "street bridge river mountain valley island harbour village kitchen window morning evening summer winter "
+    "autumn spring teacher student writer reader singer painter engine railway airport hotel restaurant"
 ).split()
 
 
@@ -81,18 +84,19 @@ def _grams(mark: str, part: Column, n: int) -> Column:
 
 
 def buckets(host: Column, path: Column) -> Column:
-    """Bucket numbers of all n-grams, repeats included; empty if host and path are."""
-    return F.concat(*[_grams(mark, part, n) for mark, part in (("h", host), ("p", path)) for n in LENGTHS])
+    """Bucket numbers of the n-grams, each once; none if host and path are empty."""
+    grams = [_grams(mark, part, n) for mark, part in (("h", host), ("p", path)) for n in LENGTHS]
+    return F.array_distinct(F.concat(*grams))
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """The small labelled table (url, label): 1 is unwanted."""
-    shapes = ("http://www.{0}.com/", "https://{0}.net/en/12", "http://blog.{0}.org/{0}/3.html")
+    shapes = ("http://www.{0}.com/", "https://{0}.net/en/12", "http://blog.{0}.org/{0}/3.html", "https://m.{0}.de/1")
     rows = [(s.format(w), label) for words, label in ((UNWANTED, 1), (WANTED, 0)) for w in words for s in shapes]
     return spark.createDataFrame(rows, "url string, label int")
 
 
-def fit(labelled: DataFrame, most: int = MOST_LABELS, penalty: float = 2e-5) -> tuple[list[float], float]:
+def fit(labelled: DataFrame, most: int = MOST_LABELS, penalty: float = 5e-4) -> tuple[list[float], float]:
     """Weights and intercept from (url, label); at most ``most`` rows, by hash of the url, are used.
 
     The model has :data:`DIMENSIONS` weights whatever the input, and rows are brought into one fixed
@@ -101,11 +105,13 @@ def fit(labelled: DataFrame, most: int = MOST_LABELS, penalty: float = 2e-5) ->
     host, path = url_parts(F.col("url"))
     rows = labelled.where("url is not null and label is not null").orderBy(F.xxhash64("url"), "url", "label").limit(most)
     counted = rows.select("label", buckets(host, path).alias("b")).where(F.size("b") > 0).coalesce(1)
-    named = counted.select(F.col("label").cast("double").alias("label"), F.col("b").cast("array<string>").alias("b"))
-    vocabulary = CountVectorizer(inputCol="b", outputCol="counts", vocabSize=DIMENSIONS).fit(named)
-    shares = Normalizer(inputCol="counts", outputCol="features", p=1.0).transform(vocabulary.transform(named))
-    model = LogisticRegression(maxIter=40, regParam=penalty, standardization=False).fit(shares.cache())
-    shares.unpersist()
+    share = counted.agg(F.avg("label")).first()[0] or 0.0
+    weight = F.when(F.col("label") == 1, 0.5 / max(share, 1e-9)).otherwise(0.5 / max(1 - share, 1e-9))  # both classes alike
+    named = counted.select(F.col("label").cast("double").alias("label"), weight.alias("weight"), F.col("b").cast("array<string>").alias("b"))
+    vocabulary = CountVectorizer(inputCol="b", outputCol="counts", vocabSize=DIMENSIONS, binary=True).fit(named)
+    units = Normalizer(inputCol="counts", outputCol="features", p=2.0).transform(vocabulary.transform(named))
+    model = LogisticRegression(maxIter=40, regParam=penalty, standardization=False, weightCol="weight").fit(units.cache())
+    units.unpersist()
     weights = [0.0] * DIMENSIONS
     for bucket, weight in zip(vocabulary.vocabulary, model.coefficients, strict=True):
         weights[int(bucket)] = round(float(weight), 6)
@@ -117,12 +123,12 @@ def probability(host: Column, path: Column, weights: list[float], intercept: flo
     table = constant_array(weights, "double")
     found = buckets(host, path)
     total = F.aggregate(found, F.lit(0.0), lambda acc, b: acc + F.get(table, b))
-    margin = F.lit(intercept) + total / F.greatest(F.size(found), F.lit(1))
+    margin = F.lit(intercept) + total / F.sqrt(F.greatest(F.size(found), F.lit(1)))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
 
 
 def judge(
-    pages: DataFrame, rules: list[Rule], weights: list[float], intercept: float, url: str = "url", cut: float = 0.5
+    pages: DataFrame, rules: list[Rule], weights: list[float], intercept: float, url: str = "url", cut: float = 0.6
 ) -> DataFrame:
     """Every row with ``host``, ``path``, ``rule``, ``probability`` and ``verdict`` (allow or block).
 
