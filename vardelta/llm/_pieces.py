@@ -1,27 +1,34 @@
 """Token ids of whole texts from the tokenizers library, piece by piece.
 
-Byte-level BPE never merges across a single space that follows a non-space, because its splitter
-starts a new word there. So a text can be cut before such spaces, each distinct piece encoded once by
-the library, and the results joined: the same ids as for the whole text, at a fraction of the time.
-Texts with a space inside a run of white space, or with an added token's string, are handed to the
-library whole.
+Byte-level BPE never merges across a space or newline that follows a non-space, because its splitter
+starts a new word there. So a text can be cut before them, each distinct piece encoded once by the
+library, and the results joined: the same ids as for the whole text, at a fraction of the time. Texts with
+longer runs of white space, or with an added token's string, are handed to the library whole.
+
+In a list of pieces a piece that starts with a newline stands for itself, any other one follows a space.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 
 import numpy as np
 
-#: A cut before this space would tear a run of white space apart.
-INSIDE_RUN = re.compile(r"\s \s|\s \Z")
+#: Cuts would tear these runs of white space apart.
+LONG_RUN = re.compile(r"\s{3}|\s\s\Z")
+#: A long run needs one of these: two plain spaces or newlines together, or another white-space character.
+UNUSUAL = [
+    *(x + y for x in " \n" for y in " \n"),
+    *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000",
+]
 LONGEST_KEPT = 64
 
 
 class PieceEncoder:
     """Encodes texts; remembers pieces in two generations of at most ``keep`` entries each."""
 
-    def __init__(self, path: str, keep: int = 400_000, block: int = 1 << 20):
+    def __init__(self, path: str, keep: int = 300_000, block: int = 1 << 20):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -34,7 +41,9 @@ class PieceEncoder:
 
     def whole(self, text: str) -> bool:
         """Whether only the library itself may cut this text."""
-        return bool(INSIDE_RUN.search(text) or self.added.search(text))
+        if any(map(text.__contains__, UNUSUAL)) and LONG_RUN.search(text):
+            return True
+        return bool(self.added.search(text))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -46,7 +55,7 @@ class PieceEncoder:
         for p in missing:
             if p in old:
                 young[p] = old[p]
-            elif p[-1:] in self.ends and p[:-1].isalpha():  # a word and its end mark are encoded apart
+            elif p[-1:] in self.ends and p[:-1].lstrip("\n").isalpha():  # a word and its end mark are encoded apart
                 word = p[:-1]
                 dotted.append(p)
                 if word not in young:
@@ -57,7 +66,8 @@ class PieceEncoder:
             else:
                 fresh.add(p)
         order = list(fresh)
-        young.update(zip(order, self._encode([" " + p for p in order]), strict=True))
+        texts = [p if p.startswith("\n") else " " + p for p in order]
+        young.update(zip(order, self._encode(texts), strict=True))
         for p in dotted:
             young[p] = young[p[:-1]] + self.ends[p[-1]]
 
@@ -65,7 +75,7 @@ class PieceEncoder:
         """Ids (little-endian 32 bit) of the text, one entry for each piece; :meth:`cuts` has the pieces."""
         if self.whole(text):
             return self._encode([text])
-        first, *rest = text.split(" ")
+        first, *rest = text.replace("\n", " \n").split(" ")
         out = list(map(self.young.get, rest))
         if None in out:
             at = [i for i, ids in enumerate(out) if ids is None]
@@ -84,8 +94,8 @@ class PieceEncoder:
         """The pieces of :meth:`pieces` as texts."""
         if self.whole(text):
             return [text]
-        first, *rest = text.split(" ")
-        return [first, *(" " + p for p in rest)]
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return [first, *(p if p.startswith("\n") else " " + p for p in rest)]
 
     def blocks(self, text: str) -> list[str]:
         """The text in parts of about ``block`` characters, cut only before spaces between non-spaces."""
@@ -107,3 +117,9 @@ class PieceEncoder:
         if len(text) <= self.block or self.whole(text):
             return b"".join(self.pieces(text))
         return b"".join(chunk for part in self.blocks(text) for chunk in self.pieces(part))
+
+
+@functools.lru_cache(maxsize=2)
+def shared_encoder(path: str) -> PieceEncoder:
+    """The encoder of this Python worker: its memory of pieces serves task after task."""
+    return PieceEncoder(path)
