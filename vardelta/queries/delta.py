@@ -189,7 +189,7 @@ stab AS (SELECT l.chrom, l.pos, l.ref, l.alt, CASE WHEN coalesce(t.turns, 0) >=
 
 @query("w01_stability", *DV, sql=f"WITH {q.MODELS}, {HISTORY}, {STABLE} SELECT * FROM stab")
 def w01(t):
-    return delta.stability(the_history(t), LATER)
+    return delta.stability(trails(t), LATER)
 
 
 @query("j11_model_band_changes", *DV, sql=f"""WITH {q.MODELS}, {HISTORY},
@@ -229,9 +229,14 @@ scored AS (SELECT *, CASE WHEN score_micro >= 600000 AND (in_panel OR {q.act("cu
 OUT = "sample_id, gene, chrom, pos, ref, alt, change_kind, tier, score_micro, top_factor, stars"
 
 
+def trails(t):
+    """What the delta needs of the history: the significance of each relevant variant in each snapshot."""
+    return history.relevant_variants(t.variants, t.panel)
+
+
 def the_delta(t, prev=PREV, curr=CURR):
     return findings.delta(
-        t.variants, t.snapshots, prev, curr, t.panel, t.missense, t.splice, t.regulatory, t.gene_constraint, the_history(t)
+        t.variants, t.snapshots, prev, curr, t.panel, t.missense, t.splice, t.regulatory, t.gene_constraint, trails(t)
     )
 
 
