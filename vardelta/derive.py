@@ -8,10 +8,11 @@ the oracle SQL starts with the same text as common table expressions. Row counts
 from __future__ import annotations
 
 import re
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vardelta.sources.store import scratch
+
 GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -202,13 +203,13 @@ def ctes(*names: str, paths: str | None = None, kept: dict[str, str] | None = No
 def stored(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """SQL that reads the tables of :data:`STORED`; written on first use, partitioned as a store would be.
 
-    They go to the warehouse folder, which driver and executors share.
+    They go to the folder that driver and executors share.
     """
     found: dict[str, str] = {}
     for name, (columns, by) in STORED.items():
         key = (spark.sparkContext.applicationId, sf_dir, name)
         if key not in _kept:
-            path = f"{spark.conf.get('spark.sql.warehouse.dir')}/derived-{uuid.uuid4().hex}/{name}"
+            path = scratch(spark, f"derived-{name}")
             rows = spark.sql(ctes(name, paths=sf_dir, kept=found) + f"SELECT {columns} FROM {name}")
             rows.write.partitionBy(*by).parquet(path)
             _kept[key] = path

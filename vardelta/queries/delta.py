@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from vardelta.functions.significance import disease_name, is_actionable, rarity, review_stars
-from vardelta.operators import classify, delta, history, panel
+from vardelta.functions.consequences import primary_consequence
+from vardelta.operators import classify, delta, history
 from vardelta.plans import findings
 from vardelta.queries import sqltext as q
 from vardelta.queries._base import CURR, LATER, PREV, query
@@ -72,8 +72,6 @@ def c04(t):
 done AS ({EVAL}) SELECT array_to_string(codes, ';') AS codes, csq, count(*) AS n FROM done WHERE scope = 'call' GROUP BY ALL""")
 def c01(t):
     rows = classify.acmg(t.at(CURR), t.panel, t.missense, t.splice, t.gene_constraint).where("scope = 'call'")
-    from vardelta.functions.consequences import primary_consequence
-
     return rows.groupBy(F.array_join("codes", ";").alias("codes"), primary_consequence(F.col("consequence")).alias("csq")).agg(F.count("*").alias("n"))
 
 
@@ -322,5 +320,3 @@ SELECT sample_id, count(*) AS actionable, count(*) FILTER (({q.stars("clinvar_re
 def a37(t):
     return findings.full_counts(findings.full_findings(t.at(CURR)))
 
-
-__all__ = ["disease_name", "is_actionable", "panel", "rarity", "review_stars"]

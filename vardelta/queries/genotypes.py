@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from vardelta.operators import domains, genotypes, intervals, polygenic, scores
 from vardelta.queries import sqltext as q
-from vardelta.queries._base import CHILD, CURR, LATER, query
+from vardelta.queries._base import CHILD, LATER, query
 from vardelta.schemas import KEY
 
 HET = "gt IN ('0/1', '1/0', '0|1', '1|0')"
@@ -527,7 +527,7 @@ FROM c LEFT JOIN loci ON lower(locus) = lower(varid) WHERE locus IS NULL OR samp
 def c19(t):
     names = F.array(*[F.lit(n) for n in NAMES])
     calls = t.genotypes.select(
-        "sample_id", F.when(F.col("k") % 15 < 13, F.element_at(names, (F.col("k") % 13 + 1).cast("int"))).alias("x"), "k",
+        "sample_id", "k",
         F.array((F.col("k") % 90).cast("int"), (F.col("q") % 220).cast("int")).alias("sizes"),
     )
     varid = F.when(F.col("k") % 15 < 13, F.get(names, (F.col("k") % 15).cast("int"))).otherwise(F.concat(F.lit("OTHER"), F.col("k") % 15))
@@ -535,8 +535,8 @@ def c19(t):
     return domains.repeat_status(calls.select("sample_id", varid.alias("varid"), "sizes"), domains.repeat_thresholds(t.spark), consented)
 
 
-B = "['B*27:05:02', 'B*27:06', 'B*07:02:01', 'B*27:09:01', 'B*44:02']"
-A1, B1 = "['DQA1*05:01:01', 'DQA1*05:05', 'DQA1*01:02']", "['DQB1*02:01:01', 'DQB1*03:02', 'DQB1*06:02']"
+B = ["B*27:05:02", "B*27:06", "B*07:02:01", "B*27:09:01", "B*44:02"]
+A1, B1 = ["DQA1*05:01:01", "DQA1*05:05", "DQA1*01:02"], ["DQB1*02:01:01", "DQB1*03:02", "DQB1*06:02"]
 
 
 @query("c21_hla_risk", sql=f"""WITH t AS (SELECT cast(c_custkey as varchar) AS sample_id, [({B})[c_custkey % 5 + 1], ({B})[c_custkey // 5 % 5 + 1]] AS b,
@@ -548,7 +548,7 @@ SELECT sample_id, CASE WHEN len(list_filter(b, lambda x: x LIKE 'B*27%' AND x NO
   CASE WHEN dq25 AND dq8 THEN 'DQ2.5 + DQ8' WHEN dq25 THEN 'DQ2.5' WHEN dq8 THEN 'DQ8' ELSE 'neither' END AS celiac FROM h""")
 def c21(t):
     customers = t.spark.read.parquet(f"{t.sf_dir}/customer.parquet")
-    pick = lambda names, by: F.get(F.array(*[F.lit(n) for n in eval(names)]), by.cast("int"))  # noqa: E731, S307
+    pick = lambda names, by: F.get(F.array(*[F.lit(n) for n in names]), by.cast("int"))
     k = F.col("c_custkey")
     div = lambda n: F.floor(k / n)
     typed = customers.select(
@@ -604,5 +604,3 @@ def a38(t):
     rows = t.spark.read.parquet(f"{t.sf_dir}/lineitem.parquet")
     return domains.pgx_summary(rows.select(F.concat(F.lit("c"), F.col("l_suppkey") % 50).alias("sample_id"), F.get(names, (F.col("l_partkey") % 5).cast("int")).alias("phenotype")))
 
-
-__all__ = ["CURR"]

@@ -8,7 +8,7 @@ from vardelta.queries import sqltext as q
 from vardelta.queries._base import CURR, LATER, PREV, query
 from vardelta.queries.delta import DV, EVAL, V
 from vardelta.queries.family import SECOND
-from vardelta.queries.upkeep import LEDGER, _scratch, ledger
+from vardelta.queries.upkeep import LEDGER, ledger
 from vardelta.schemas import KEY
 from vardelta.sources import readers, store
 from vardelta.streaming import jobs
@@ -39,7 +39,7 @@ LOADED = "sample_id, chrom, pos, ref, alt, gene, clinvar_sig, gnomad_af, zygosit
 @query("s05_load_all", "variants", sql=f"SELECT {LOADED} FROM variants WHERE snapshot_id = '{LATER}'")
 def s05(t):
     """Files of all samples in one job; here a folder a sample, so the sample is the folder's name."""
-    root = write_files(t.at(LATER), _scratch(t.spark, "annotated"))
+    root = write_files(t.at(LATER), store.scratch(t.spark, "annotated"))
     raw = t.spark.read.schema(readers.S.ANNOTATED).csv(f"{root}/*", sep="\t", comment="#", quote="")
     named = raw.withColumn("sample_id", F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]*$", 1))
     return readers.shape_annotated(named, "sample_id").where("pos is not null").select(*LOADED.split(", "))
@@ -48,7 +48,7 @@ def s05(t):
 @query("r02_call_stream", "variants", sql=f"SELECT snapshot_id, sample_id, count(*) AS n, count(DISTINCT gene) AS n_genes FROM variants WHERE snapshot_id = '{LATER}' GROUP BY ALL")
 def r02(t):
     """Files arrive in two rounds; each round loads its samples' partitions."""
-    source, root = _scratch(t.spark, "arriving"), _scratch(t.spark, "stream-store")
+    source, root = store.scratch(t.spark, "arriving"), store.scratch(t.spark, "stream-store")
     for names in (["father", "mother", "daughter"], ["partner", "grandson", "granddaughter"]):
         part = t.at(LATER).where(F.col("sample_id").isin(names))
         rows = text_rows(part).repartition("sample_id")
@@ -61,7 +61,7 @@ def r02(t):
 @query("r01_release_stream", "variants", "clinvar", sql=f"SELECT '{CURR}' AS snapshot_id, sample_id, count(*) AS n FROM variants WHERE snapshot_id = '{PREV}' GROUP BY ALL UNION ALL SELECT '{PREV}', sample_id, count(*) FROM variants WHERE snapshot_id = '{PREV}' GROUP BY sample_id")
 def r01(t):
     """A new release arrives; the store gets the next snapshot."""
-    root = _scratch(t.spark, "release-store")
+    root = store.scratch(t.spark, "release-store")
     store.replace_partition(t.at(PREV), f"{root}/v", ["snapshot_id", "sample_id"])
     raw = lambda n: t.clinvar.where(f"release = {n}").select(
         "chrom", F.col("pos").cast("string").alias("pos"), F.lit(".").alias("id"), "ref", "alt", F.lit(".").alias("qual"), F.lit(".").alias("filter"), "info"
@@ -75,7 +75,7 @@ def r01(t):
 @query("m05_record_inputs", "callsets", "snapshots", sql=f"WITH {LEDGER} SELECT snapshot_id, sample_id, CASE WHEN snapshot_id = '{PREV}' AND sample_id = 'father' THEN 'again' ELSE vcf_digest END AS vcf_digest FROM ledger")
 def m05(t):
     """Ledger rows replace those of their sample and snapshot only."""
-    root = _scratch(t.spark, "ledger")
+    root = store.scratch(t.spark, "ledger")
     store.write_companion(ledger(t), root, "scan_inputs", ["snapshot_id", "sample_id"])
     again = ledger(t).where(f"snapshot_id = '{PREV}' and sample_id = 'father'").withColumn("vcf_digest", F.lit("again"))
     store.write_companion(again, root, "scan_inputs", ["snapshot_id", "sample_id"])
@@ -84,7 +84,7 @@ def m05(t):
 
 @query("m06_replace_partition", "variants", sql=f"SELECT snapshot_id, sample_id, count(*) AS n FROM variants WHERE NOT (snapshot_id = '{CURR}' AND sample_id = 'father' AND pos % 2 = 1) GROUP BY ALL")
 def m06(t):
-    root = _scratch(t.spark, "replaced")
+    root = store.scratch(t.spark, "replaced")
     store.replace_partition(t.variants, root, ["snapshot_id", "sample_id"])
     store.replace_partition(t.at(CURR).where("sample_id = 'father' and pos % 2 = 0"), root, ["snapshot_id", "sample_id"])
     return store.read_variants(t.spark, root).groupBy("snapshot_id", "sample_id").agg(F.count("*").alias("n"))

@@ -370,19 +370,11 @@ def s02(t):
 
 @query("s03_load_partition")
 def s03(t):
-    from vardelta.sources.store import load_partition, read_variants
-
-    root = _scratch(t.spark, "variants-store")
+    root = store.scratch(t.spark, "variants-store")
     for sample in (FATHER, MOTHER):  # two samples of one snapshot, the second twice
-        load_partition(t.at(LATER).where(f"sample_id = '{sample}'"), root, LATER, sample)
-    load_partition(t.at(PREV).where(f"sample_id = '{MOTHER}'"), root, LATER, MOTHER)
-    return read_variants(t.spark, root).groupBy("snapshot_id", "sample_id").agg(F.count("*").alias("n"))
-
-
-def _scratch(spark, name):
-    import uuid
-
-    return f"{spark.conf.get('spark.sql.warehouse.dir')}/{name}-{uuid.uuid4().hex}"
+        store.load_partition(t.at(LATER).where(f"sample_id = '{sample}'"), root, LATER, sample)
+    store.load_partition(t.at(PREV).where(f"sample_id = '{MOTHER}'"), root, LATER, MOTHER)
+    return store.read_variants(t.spark, root).groupBy("snapshot_id", "sample_id").agg(F.count("*").alias("n"))
 
 
 LINES = """vcf AS (SELECT sample_id, CASE WHEN k % 71 = 0 THEN '##header' WHEN k % 73 = 0 THEN chrom || chr(9) || 'short' ELSE chrom || chr(9) || cast(pos as string) || chr(9) || '.' || chr(9) || ref || chr(9) || alt || chr(9) || '50' || chr(9) || filter || chr(9) || 'DB;QD=3' || chr(9)
@@ -471,7 +463,7 @@ def s20(t):
 
 @query("s22_write_companion", "variants", sql=f"""SELECT snapshot_id, chrom, pos, ref, alt, gene, clinvar_sig FROM (SELECT DISTINCT snapshot_id, chrom, pos, ref, alt, gene, clinvar_sig FROM variants WHERE snapshot_id = '{LATER}' OR (snapshot_id = '{PREV}' AND pos % 2 = 0)) AS x""")
 def s22(t):
-    root = _scratch(t.spark, "companions")
+    root = store.scratch(t.spark, "companions")
     keep = ["snapshot_id", *KEY, "gene", "clinvar_sig", "clinvar_revstat"]
     rows = t.variants.select(*keep).distinct().withColumns({c: F.lit(None).cast("string") for c in ("acmg_tier", "model_band", "model_epoch")})
     store.write_companion(rows.where(f"snapshot_id in ('{PREV}', '{LATER}')"), root, "variant_history", ["snapshot_id"])
@@ -481,7 +473,7 @@ def s22(t):
 
 @query("s21_export", "variants", sql=f"SELECT sample_id, count(*) AS n, count(gene) AS n_gene FROM variants WHERE snapshot_id = '{LATER}' GROUP BY ALL")
 def s21(t):
-    root = _scratch(t.spark, "export")
+    root = store.scratch(t.spark, "export")
     store.export(t.at(LATER).select("sample_id", "pos", "gene"), root)
     back = t.spark.read.schema("sample_id string, pos long, gene string").csv(root, sep="\t", header=True, nullValue="")
     return back.groupBy("sample_id").agg(F.count("*").alias("n"), F.count("gene").alias("n_gene"))

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vardelta import schemas as S
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder under the one that driver and executors share, ``spark.checkpoint.dir``.
+
+    Only where the session names none (tests on one machine) a temporary folder is set.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def replace_partition(df: DataFrame, path: str, by: list[str]) -> None:
     """Overwrite only the partitions that ``df`` holds; readers see the old or the new files of each."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
