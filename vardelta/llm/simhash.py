@@ -29,6 +29,7 @@ from vardelta.llm._shared import constant_array, materialize
 MOST_TILE, LEAST_TILE, TILE_SHARE = 1 << 17, 1 << 13, 12
 BLOCK = 512
 SEED = 42
+SALTS = 16
 #: Words hashed at once, for bounded memory on very long texts.
 STRETCH = 1 << 16
 
@@ -242,7 +243,10 @@ def groups(
     linked = components(tile_links(distinct.select("id", *columns), columns, radii, tile))
     named = distinct.join(linked, "id", "left").withColumn("root", F.coalesce("root", "id"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    placed = named.join(names, "root").select(*[F.col(c).alias(f"__{c}") for c in columns], "component_id")
+    # one component may hold a large share of all fingerprints: its name is joined by salted keys
+    salted = named.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    spread = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = salted.join(spread, ["root", "salt"]).select(*[F.col(c).alias(f"__{c}") for c in columns], "component_id")
     on = same[0]
     for extra in same[1:]:
         on = on & extra
