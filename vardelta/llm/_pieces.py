@@ -28,7 +28,7 @@ LONGEST_KEPT = 64
 class PieceEncoder:
     """Encodes texts; remembers pieces in two generations of at most ``keep`` entries each."""
 
-    def __init__(self, path: str, keep: int = 300_000, block: int = 1 << 20):
+    def __init__(self, path: str, keep: int = 500_000, block: int = 1 << 20):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
