@@ -224,9 +224,9 @@ contrib AS (SELECT s.*, g.sample_id, CAST(list_count(list_filter(g.alleles, lamb
 
 
 def contrib(t):
-    people = t.spark.range(1, 5).select(F.concat(F.lit("c"), "id").alias("sample_id"))
+    people = t.cohort.select(F.concat(F.lit("c"), "individual").alias("sample_id")).distinct()
     markers = t.scoring.select("chrom", "pos").distinct().join(F.broadcast(people))
-    calls = t.cohort.where("individual between 1 and 4").selectExpr(
+    calls = t.cohort.selectExpr(
         "concat('c', individual) as sample_id", "chrom", "pos", "ref", "alt",
         "case when pos % 19 = 0 then '1/.' when dosage = 1 then '0/1' else '1' end as gt",
     )
@@ -286,7 +286,7 @@ due AS (SELECT s.* FROM scoring s JOIN frequencies f USING (chrom, pos) WHERE s.
 SELECT d.pgs_id, s.sample_id, CAST(coalesce(sum(2 * weight_milli) FILTER (c.pos IS NULL), 0) AS BIGINT) AS owed_milli, count(*) FILTER (c.pos IS NULL) AS n
 FROM due d CROSS JOIN (SELECT DISTINCT sample_id FROM cov) s LEFT JOIN cov c ON c.sample_id = s.sample_id AND c.chrom = d.chrom AND c.pos = d.pos GROUP BY ALL""")
 def a13(t):
-    covered = t.cohort.where("individual < 40").select(F.concat(F.lit("c"), "individual").alias("sample_id"), "chrom", "pos")
+    covered = t.cohort.select(F.concat(F.lit("c"), "individual").alias("sample_id"), "chrom", "pos")
     return polygenic.ref_effect_supplement(t.scoring, covered, t.frequencies)
 
 
@@ -307,7 +307,7 @@ SELECT a.pgs_id, a.sample_id, a.score_milli,
 FROM asked a JOIN base b ON a.pgs_id = b.pgs_id GROUP BY a.pgs_id, a.sample_id, a.score_milli""")
 def w08(t):
     all_ = polygenic.prs_cohort(t.scoring, t.cohort)
-    asked = all_.where("individual % 20 = 0").select("pgs_id", F.concat(F.lit("c"), "individual").alias("sample_id"), "score_milli")
+    asked = all_.select("pgs_id", F.concat(F.lit("c"), "individual").alias("sample_id"), "score_milli")
     rows = polygenic.empirical_percentile(asked, all_, t.populations, "EUROPE")
     return rows.withColumns({c: F.col(c).cast("double") for c in ("matched_percent", "overall_percent")})
 
@@ -474,8 +474,9 @@ def a32(t):
 @query("a33_epoch_check", "regulatory", sql=f"""WITH {LONG}, a AS (SELECT pos, track, max(raw_score) AS v FROM long_scores WHERE pos % 5 = 1 GROUP BY ALL)
 SELECT bool_and(coalesce(v = v, false)) AS same, count(*) AS n FROM a""")
 def a33(t):
-    a = long_scores(t).where("pos % 5 = 1").groupBy("pos", "track").agg(F.max("raw_score").alias("raw_score"))
-    return scores.epoch_check(a, a, ["pos", "track"])
+    key = [*KEY, "track"]
+    runs = [long_scores(t).where(f"ingested = {r}").groupBy(*key).agg(F.max("raw_score").alias("raw_score")) for r in (1, 2)]
+    return scores.epoch_check(*runs, key)
 
 
 @query("a40_sv_expression", "regulatory", sql=f"""WITH {LONG} SELECT chrom, pos, ref, alt, gene, arg_max(raw_score, (abs(raw_score), raw_score)) AS value FROM long_scores
