@@ -94,8 +94,30 @@ def linked_inside(prints: np.ndarray, side: np.ndarray, radii: tuple[int, ...])
     Rows of ``side`` 0 are compared with rows of side 1 (all with all if there is only one side); rows link if
     fingerprint i of both differs in at most ``radii[i]`` bits, for every i.
     """
-    n = len(prints)
-    parent = np.arange(n)
+    parent = np.arange(len(prints))
+    for a, b in _near_pairs(prints, side, radii):
+        _forest(a, b, parent)
+    return parent
+
+
+def pairs_inside(
+    prints: np.ndarray, side: np.ndarray, radii: tuple[int, ...], root: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows that link as in :func:`linked_inside` and differ in ``root``, each pair once."""
+    one_side = len(np.unique(side)) == 1
+    found = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+    for a, b in _near_pairs(prints, side, radii):
+        stays = root[a] != root[b]
+        a, b = np.minimum(a, b)[stays], np.maximum(a, b)[stays]
+        if one_side and len(a):  # blocks that meet themselves give both orders
+            a, b = np.unique(np.stack([a, b]), axis=1)
+        found.append((a, b))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _near_pairs(
+    prints: np.ndarray, side: np.ndarray, radii: tuple[int, ...]
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     quarter = _quarters(np.ascontiguousarray(prints[:, 0]))
     parts = []
     for s in np.unique(side):
@@ -111,9 +133,7 @@ def linked_inside(prints: np.ndarray, side: np.ndarray, radii: tuple[int, ...])
             gap = np.maximum(0, np.maximum(low - other_high, other_low - high)).sum()
             if gap > radii[0]:
                 continue
-            a, b = _compare(prints, quarter, rows, right[j], radii)
-            _forest(a, b, parent)
-    return parent
+            yield _compare(prints, quarter, rows, right[j], radii)
 
 
 def _compare(
@@ -137,9 +157,12 @@ def band_steps(radius: int) -> tuple[int, list[tuple[int, int]]]:
     return width, [(x, y) for x in reach for y in reach if gap(x) + gap(y) <= radius]
 
 
-def tile_links(prints: DataFrame, columns: list[str], radii: tuple[int, ...], tile: int | None = None) -> DataFrame:
+def tile_links(
+    prints: DataFrame, columns: list[str], radii: tuple[int, ...], tile: int | None = None, root: str | None = None
+) -> DataFrame:
     """Edges (``u``, ``v``) between values of ``id``: a spanning forest of the links of each pair of tiles.
 
+    With ``root`` (a column of ``prints``) all links between rows of different roots instead.
     ``prints``: distinct rows of ``id`` (long) and fingerprints. Tiles are bands of the population counts of
     both halves of the first fingerprint, cut by hash into pieces. What reaches the driver: one count for
     each band, 17 * 17 at most.
@@ -175,7 +198,7 @@ def tile_links(prints: DataFrame, columns: list[str], radii: tuple[int, ...], ti
         .withColumn("other", F.explode(F.flatten(F.transform(offsets, neighbours))))
         .withColumn("pair", F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")))
         .withColumn("side", (F.col("own") > F.col("other")).cast("int"))
-        .select("pair", "side", "id", *columns)
+        .select("pair", "side", "id", *columns, *([root] if root else []))
     )
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
@@ -186,6 +209,9 @@ def tile_links(prints: DataFrame, columns: list[str], radii: tuple[int, ...], ti
             return pd.DataFrame({"u": [], "v": []}).astype("int64")
         ids = rows["id"].to_numpy()
         values = np.stack([rows[c].to_numpy().view(np.uint64) for c in columns], axis=1)
+        if root:
+            a, b = pairs_inside(values, side, radii, rows[root].to_numpy())
+            return pd.DataFrame({"u": ids[a], "v": ids[b]})
         leader = linked_inside(values, side, radii)
         moved = leader != np.arange(len(ids))
         return pd.DataFrame({"u": ids[leader[moved]], "v": ids[moved]})
@@ -253,10 +279,82 @@ def groups(
     return prints.join(placed, on, "left").select("doc_id", *columns, "component_id")
 
 
-def keep_one(docs: DataFrame, shingles: tuple[int, ...], radii: tuple[int, ...], key: str = "doc_id") -> DataFrame:
+def shingle_set(raw: bytes, shingle: int) -> set[bytes]:
+    """Distinct shingles of a text, by the words that :func:`fingerprint_bytes` takes."""
+    words = raw.lower().split()
+    if not words:
+        return set()
+    return {b" ".join(words[k : k + shingle]) for k in range(max(1, len(words) - shingle + 1))}
+
+
+def alike(one: Column, other: Column, shingle: int, least: float) -> Column:
+    """Whether the Jaccard similarity of both texts' shingle sets is ``least`` or more; without words, 1."""
+
+    def rows(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for pair in batches:
+            out = []
+            for x, y in zip(*(t.cast(pa.binary()) for t in pair), strict=True):
+                a, b = shingle_set(x.as_py() or b"", shingle), shingle_set(y.as_py() or b"", shingle)
+                common = len(a & b)
+                out.append(common >= least * (len(a) + len(b) - common))
+            yield pa.array(out, type=pa.bool_())
+
+    rows.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(rows, returnType="boolean")(one, other)
+
+
+def verified(edges: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The edges whose texts are alike. ``docs``: ``id``, ``text``; rows of one id have one text.
+
+    ``u`` may be the leader of many edges: its text is joined by salted keys.
+    """
+    edges = materialize(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "candidates")
+    ends = edges.select(F.col("u").alias("id")).union(edges.select("v")).distinct()
+    texts = materialize(docs.join(ends, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "candidate-texts")
+    leaders = edges.select(F.col("u").alias("id")).distinct()
+    spread = texts.join(leaders, "id", "left_semi").select(
+        F.col("id").alias("u"), F.col("text").alias("__tu"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    )
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    pairs = salted.join(texts.select(F.col("id").alias("v"), F.col("text").alias("__tv")), "v").join(spread, ["u", "salt"])
+    return materialize(pairs.where(alike(F.col("__tu"), F.col("__tv"), shingle, least)).select("u", "v"), "verified")
+
+
+def verified_groups(
+    docs: DataFrame, shingles: tuple[int, ...], radii: tuple[int, ...], least: float, key: str = "doc_id",
+    text: str = "text", tile: int | None = None,
+) -> DataFrame:
+    """(doc_id, component_id) over links of the fingerprints whose texts are alike by ``least`` or more.
+
+    The similarity is exact, over shingles of the last length, and between distinct texts. A spanning forest
+    of the candidates is verified first; then all candidates between the groups so found, so that no
+    candidate whose texts are alike is missed and copies inside a group are not verified pair by pair.
+    """
+    columns = [f"fp{k}" for k in range(len(shingles))]
+    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    found = [fingerprint(F.col(text), n).alias(c) for n, c in zip(shingles, columns, strict=True)]
+    prints = materialize(docs.select(F.col(key).alias("doc_id"), own.alias("id"), *found), "fingerprints")
+    distinct = materialize(prints.groupBy("id", *columns).agg(F.min("doc_id").alias("least")), "distinct-texts")
+    texts = docs.select(own.alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    sure = verified(tile_links(distinct.select("id", *columns), columns, radii, tile), texts, shingles[-1], least)
+    grouped = distinct.join(components(sure), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    left = tile_links(grouped.select("id", *columns, "root"), columns, radii, tile, root="root")
+    linked = components(sure.union(verified(left, texts, shingles[-1], least)))
+    named = distinct.select("id", "least").join(linked, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    salted = named.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    spread = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = salted.join(spread, ["root", "salt"]).select("id", "component_id")
+    return prints.join(placed, "id", "left").select("doc_id", "component_id")
+
+
+def keep_one(
+    docs: DataFrame, shingles: tuple[int, ...], radii: tuple[int, ...], key: str = "doc_id", least: float | None = None
+) -> DataFrame:
     """The rows of ``docs`` that have the smallest doc_id of their group, with the columns of ``docs``.
 
-    Rows that share that doc_id all stay.
+    Rows that share that doc_id all stay. With ``least``, links are verified (:func:`verified_groups`).
     """
-    chosen = groups(docs, shingles, radii, key).where("doc_id <=> component_id").select(F.col("doc_id").alias("__keep"))
+    found = groups(docs, shingles, radii, key) if least is None else verified_groups(docs, shingles, radii, least, key)
+    chosen = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__keep"))
     return docs.join(chosen.distinct(), F.col(key).eqNullSafe(F.col("__keep")), "left_semi")
