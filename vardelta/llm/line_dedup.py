@@ -44,13 +44,12 @@ def clean_line(line: Column) -> Column:
 
 
 def drop_boilerplate(
-    pages: DataFrame, host: str, text: str, ratio: float = 0.3, min_pages: int = 5, salts: int = SALTS
+    pages: DataFrame, host: str, text: str, ratio: float = 0.3, salts: int = SALTS
 ) -> DataFrame:
     """Every page with ``n_lines``, ``n_dropped`` and ``kept_text`` (its other lines, in order).
 
     A line counts once a page however often it stands there; all its copies go. Blank lines are never
-    counted or kept. Hosts with fewer than ``min_pages`` pages lose nothing: a share of few pages says
-    little. A null text has no lines; a null host is a host of its own. Repeated rows count as pages of
+    counted or kept. A line on one page only stays, so hosts with a single page lose nothing. A null text has no lines; a null host is a host of its own. Repeated rows count as pages of
     their own; input columns with the new names are replaced; an empty table stays empty.
     """
     base = without(pages, "n_lines", "n_dropped", "kept_text")
@@ -68,7 +67,7 @@ def drop_boilerplate(
     totals = lined.groupBy("__host").agg(F.count("*").alias("pages"))
     frequent = (
         counted.where(F.col("n") >= F.lit(2))
-        .join(totals.where(F.col("pages") >= min_pages), "__host")
+        .join(totals, "__host")
         .where(F.col("n") > F.lit(float(ratio)) * F.col("pages"))
         .groupBy("__host")
         .agg(F.collect_set("line").alias("__drop"))
