@@ -11,9 +11,6 @@ from dataclasses import dataclass
 
 import numpy as np
 
-SLOTS = 1 << 18
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-
 
 @dataclass
 class Grammar:
@@ -26,47 +23,31 @@ class Grammar:
     round_ends: list[int]  # rules that exist after each round
 
 
-def _slots(keys: np.ndarray) -> np.ndarray:
-    return ((keys * MULTIPLIER) >> np.uint64(64 - 18)).astype(np.int64)
-
-
-def _count(keys: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A pair for each slot, which places hold the pair of their slot, and how many do."""
-    owner = np.zeros(SLOTS, dtype=np.uint64)
-    owner[slots] = keys
-    held = owner[slots] == keys
-    return owner, held, np.bincount(slots[held], minlength=SLOTS)
+def compress(ids: np.ndarray, base: int, rounds: int | None = None, least: int = 16) -> Grammar:
+    """Grammar of ``ids`` (all below ``base``): rounds go on until no pair is seen ``least`` times or more.
 
-
-def compress(ids: np.ndarray, base: int, rounds: int = 2, least: int = 16, per_round: int = 8192) -> Grammar:
-    """Grammar of ``ids`` (all below ``base``); pairs seen fewer than ``least`` times stay."""
-    sequence, rules, next_symbol = ids.astype(np.uint32), [], base
-    for _ in range(rounds):
-        if len(sequence) < 2 * least:
-            break
+    ``rounds`` bounds them, if given. A pair of which other pairs took every occurrence gets no rule.
+    """
+    sequence, rules, next_symbol, done = ids.astype(np.uint32), [], base, 0
+    while len(sequence) > 1 and (rounds is None or done < rounds):
+        done += 1
         keys = (sequence[:-1].astype(np.uint64) << np.uint64(32)) | sequence[1:]
-        slots = _slots(keys)
-        owner, held, counts = _count(keys, slots)
-        chosen = np.flatnonzero(counts >= least)
-        if not len(chosen):
+        pairs, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        at = np.flatnonzero(counts[which] >= least)
+        if not len(at):
             break
-        if len(chosen) > per_round:
-            chosen = np.sort(chosen[np.argsort(-counts[chosen], kind="stable")[:per_round]])
-        symbol = np.zeros(SLOTS, dtype=np.uint32)
-        symbol[chosen] = np.arange(next_symbol, next_symbol + len(chosen), dtype=np.uint32)
-        new = symbol[slots]
-        at = np.flatnonzero((new > 0) & held)
         # of neighbouring matches every second one is taken, from the left of each run
         starts = np.r_[True, np.diff(at) != 1]
         run = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
         at = at[(np.arange(len(at)) - run) % 2 == 0]
-        sequence[at] = new[at]
+        used, new = np.unique(which[at], return_inverse=True)
+        sequence[at] = (next_symbol + new).astype(np.uint32)
         stays = np.ones(len(sequence), dtype=bool)
         stays[at + 1] = False
         sequence = sequence[stays]
-        pairs = owner[chosen]
+        pairs = pairs[used]
         rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
-        next_symbol += len(chosen)
+        next_symbol += len(used)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.uint32)
     ends = np.cumsum([len(r) for r in rules]).tolist() if rules else []
     return Grammar(base, table, sequence, expansion_lengths(base, rules), ends)

@@ -1,7 +1,7 @@
 """Token ids on disk, compressed by Re-Pair.
 
 The texts are dealt into shards by ranges of doc_id and sorted there. Each shard is encoded and cut
-into blocks of about a million ids; a block becomes a grammar (rules, expansion lengths follow from
+into blocks of about 2 ** 18 ids; a block becomes a grammar (rules, expansion lengths follow from
 them) and a bit-packed symbol sequence. A row of the Parquet files is one block, so Spark's writer
 commits them, any store will do, and a lost executor's shard is simply encoded again.
 
@@ -44,7 +44,7 @@ BLOCKS_DDL = (
 )
 
 
-def pack_block(ids: np.ndarray, base: int, rounds: int, least: int) -> dict:
+def pack_block(ids: np.ndarray, base: int, rounds: int | None, least: int) -> dict:
     """The grammar columns of one block."""
     grammar = _repair.compress(ids, base, rounds, least)
     bits = max(1, int(base + len(grammar.rules) - 1).bit_length())
@@ -73,7 +73,7 @@ def document_slice(row: dict, base: int, doc: int, start: int = 0, stop: int | N
 
 
 def encode_blocks(
-    docs: DataFrame, tokenizer: str, end_id: int, base: int, rounds: int = 2, least: int = 16, shards: int | None = None
+    docs: DataFrame, tokenizer: str, end_id: int, base: int, rounds: int | None = None, least: int = 16, shards: int | None = None
 ) -> DataFrame:
     """Blocks (:data:`BLOCKS`) of ``docs`` (doc_id, text), in ascending doc_id order.
 
