@@ -3,7 +3,8 @@
 Byte-level BPE never merges across a space or newline that follows a non-space, because its splitter
 starts a new word there. So a text can be cut before them, each distinct piece encoded once by the
 library, and the results joined: the same ids as for the whole text, at a fraction of the time. Texts with
-longer runs of white space, or with an added token's string, are handed to the library whole.
+longer runs of white space, or with an added token's string, are cut before each run of white space only
+and their pieces handed to the library as they are.
 
 In a list of pieces a piece that starts with a newline stands for itself, any other one follows a space.
 """
@@ -23,6 +24,8 @@ UNUSUAL = [
     *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000",
 ]
 LONGEST_KEPT = 64
+#: In texts with such runs or added tokens: the splitter never goes from a visible character on to these.
+RUN_START = re.compile(r"(?<=[^\s\x1c-\x1f])(?=[ \n\t])")
 
 
 class PieceEncoder:
@@ -34,6 +37,8 @@ class PieceEncoder:
         self.library = Tokenizer.from_file(path)
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        tokens = self.library.get_added_tokens_decoder().values()
+        self.torn = any(t.lstrip or t.rstrip or re.search(r"\s", t.content) for t in tokens)
         self.keep, self.block = keep, block
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -74,7 +79,7 @@ class PieceEncoder:
     def pieces(self, text: str) -> list[bytes]:
         """Ids (little-endian 32 bit) of the text, one entry for each piece; :meth:`cuts` has the pieces."""
         if self.whole(text):
-            return self._encode([text])
+            return self._encode(self.cuts(text))
         first, *rest = text.replace("\n", " \n").split(" ")
         out = list(map(self.young.get, rest))
         if None in out:
@@ -93,7 +98,7 @@ class PieceEncoder:
     def cuts(self, text: str) -> list[str]:
         """The pieces of :meth:`pieces` as texts."""
         if self.whole(text):
-            return [text]
+            return [text] if self.torn and self.added.search(text) else RUN_START.split(text)
         first, *rest = text.replace("\n", " \n").split(" ")
         return [first, *(p if p.startswith("\n") else " " + p for p in rest)]
 
