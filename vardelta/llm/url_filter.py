@@ -22,24 +22,40 @@ LENGTHS = (3, 4)
 #: Most rows of the labelled table that are used in fitting.
 MOST_LABELS = 10_000
 
-#: The labelled table. Words of hosts and paths that mark unwanted and wanted sites.
+#: The labelled table, by topics that public block lists and site directories are ordered by.
 UNWANTED = (
-    "casino poker slots betting jackpot roulette viagra pills pharmacy-cheap cheap-pills cialis adult porn xxx "
-    "sex-cam adult-x hot-girls escort spam spam-farm link-farm seo-links buy-links ads-track ads-track click-ads "
-    "adserver banner-ads popup-ads tracker free-download-crack warez keygen torrent-pirate malware payday-loans "
-    "fast-cash get-rich work-at-home replica-watches fake-luxury weight-loss-miracle miracle-cure lottery-winner "
-    "crypto-doubler phishing-login"
+    # gambling
+    "casino poker roulette blackjack baccarat slots jackpot betting bets wager bookie lottery bingo sportsbet gambling "
+    # adult
+    "porn porno xxx sex sexy erotic nude naked webcam camgirl escort fetish hentai milf adult "
+    # pills and miracle cures
+    "viagra cialis levitra pharmacy pills tablets steroids slimming dietpill detox anabolic opioid tramadol xanax "
+    # fraud, malicious software, piracy
+    "phishing malware spyware trojan ransomware keylogger botnet warez keygen serialz cracked nulled torrent piracy "
+    "scam hoax fraud fakeid counterfeit replica knockoff payday quickloan cashnow getrich ponzi pyramid doubler airdrop "
+    # advertising, search spam
+    "adserver adclick popup popunder banner clicks tracker tracking affiliate backlink linkfarm seo spam bulkmail traffic"
 ).split()
 WANTED = (
-    "news weather library university school science history museum garden cooking recipes travel maps sports "
-    "music books journal research archive encyclopedia dictionary blog docs wiki forum health medicine law "
-    "government council city bank insurance shop market photos film theatre software developer data physics "
-    "chemistry biology geography letters essays magazine radio another brother father mother gather nation "
-    "station motion reason season person lesson then there where other their these those thing nothing with "
-    "within without either neither weather leather feather bother together northern southern western eastern "
-    "street bridge river mountain valley island harbour village kitchen window morning evening summer winter "
-    "autumn spring teacher student writer reader singer painter engine railway airport hotel restaurant"
+    # news, reference, teaching
+    "news weather journal magazine gazette tribune archive library encyclopedia dictionary wiki atlas almanac university "
+    "college school academy institute faculty research science physics chemistry biology astronomy geology history "
+    # public life, health
+    "museum gallery theatre opera council city county ministry parliament court police embassy charity church parish "
+    "hospital clinic nursing dentist medicine health safety transport railway airport harbour postal weatherman "
+    # trade and work
+    "bakery butcher florist grocer market furniture hardware plumbing carpentry architect engineering surveyor insurance "
+    "accounting lawyer notary printing publisher translation software developer data robotics electronics energy water "
+    # leisure
+    "garden cooking recipes travel camping hiking cycling sailing fishing football cricket chess music guitar piano choir "
+    "books poetry photography painting pottery knitting film radio family wedding birds horses forest mountain island"
 ).split()
+#: Neutral companions, used with both kinds.
+COMPANIONS = "online site web page home world group center point store".split()
+SHAPES = (
+    "http://www.{0}.com/", "https://{0}.net/en/12", "http://blog.{0}.org/{0}/3.html", "https://m.{0}.de/1",
+    "http://{1}.org/{0}/index.html", "https://{0}-{1}.com/", "http://{1}{0}.net/a/b", "https://{0}{1}.org/de/{1}",
+)
 
 
 @dataclass(frozen=True)
@@ -90,13 +106,15 @@ def buckets(host: Column, path: Column) -> Column:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The small labelled table (url, label): 1 is unwanted."""
-    shapes = ("http://www.{0}.com/", "https://{0}.net/en/12", "http://blog.{0}.org/{0}/3.html", "https://m.{0}.de/1")
-    rows = [(s.format(w), label) for words, label in ((UNWANTED, 1), (WANTED, 0)) for w in words for s in shapes]
-    return spark.createDataFrame(rows, "url string, label int")
+    """The small labelled table (url, label, word): 1 is unwanted. Every word stands in every shape."""
+    rows = [
+        (shape.format(word, COMPANIONS[(k + m) % len(COMPANIONS)]), label, word)
+        for words, label in ((UNWANTED, 1), (WANTED, 0)) for k, word in enumerate(words) for m, shape in enumerate(SHAPES)
+    ]
+    return spark.createDataFrame(rows, "url string, label int, word string")
 
 
-def fit(labelled: DataFrame, most: int = MOST_LABELS, penalty: float = 5e-4) -> tuple[list[float], float]:
+def fit(labelled: DataFrame, most: int = MOST_LABELS, penalty: float = 5e-5) -> tuple[list[float], float]:
     """Weights and intercept from (url, label); at most ``most`` rows, by hash of the url, are used.
 
     The model has :data:`DIMENSIONS` weights whatever the input, and rows are brought into one fixed
@@ -128,11 +146,12 @@ def probability(host: Column, path: Column, weights: list[float], intercept: flo
 
 
 def judge(
-    pages: DataFrame, rules: list[Rule], weights: list[float], intercept: float, url: str = "url", cut: float = 0.6
+    pages: DataFrame, rules: list[Rule], weights: list[float], intercept: float, url: str = "url", cut: float = 0.7
 ) -> DataFrame:
     """Every row with ``host``, ``path``, ``rule``, ``probability`` and ``verdict`` (allow or block).
 
-    A null or malformed url has an empty host and path and is left to the model, whose intercept then
+    ``cut`` and the penalty of :func:`fit` were chosen by cross-validation on the labelled table alone, so that 0.99 of
+    its wanted urls are allowed. A null or malformed url has an empty host and path and is left to the model, whose intercept then
     decides alone. Repeated urls get equal verdicts; input columns with the new names are replaced.
     """
     kept = without(pages, "host", "path", "rule", "probability", "verdict").columns
