@@ -4,7 +4,9 @@ For each host: the share of its pages that hold a line. Lines above a ratio are
 and are dropped from all its pages. Only DataFrame functions: pages are reduced to (host, digest of
 line) pairs, each once a page, and counted with map-side sums; the boilerplate digests of a host (fewer
 than distinct lines a page / ratio) come back to the pages as one array, so the texts themselves are
-never shuffled by line. Pages of a host are dealt over salts, as one host may hold a third of all pages.
+never shuffled by line. Lines are cut from the pages once and written to the shared folder, from where both
+the counting and the dropping read them. Pages of a host are dealt over salts by their row, as one host may
+hold a third of all pages; a salt that is still too large is split by Spark's skew join.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vardelta.llm._shared import ascii_lower, without
+from vardelta.llm._shared import ascii_lower, materialize, without
 
 SALTS = 32
 
@@ -27,12 +29,14 @@ BREAKS = (
     "address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h[1-6]|head|header|hr|html|"
     "li|main|nav|ol|p|pre|section|table|tbody|td|th|thead|title|tr|ul"
 )
-HIDDEN = "script|style|noscript|template"
+HIDDEN = ("script", "style", "noscript", "template")
+#: Comments, and hidden elements up to their own end tag.
+UNSEEN = "(?is)" + "|".join(["<!--.*?-->", *(rf"<{tag}\b[^>]*>.*?</{tag}[\t-\r ]*>" for tag in HIDDEN)])
 
 
 def html_lines(html: Column) -> Column:
-    """The visible text of a page, a line for each block element."""
-    text = F.regexp_replace(html, r"(?is)<!--.*?-->|<(" + HIDDEN + r")\b[^>]*>.*?</(" + HIDDEN + r")[\t-\r ]*>", " ")
+    """The visible text of a page, a line for each block element. Entities stay as they are written."""
+    text = F.regexp_replace(html, UNSEEN, " ")
     text = F.regexp_replace(text, r"[\t-\r ]+", " ")
     text = F.regexp_replace(text, r"(?i)</?(" + BREAKS + r")\b[^>]*>", "\n")
     return F.regexp_replace(text, r"<[^>]*>", "")
@@ -46,18 +50,24 @@ def clean_line(line: Column) -> Column:
 def drop_boilerplate(
     pages: DataFrame, host: str, text: str, ratio: float = 0.3, salts: int = SALTS
 ) -> DataFrame:
-    """Every page with ``n_lines``, ``n_dropped`` and ``kept_text`` (its other lines, in order).
+    """Every page, its text column apart, with ``n_lines``, ``n_dropped`` and ``kept_text`` (its other lines, in order).
 
     A line counts once a page however often it stands there; all its copies go. Blank lines are never
-    counted or kept. A line on one page only stays, so hosts with a single page lose nothing. A null text has no lines; a null host is a host of its own. Repeated rows count as pages of
-    their own; input columns with the new names are replaced; an empty table stays empty.
+    counted or kept. A line on one page only stays, so hosts with a single page lose nothing. A null text
+    has no lines; a null host is a host of its own. Repeated rows count as pages of their own; input columns
+    with the new names are replaced; an empty table stays empty.
     """
     base = without(pages, "n_lines", "n_dropped", "kept_text")
     lines = F.filter(
         F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), clean_line), lambda x: F.length(x) > 0
     )
+    names = {c: f"__{k}" for k, c in enumerate(c for c in base.columns if c != text)}
     named = F.coalesce(F.concat(F.lit("="), F.col(host)), F.lit("null"))
-    lined = base.withColumn("__host", named).withColumn("__lines", lines)
+    shown = [F.col(f"`{c}`").alias(n) for c, n in names.items()]
+    lined = materialize(
+        base.select(*shown, named.alias("__host"), lines.alias("__lines"), F.monotonically_increasing_id().alias("__row")),
+        "page-lines",
+    )
     digests = F.transform(F.array_distinct("__lines"), lambda x: F.unhex(F.md5(x)))
     counted = (
         lined.select("__host", F.explode(digests).alias("line"))
@@ -73,14 +83,14 @@ def drop_boilerplate(
         .agg(F.collect_set("line").alias("__drop"))
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    salted = lined.withColumn("__salt", F.pmod(F.xxhash64(text), F.lit(salts)).cast("int"))
+    salted = lined.withColumn("__salt", F.pmod(F.xxhash64("__row"), F.lit(salts)).cast("int"))
     joined = salted.join(frequent, ["__host", "__salt"], "left")
     drops = F.coalesce(F.col("__drop"), F.array().cast("array<binary>"))
     kept = F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(
         F.filter("__lines", lambda x: ~F.array_contains(drops, F.unhex(F.md5(x))))
     )
     return joined.withColumn("__kept", kept).select(
-        *[F.col(f"`{c}`") for c in base.columns],
+        *[F.col(n).alias(c) for c, n in names.items()],
         F.size("__lines").cast("long").alias("n_lines"),
         (F.size("__lines") - F.size("__kept")).cast("long").alias("n_dropped"),
         F.array_join("__kept", "\n").alias("kept_text"),

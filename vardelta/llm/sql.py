@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vardelta.llm.line_dedup import BREAKS, HIDDEN
+from vardelta.llm.line_dedup import BREAKS, UNSEEN
 from vardelta.llm.mixing import GRID
 from vardelta.llm.sharding import MASK, MIX_A, MIX_B, ROUNDS, round_keys
 
@@ -24,7 +24,7 @@ WITH page AS (
   SELECT row_number() OVER () AS rid, page_id,
     translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host0,
     regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-      '(?is)<!--.*?-->|<({HIDDEN})\b[^>]*>.*?</({HIDDEN})[\t-\r ]*>', ' ', 'g'),
+      '{UNSEEN}', ' ', 'g'),
       '[\t-\r ]+', ' ', 'g'), '(?i)</?({BREAKS})\b[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g') AS body
   FROM pages),
 lined AS (
@@ -38,7 +38,7 @@ per_line AS (
 per_host AS (SELECT host, count(*) AS pages FROM lined GROUP BY host),
 boiler AS (
   SELECT l.host, list(l.line) AS gone FROM per_line l JOIN per_host h ON l.host = h.host
-  WHERE h.pages >= 5 AND l.n >= 2 AND l.n > CAST(0.3 AS DOUBLE) * h.pages GROUP BY l.host),
+  WHERE l.n >= 2 AND l.n > CAST(0.3 AS DOUBLE) * h.pages GROUP BY l.host),
 kept AS (
   SELECT p.page_id, p.host, p.lines,
     list_filter(p.lines, lambda x: NOT list_contains(coalesce(b.gone, []), x)) AS stays
