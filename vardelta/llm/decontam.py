@@ -7,14 +7,16 @@ are joined (the prefix). A shared shingle fixes where the stretch would start; p
 bounds discard starts outside the document, and what is left is verified word for word.
 
 Built-in functions only. The corpus is read once: each document is reduced to the positions whose
-shingle hash falls into a bit table of the items' shingles (a fixed 128 KB), with the words around
+shingle hash falls into a bit table of the items' shingles (at most 1 MB), with the words around
 them, and these candidates are written to the shared folder. Rarity counts, join and verification run on
-that table. Documents are never grouped by shingle; a passage that many documents share only gives each
+that table; where a phrase is so common that its join partition is large, Spark's skew join splits it. Documents are never grouped by shingle; a passage that many documents share only gives each
 of them its own few rows.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,8 @@ from vardelta.llm._shared import ascii_lower, constant_array, materialize
 
 #: Characters that separate words: ASCII other than digits and letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BITS = 1 << 20
+#: Size of the bit table: about so many bits a shingle, a power of two between the two bounds.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 23
 #: An item side of at most so many windows (of under 1 KB each) is broadcast; a larger one is shuffled.
 MOST_BROADCAST = 50_000
 
@@ -58,20 +61,25 @@ def item_windows(items: DataFrame, window: int, shingle: int, item: str = "item_
     return distinct.withColumn("length", F.least(F.col("n"), F.lit(shingle))).withColumn("hashes", hashes)
 
 
-def _bits(h: Column) -> tuple[Column, Column]:
+def _bits(h: Column, bits: int) -> tuple[Column, Column]:
     """The two bits of a hash: from its low and from its high end."""
-    return F.pmod(h, F.lit(BITS)).cast("int"), F.pmod(F.shiftright(h, 32), F.lit(BITS)).cast("int")
+    return F.pmod(h, F.lit(bits)).cast("int"), F.pmod(F.shiftright(h, 32), F.lit(bits)).cast("int")
+
+
+def table_bits(shingles: int) -> int:
+    """Size of the bit table for so many shingles."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * shingles - 1).bit_length()))
 
 
-def bit_table(hashes: DataFrame) -> list[int]:
-    """The bits of column ``h``, as 64-bit words: of the same size however many hashes there are."""
+def bit_table(hashes: DataFrame, bits: int) -> list[int]:
+    """The bits of column ``h`` as 64-bit words, ``bits / 64`` of them whatever the number of hashes."""
     words = (
-        hashes.select(F.explode(F.array(*_bits(F.col("h")))).alias("b"))
+        hashes.select(F.explode(F.array(*_bits(F.col("h"), bits))).alias("b"))
         .distinct()
         .groupBy(F.shiftright("b", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, b & 63)")).alias("bits"))
     )
-    table = [0] * (BITS // 64)
+    table = [0] * (bits // 64)
     for row in words.collect():
         table[row.word] = row.bits
     return table
@@ -80,13 +88,15 @@ def bit_table(hashes: DataFrame) -> list[int]:
 def candidates(docs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
     """``doc_id``, a key of the row, ``n_words``, and ``found``: (length, position, hash, words around)."""
     lengths = sorted(r.length for r in windows.select("length").distinct().collect())
-    table = constant_array(bit_table(windows.select(F.explode("hashes").alias("h"))), "bigint")
+    shingles = windows.select(F.explode("hashes").alias("h"))
+    bits = table_bits(shingles.count())
+    table = constant_array(bit_table(shingles, bits), "bigint")
     rows = docs.select(
         "doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("row_key"), words_of(F.col("text")).alias("w")
     )
     def seen(h: Column) -> Column:
         low, high = (
-            F.call_function("bit_get", F.get(table, F.shiftright(b, 6)), b.bitwiseAND(63)) == 1 for b in _bits(h)
+            F.call_function("bit_get", F.get(table, F.shiftright(b, 6)), b.bitwiseAND(63)) == 1 for b in _bits(h, bits)
         )
         return low & high
 
@@ -129,6 +139,7 @@ def occurrences(found: DataFrame, windows: DataFrame, share: float) -> DataFrame
         "doc_id", "row_key", "n_words", "f.*"
     )
     chosen = prefixes(windows, hits.select("h"), share)
+    chosen_lengths = windows.select("length").distinct().collect()  # from 1 to the shingle length at most
     n_windows = windows.count()
     if n_windows <= MOST_BROADCAST:
         chosen = F.broadcast(chosen)
@@ -142,7 +153,7 @@ def occurrences(found: DataFrame, windows: DataFrame, share: float) -> DataFrame
         holds = stretch == F.col("words")
     else:
         own = F.lit(None).cast("array<bigint>")
-        for length in range(1, 16):
+        for (length,) in chosen_lengths:
             own = F.when(F.col("length") == length, shingle_hashes(F.col("stretch"), length)).otherwise(own)
         placed = placed.withColumn("stretch", stretch)
         holds = F.size(F.array_intersect(own, F.col("hashes"))) >= F.ceil(
@@ -162,8 +173,13 @@ def contamination(
     text, so repeated doc_ids with different texts keep their own results, and equal rows get equal ones.
     """
     windows = materialize(item_windows(items, window, shingle), "item-windows")
-    found = materialize(candidates(docs, windows, window), "item-candidates")
-    hits = occurrences(found, windows, share)
+    # a bit table has room for so many shingles; a larger benchmark is searched for part by part
+    total = windows.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    passes = max(1, -(-total * BITS_EACH // MOST_BITS))
+    parts = [windows.where(F.pmod(F.xxhash64("words"), F.lit(passes)) == k) for k in range(passes)]
+    each = [materialize(candidates(docs, part, window), "item-candidates") for part in parts]
+    found = each[0]
+    hits = occurrences(functools.reduce(DataFrame.unionByName, each), windows, share)
     spans = hits.groupBy("doc_id", "row_key", "start").agg(F.max(F.col("start") + F.col("n")).alias("stop"))
     before = (
         Window.partitionBy("doc_id", "row_key").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
