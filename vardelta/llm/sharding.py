@@ -4,9 +4,9 @@ Rows are numbered 0 to n - 1 in doc_id order, the number goes through a keyed pe
 and the permuted number gives shard (remainder) and slot (quotient). So the shuffle is reproducible, shard
 sizes differ by one at most, and place and row can be computed from each other without any table.
 
-Numbering without one global sort: doc_ids are cut into ranges at their quantiles, rows are numbered
-inside a range, and ranges get the counts before them. A doc_id that fills a range of its own (nulls too)
-is cut further by a hash of the row, so no task gets a hot value whole.
+Numbering without one global sort: rows are dealt by ranges of (key, tie, a mix of the row's place in the
+input), so that no doc_id, null or copy fills a task, sorted inside a range, and written with their place in
+it. Counts of the ranges, one for each partition, then give every range its first number.
 """
 
 from __future__ import annotations
@@ -15,16 +15,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vardelta.llm._shared import shuffle_partitions, without
+from vardelta.llm._shared import constant_array, materialize, shuffle_partitions, without
 
 ROUNDS = 6
 MASK = (1 << 32) - 1
 #: Fixed values of the round function: a multiply-and-shift mix of 32-bit words.
 MIX_A, MIX_B, KEY_STEP = 0x85EBCA6B, 0xC2B2AE35, 0x9E3779B9
-SUBRANGES = 64
 
 
 def half_bits(n: int) -> int:
@@ -84,45 +83,29 @@ def row_at(shard: int, slot: int, n: int, shards: int, seed: int) -> int:
 def numbered(df: DataFrame, key: str, tie: Column, name: str, ranges: int | None = None) -> tuple[DataFrame, int]:
     """``df`` with row numbers from 0 by ascending ``key`` (nulls first), then ``tie``; and the row count.
 
-    Rows with the same key and tie get their numbers in any order. What reaches the driver: quantiles and
-    counts of a number of ranges that follows from the shuffle partitions, not from the rows.
+    ``key`` may be of any type that sorts. Rows with the same key and tie get their numbers in any order. What
+    reaches the driver: the count of each range, as many as there are shuffle partitions.
     """
-    parts = ranges or 2 * shuffle_partitions(df.sparkSession)
-    steps = [i / parts for i in range(1, parts)]
-    found = df.agg(F.percentile_approx(key, steps, 10_000).alias("q")).first().q or []
-    edges = sorted(set(found))
-    hot = {v for v, w in zip(found, found[1:], strict=False) if v == w}
-    # each edge opens a range; a value that is an edge more than once gets one to itself
-    opens = sorted(set(edges) | {v + 1 for v in hot})
-    place = F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.lit(1) + _bucket(F.col(key), opens, 0, len(opens)))
-    crowded = F.col(key).isNull() | F.col(key).isin(sorted(hot)) if hot else F.col(key).isNull()
-    sub = F.when(crowded, F.pmod(F.xxhash64(tie), F.lit(SUBRANGES))).otherwise(F.lit(0))
-    ranged = df.withColumn("__r", place).withColumn("__s", sub).withColumn("__t", tie)
-    counts = sorted((r["__r"], r["__s"], r["count"]) for r in ranged.groupBy("__r", "__s").count().collect())
-    total, rows = 0, []
-    for r, s, n in counts:
-        rows.append((r, s, total))
-        total += n
-    starts = df.sparkSession.createDataFrame(rows, "__r int, __s long, __before long")
-    inside = Window.partitionBy("__r", "__s").orderBy(F.col(key).asc_nulls_first(), "__t")
-    out = (
-        ranged.withColumn("__s", F.col("__s").cast("long"))
-        .withColumn("__n", F.row_number().over(inside))
-        .join(F.broadcast(starts), ["__r", "__s"])
-        .withColumn(name, F.col("__before") + F.col("__n") - 1)
-        .drop("__r", "__s", "__t", "__n", "__before")
-    )
-    return out, total
-
-
-def _bucket(value: Column, opens: list[int], low: int, high: int) -> Column:
-    """How many of ``opens`` are at most ``value``, as a tree of comparisons."""
-    if low == high:
-        return F.lit(low)
-    mid = (low + high) // 2
-    return F.when(value >= F.lit(opens[mid]), _bucket(value, opens, mid + 1, high)).otherwise(
-        _bucket(value, opens, low, mid)
+    parts = ranges or shuffle_partitions(df.sparkSession)
+    held = df.withColumn("__t", tie).withColumn("__m", F.xxhash64(F.monotonically_increasing_id()))
+    order = [F.col(key).asc_nulls_first(), F.col("__t").asc_nulls_first(), F.col("__m").asc()]
+    # the number that Spark gives a row of a partition: the partition's above 33 bits for the row's place
+    placed = (
+        held.repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .drop("__t", "__m")
+        .withColumn("__p", F.monotonically_increasing_id())
     )
+    written = materialize(placed, "numbered")
+    part = F.shiftright("__p", 33)
+    counts = sorted((r.p, r["count"]) for r in written.groupBy(part.alias("p")).count().collect())
+    firsts, total = {}, 0
+    for p, n in counts:
+        firsts[p] = total
+        total += n
+    before = constant_array([firsts.get(p, 0) for p in range(max(firsts, default=0) + 1)], "bigint")
+    number = F.get(before, part.cast("int")) + F.col("__p").bitwiseAND((1 << 33) - 1)
+    return written.withColumn(name, number).drop("__p"), total
 
 
 def assign(docs: DataFrame, shards: int, seed: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -132,7 +115,7 @@ def assign(docs: DataFrame, shards: int, seed: int, key: str = "doc_id", text: s
     text counts as empty), equal rows in any order. Copies of a text are dealt like any other rows. An
     empty table stays empty; input columns with the new names are replaced.
     """
-    base = without(docs, "row_no", "shard", "slot")
+    base = without(docs, "row_no", "shard", "slot", "__p", "__t", "__m")
     rows, total = numbered(base, key, F.xxhash64(F.coalesce(F.col(text), F.lit(""))), "row_no")
 
     def permuted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
