@@ -324,7 +324,9 @@ def verified_groups(
     docs: DataFrame, shingles: tuple[int, ...], radii: tuple[int, ...], least: float, key: str = "doc_id",
     text: str = "text", tile: int | None = None,
 ) -> DataFrame:
-    """(doc_id, component_id) over links of the fingerprints whose texts are alike by ``least`` or more.
+    """(doc_id, id, root, component_id) over links of the fingerprints whose texts are alike by ``least`` or more.
+
+    ``id`` is the hash of the row's text and ``root`` that of its group, ``component_id`` the group's smallest doc_id.
 
     The similarity is exact, over shingles of the last length, and between distinct texts. A spanning forest
     of the candidates is verified first; then all candidates between the groups so found, so that no
@@ -344,17 +346,29 @@ def verified_groups(
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
     salted = named.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
     spread = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    placed = salted.join(spread, ["root", "salt"]).select("id", "component_id")
-    return prints.join(placed, "id", "left").select("doc_id", "component_id")
+    placed = salted.join(spread, ["root", "salt"]).select("id", "root", "component_id")
+    return prints.join(placed, "id", "left").select("doc_id", "id", "root", "component_id")
 
 
 def keep_one(
-    docs: DataFrame, shingles: tuple[int, ...], radii: tuple[int, ...], key: str = "doc_id", least: float | None = None
+    docs: DataFrame, shingles: tuple[int, ...], radii: tuple[int, ...], least: float, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that have the smallest doc_id of their group, with the columns of ``docs``.
+    """One row of each group (:func:`verified_groups`), with the columns of ``docs``: that with the smallest doc_id.
 
-    Rows that share that doc_id all stay. With ``least``, links are verified (:func:`verified_groups`).
+    A null doc_id is the last choice. Of rows of a group that share the doc_id the one stays whose text has the
+    smallest hash, and of rows that share both any one. An empty table stays empty.
     """
-    found = groups(docs, shingles, radii, key) if least is None else verified_groups(docs, shingles, radii, least, key)
-    chosen = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__keep"))
-    return docs.join(chosen.distinct(), F.col(key).eqNullSafe(F.col("__keep")), "left_semi")
+    found = materialize(verified_groups(docs, shingles, radii, least, key, text), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "id")).alias("m")
+    leaders = found.groupBy("root").agg(first).select(F.col("m.doc_id").alias("__keep"), F.col("m.id").alias("__id"))
+    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    on = F.col(key).eqNullSafe(F.col("__keep")) & (own == F.col("__id"))
+    kept = docs.join(leaders, on, "left_semi")
+    same = found.groupBy("doc_id", "id").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    doubled = same.join(leaders, F.col("doc_id").eqNullSafe(F.col("__keep")) & (F.col("id") == F.col("__id")), "left_semi")
+    if doubled.isEmpty():
+        return kept
+    again = F.col(key).eqNullSafe(F.col("doc_id_")) & (own == F.col("id_"))
+    twice = doubled.select(F.col("doc_id").alias("doc_id_"), F.col("id").alias("id_"))
+    one_each = kept.join(twice, again, "left_semi").withColumn("__own", own).dropDuplicates([key, "__own"]).drop("__own")
+    return kept.join(twice, again, "left_anti").unionByName(one_each)
