@@ -43,8 +43,10 @@ def rates(docs: DataFrame, weights: dict[str, float], source: str = "source", to
     """Copies wanted of each row, by source; sources without a weight share the key :data:`REST`.
 
     Weights are shares of the mix; what they leave of 1 goes to the other sources (and null ones), in
-    proportion to their sizes. ``total`` rows are wanted, as many as there are if not given.
+    proportion to their sizes; a negative weight, or more than 1 in all, is an error. ``total`` rows are wanted, as many as there are if not given.
     """
+    if min(weights.values(), default=0.0) < 0 or sum(weights.values()) > 1 + 1e-9:
+        raise ValueError("weights are shares: none below 0, and 1 at most in all")
     named = F.when(F.col(source).isin(*weights), F.col(source)).otherwise(F.lit(REST))
     counts = {r.s: r.n for r in docs.groupBy(named.alias("s")).agg(F.count("*").alias("n")).collect()}
     wanted = total if total is not None else sum(counts.values())
