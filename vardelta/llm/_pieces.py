@@ -1,109 +1,188 @@
 """Token ids of whole texts from the tokenizers library, piece by piece.
 
-Byte-level BPE never merges across a space or newline that follows a non-space, because its splitter
-starts a new word there. So a text can be cut before them, each distinct piece encoded once by the
-library, and the results joined: the same ids as for the whole text, at a fraction of the time. Texts with
-longer runs of white space, or with an added token's string, are cut before each run of white space only
-and their pieces handed to the library as they are.
-
-In a list of pieces a piece that starts with a newline stands for itself, any other one follows a space.
+Byte-level BPE never merges across the start of a run of white space that follows a non-space, because its
+splitter starts a new word there. So a text can be cut there, each distinct piece encoded once by the
+library, and the results joined: the same ids as for the whole text, at a fraction of the time. Texts that
+hold an added token, or white space other than spaces, newlines and tabs, are handed to the library as they are; so
+are all texts if the file is not byte-level BPE with the usual splitter and no normalizer.
+
+A piece is named by its own string if that starts with white space, except that one space before a
+non-space is left out of the name; the name "" is a single space.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Cuts would tear these runs of white space apart.
-LONG_RUN = re.compile(r"\s{3}|\s\s\Z")
-#: A long run needs one of these: two plain spaces or newlines together, or another white-space character.
-UNUSUAL = [
-    *(x + y for x in " \n" for y in " \n"),
-    *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000",
-]
+#: What the library takes for white space besides space, newline and tab, and four separators
+#: that Python takes for white space and the library does not. None of them is cut at.
+OTHER_SPACES = "\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+#: Two plain spaces together, or a tab: then the text is cut by :data:`PIECE`, else at every space or newline.
+RUNS = [*(x + y for x in " \n" for y in " \n"), "\t"]
+PIECE = re.compile(r"[ \n\t]+[^ \n\t]*|[^ \n\t]+")
+#: Letters, then marks: the splitter cuts such a name (and a newline before it) into exactly these parts.
+PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ɏ]*)([!-/:-@\[-`{-~]*)")
 LONGEST_KEPT = 64
-#: In texts with such runs or added tokens: the splitter never goes from a visible character on to these.
-RUN_START = re.compile(r"(?<=[^\s\x1c-\x1f])(?=[ \n\t])")
+CHUNK = 1 << 20
+
+
+def byte_alphabet() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself where it prints, else one
+    from 256 on, in order."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in prints else next(others)) for b in range(256)]
+
+
+def piece_text(name: str) -> str:
+    return name if name[:1] in (" ", "\n", "\t") and name else " " + name
 
 
 class PieceEncoder:
     """Encodes texts; remembers pieces in two generations of at most ``keep`` entries each."""
 
-    def __init__(self, path: str, keep: int = 500_000, block: int = 1 << 20):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, keep: int = 500_000, block: int = CHUNK):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
-        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
-        tokens = self.library.get_added_tokens_decoder().values()
-        self.torn = any(t.lstrip or t.rstrip or re.search(r"\s", t.content) for t in tokens)
+        self.described = json.loads(self.library.to_str())
+        self.byte_level = _is_byte_level(self.described)
+        added = self.library.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
+        self.torn = any(t.lstrip or t.rstrip or t.single_word for t in added)
         self.keep, self.block = keep, block
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.ends = dict(zip(".,", self._encode([".", ","]), strict=True))
+        self.passing: list[str] = []
+        if self.byte_level:
+            alphabet = byte_alphabet()
+            self.spelled = {b: c for b, c in enumerate(alphabet) if chr(b) != c}
+            self.words = Tokenizer(self.library.model)  # the same model; its words come ready spelled, between spaces
+            self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+            vocabulary = self.library.get_vocab(with_added_tokens=False)
+            self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+            for token, i in vocabulary.items():
+                self.sizes[i] = len(token)
 
     def whole(self, text: str) -> bool:
         """Whether only the library itself may cut this text."""
-        if any(map(text.__contains__, UNUSUAL)) and LONG_RUN.search(text):
-            return True
-        return bool(self.added.search(text))
+        return not self.byte_level or any(map(text.__contains__, OTHER_SPACES)) or any(map(text.__contains__, self.added))
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+    def names(self, text: str) -> tuple[str, list[str]] | None:
+        """What stands before the first white space, and the names of all pieces; None if not to be cut."""
+        if self.whole(text):
+            return None
+        if not any(map(text.__contains__, RUNS)):
+            first, *rest = text.replace("\n", " \n").split(" ")
+            return first, rest
+        found = PIECE.findall(text)
+        first = "" if not found or found[0][0] in " \n\t" else found.pop(0)
+        return first, [p[1:] if p[0] == " " and p[1:2] not in ("", " ", "\n", "\t") else "" if p == " " else p for p in found]
+
+    def _encode(self, texts: Iterable[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _spell(self, lead: str, word: str, marks: str) -> str:
+        """A plain piece as the words that the splitter makes of it, in the alphabet of the vocabulary."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.spelled)
+        if lead:
+            return "Ċ" + (" " + word if word else "") + (" " + marks if marks else "")
+        return f"Ġ{word} {marks}" if word and marks else "Ġ" + word + marks
+
     def _learn(self, missing: set[str]) -> None:
         """Put the ids of pieces that the young generation lacks into it."""
-        young, old, fresh, dotted = self.young, self.old, set(), []
+        young, old = self.young, self.old
+        plain, spelled, odd, marked = {}, [], [], []
         for p in missing:
-            if p in old:
-                young[p] = old[p]
-            elif p[-1:] in self.ends and p[:-1].lstrip("\n").isalpha():  # a word and its end mark are encoded apart
-                word = p[:-1]
-                dotted.append(p)
-                if word not in young:
-                    if word in old:
-                        young[word] = old[word]
-                    else:
-                        fresh.add(word)
+            if (known := old.get(p)) is not None:
+                young[p] = known
+            elif p.isascii() and p.isalpha():
+                if p not in plain:
+                    plain[p] = None
+                    spelled.append("Ġ" + p)
+            elif m := PLAIN.fullmatch(p):
+                lead, word, marks = m.groups()
+                if word and marks and not lead:  # the word may be known, or come without these marks too
+                    marked.append((p, word, marks))
+                    p, marks = word, ""
+                    if word in young or word in plain:
+                        continue
+                    if (known := old.get(word)) is not None:
+                        young[word] = known
+                        continue
+                if p not in plain:
+                    plain[p] = None
+                    spelled.append(self._spell(lead, word, marks))
             else:
-                fresh.add(p)
-        order = list(fresh)
-        texts = [p if p.startswith("\n") else " " + p for p in order]
-        young.update(zip(order, self._encode(texts), strict=True))
-        for p in dotted:
-            young[p] = young[p[:-1]] + self.ends[p[-1]]
-
-    def pieces(self, text: str) -> list[bytes]:
-        """Ids (little-endian 32 bit) of the text, one entry for each piece; :meth:`cuts` has the pieces."""
-        if self.whole(text):
-            return self._encode(self.cuts(text))
-        first, *rest = text.replace("\n", " \n").split(" ")
-        out = list(map(self.young.get, rest))
-        if None in out:
-            at = [i for i, ids in enumerate(out) if ids is None]
-            missing = {rest[i] for i in at}
+                odd.append(p)
+        plain = list(plain)
+        for i in range(0, len(plain), 1000):
+            words = spelled[i : i + 1000]
+            sizes = np.fromiter((len(w) - w.count(" ") for w in words), dtype=np.int64, count=len(words))
+            self._share(plain[i : i + 1000], self.words, " ".join(words), sizes)
+        alone = list({marks for _, _, marks in marked})
+        marks_of = dict(zip(alone, self._encode(alone), strict=True))
+        young.update((p, young[word] + marks_of[marks]) for p, word, marks in marked)
+        odd.sort(key=lambda p: not piece_text(p).strip(" \n\t"))  # bare white space last: nothing may follow it
+        while odd and not piece_text(odd[-1]).strip(" \n\t"):
+            p = odd.pop()
+            young[p] = self._encode([piece_text(p)])[0]
+        for i in range(0, len(odd), 500):
+            texts = list(map(piece_text, odd[i : i + 500]))
+            sizes = np.fromiter((len(t.encode("utf-8", "replace")) for t in texts), dtype=np.int64, count=len(texts))
+            self._share(odd[i : i + 500], self.library, "".join(texts), sizes)
+
+    def _share(self, names: list[str], library, text: str, sizes: np.ndarray) -> None:
+        """Encode ``text`` and deal the ids to the pieces by the bytes that each token stands for."""
+        ids = np.array(library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        reach, ends = np.cumsum(self.sizes[ids]), np.cumsum(sizes)
+        at = np.searchsorted(reach, ends) + 1
+        if not (len(reach) and np.array_equal(reach[at - 1], ends) and at[-1] == len(ids)):
+            raise ValueError("tokens of neighbouring pieces overlap: not a byte-level vocabulary")
+        raw, at = ids.tobytes(), (4 * at).tolist()
+        self.young.update((p, raw[a:b]) for p, a, b in zip(names, [0, *at[:-1]], at, strict=True))
+
+    def _known(self, named: list[tuple[str, list[str]]]) -> dict[str, bytes]:
+        """The memory with all pieces of these texts in it; long ones of the texts before go first."""
+        for p in self.passing:
+            self.young.pop(p, None)
+        if len(self.young) > self.keep:
+            self.old, self.young = self.young, {}
+        missing = set().union(*(rest for _, rest in named)).difference(self.young)
+        if missing:
             self._learn(missing)
-            for i in at:
-                out[i] = self.young[rest[i]]
-            for p in missing:
-                if len(p) > LONGEST_KEPT:
-                    self.young.pop(p, None)
-            if len(self.young) > self.keep:
-                self.old, self.young = self.young, {}
-        return [*(self._encode([first]) if first else [b""]), *out]
-
-    def cuts(self, text: str) -> list[str]:
-        """The pieces of :meth:`pieces` as texts."""
-        if self.whole(text):
-            return [text] if self.torn and self.added.search(text) else RUN_START.split(text)
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return [first, *(p if p.startswith("\n") else " " + p for p in rest)]
+        self.passing = [p for p in missing if len(p) > LONGEST_KEPT]
+        return self.young
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """All ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
+        for part in chunks(texts, CHUNK):
+            named = list(map(self.names, part))
+            cut = [n for n in named if n]
+            ids = self._known(cut).__getitem__
+            firsts = iter(self._first(cut))
+            for text, n in zip(part, named, strict=True):
+                out.append(b"".join([next(firsts), *map(ids, n[1])]) if n else self._encode([text])[0])
+        return out
+
+    def _first(self, named: list[tuple[str, list[str]]]) -> list[bytes]:
+        """The ids of what stands before the first white space; such beginnings are looked for once a text."""
+        wanted = list({first for first, _ in named})
+        ids = dict(zip(wanted, self._encode(wanted), strict=True))
+        return [ids[first] for first, _ in named]
 
     def blocks(self, text: str) -> list[str]:
         """The text in parts of about ``block`` characters, cut only before spaces between non-spaces."""
+        if len(text) <= self.block or self.whole(text):
+            return [text]
         parts, at = [], 0
         while len(text) - at > self.block:
             cut = at + self.block
@@ -118,10 +197,35 @@ class PieceEncoder:
         return [*parts, text[at:]]
 
     def encode(self, text: str) -> bytes:
-        """All ids of the text as little-endian unsigned 32-bit integers."""
-        if len(text) <= self.block or self.whole(text):
-            return b"".join(self.pieces(text))
-        return b"".join(chunk for part in self.blocks(text) for chunk in self.pieces(part))
+        """All ids of one text."""
+        return b"".join(self.encode_many(self.blocks(text)))
+
+
+def chunks(texts: list[str], size: int) -> Iterator[list[str]]:
+    """Consecutive texts of about ``size`` characters together."""
+    part, held = [], 0
+    for text in texts:
+        part.append(text)
+        held += len(text)
+        if held >= size:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
+def _is_byte_level(described: dict) -> bool:
+    """Whether the file is byte-level BPE as this module takes it to be."""
+    model, splitter = described["model"], described["pre_tokenizer"] or {}
+    return (
+        model["type"] == "BPE"
+        and not any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        and described["normalizer"] is None
+        and splitter.get("type") == "ByteLevel"
+        and splitter.get("use_regex", True)
+        and not splitter.get("add_prefix_space")
+        and set(byte_alphabet()) <= model["vocab"].keys()
+    )
 
 
 @functools.lru_cache(maxsize=2)

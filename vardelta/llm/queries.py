@@ -22,6 +22,7 @@ from vardelta.llm._shared import table
 from vardelta.llm.sql import MIX_WEIGHTS, ORACLE_SQL, SEED, SHARDS, URL_RULES
 
 BYTE_BPE, BYTE_BPE_IDS, END_ID = "byte_bpe_50k.json", 50_257, 2
+LIMIT = 1024
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +31,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         line_dedup.url_host(F.col("url")).alias("host"),
         line_dedup.html_lines(F.col("html")).alias("text"),
     )
-    return line_dedup.drop_boilerplate(pages, "host", "text").drop("text")
+    return line_dedup.drop_boilerplate(pages, "host", "text")
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,13 +88,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = token_counts.with_prefixes(docs, public_tokenizers.path(BYTE_BPE))
+    counted = token_counts.with_prefixes(docs, public_tokenizers.path(BYTE_BPE), budgets=(LIMIT,))
     return counted.select(
         "doc_id",
         F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long").alias("n_bytes"),
         "n_tokens",
-        (F.col("n_tokens") > 1024).alias("over_limit"),
-        token_counts.chars_within(F.col("ends"), F.col("counts"), 1024).alias("chars_within_limit"),
+        (F.col("n_tokens") > LIMIT).alias("over_limit"),
+        F.get("within", F.lit(0)).alias("chars_within_limit"),
     )
 
 

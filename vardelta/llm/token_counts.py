@@ -1,88 +1,71 @@
 """Token counts of every prefix.
 
-``counts[k]`` is the exact number of tokens of the text up to ``ends[k]`` (characters), by the
-recurrence ``counts[k] = counts[k - 1] + tokens(piece k)``: byte-level BPE encodes the pieces between
-two cuts apart, so each stored prefix count is what the library gives for that prefix. From these two
-arrays truncation and budget questions are answered by a search, without encoding the text again;
-inside a piece only that one word is looked at. Local to a row: no shuffle.
+For each character of a text its *step* is stored: by how much the exact number of tokens changes when the
+prefix grows by it. The running sum of the steps is the count of each prefix, the library's count of that
+very text; it may fall, as a longer token can take the place of several. Truncation and budget questions are
+answered from the steps alone, nothing is encoded again. The counts come from dynamic programming
+(:mod:`vardelta.llm._prefix_counts`). Local to a row: no shuffle, a byte a character.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vardelta.llm._pieces import PieceEncoder, shared_encoder
+from vardelta.llm._prefix_counts import shared_counter
 from vardelta.llm._shared import without
 
-PREFIXES = "struct<ends:array<int>,counts:array<int>>"
 
+def counts(steps: Sequence[int]) -> np.ndarray:
+    """The token count of every prefix, that of the first character first."""
+    return np.cumsum(np.asarray(steps, dtype=np.int8), dtype=np.int64)
 
-def prefix_table(encoder: PieceEncoder, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ends (in characters) and token counts of the prefixes of one text."""
-    ends, counts = [], []
-    for part in encoder.blocks(text) if len(text) > encoder.block and not encoder.whole(text) else [text]:
-        ends.append(np.fromiter(map(len, encoder.cuts(part)), dtype=np.int64))
-        counts.append(np.fromiter(map(len, encoder.pieces(part)), dtype=np.int64) // 4)
-    return np.cumsum(np.concatenate(ends)), np.cumsum(np.concatenate(counts))
 
+def fitting(steps: Sequence[int], budget: int) -> int:
+    """Length in characters of the longest prefix of at most ``budget`` tokens."""
+    found = np.flatnonzero(counts(steps) <= budget)
+    return int(found[-1]) + 1 if len(found) else 0
 
-def truncate(encoder: PieceEncoder, text: str, ends: list[int], counts: list[int], budget: int) -> str:
-    """The longest stored prefix within ``budget`` tokens, and as much of the next piece as still fits."""
-    k = int(np.searchsorted(counts, budget, side="right"))
-    at, spent = (ends[k - 1], counts[k - 1]) if k else (0, 0)
-    if k == len(ends):
-        return text
-    for stop in range(ends[k] - 1, at, -1):
-        if spent + len(encoder.encode(text[at:stop])) // 4 <= budget:
-            return text[:stop]
-    return text[:at]
 
+def truncate(text: str, steps: Sequence[int], budget: int) -> str:
+    """The longest prefix of the text within ``budget`` tokens."""
+    return text[: fitting(steps, budget)]
 
-def prefixes(text: Column, tokenizer: str) -> Column:
-    """Struct of the arrays ``ends`` and ``counts`` for a text column; null counts as empty."""
+
+def prefixes(text: Column, tokenizer: str, budgets: Sequence[int] = ()) -> Column:
+    """Struct of ``steps``, ``n_tokens`` and ``within`` (characters that fit each budget); null counts as empty."""
 
     def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = shared_encoder(tokenizer)
+        counter = shared_counter(tokenizer)
         for texts in batches:
-            ends, counts, offsets = [], [], [0]
-            for t in texts:
-                e, c = prefix_table(encoder, t.as_py() or "")
-                ends.append(e)
-                counts.append(c)
-                offsets.append(offsets[-1] + len(e))
-            flat = lambda parts: pa.array(np.concatenate(parts or [np.zeros(0)]).astype(np.int32))
-            at = pa.array(offsets, type=pa.int32())
+            steps = counter.steps([t or "" for t in texts.to_pylist()])
+            read = [np.frombuffer(s, dtype=np.int8) for s in steps]
+            at = pa.array(np.cumsum([0, *map(len, steps)]), type=pa.int32())
+            within = [[fitting(s, b) for b in budgets] for s in read]
             yield pa.StructArray.from_arrays(
-                [pa.ListArray.from_arrays(at, flat(ends)), pa.ListArray.from_arrays(at, flat(counts))],
-                names=["ends", "counts"],
+                [
+                    pa.ListArray.from_arrays(at, pa.Array.from_buffers(pa.int8(), at[-1].as_py(), [None, pa.py_buffer(b"".join(steps))])),
+                    pa.array([int(s.sum(dtype=np.int64)) for s in read], type=pa.int64()),
+                    pa.array(within, type=pa.list_(pa.int64())),
+                ],
+                names=["steps", "n_tokens", "within"],
             )
 
     rows.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(rows, returnType=PREFIXES)(text)
+    return F.arrow_udf(rows, returnType="struct<steps:array<tinyint>,n_tokens:bigint,within:array<bigint>>")(text)
 
 
-def with_prefixes(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
-    """Every row with ``ends``, ``counts`` and ``n_tokens``.
+def with_prefixes(docs: DataFrame, tokenizer: str, budgets: Sequence[int] = (), text: str = "text") -> DataFrame:
+    """Every row with ``steps``, ``n_tokens`` and ``within``.
 
-    A null or empty text has the single prefix of length 0 with 0 tokens. Rows are independent, so ties
-    and repeats need no care; input columns called like the new ones are replaced.
+    A null or empty text has no steps and 0 tokens. Rows are independent, so ties and repeats need no care; input
+    columns called like the new ones are replaced; an empty table stays empty. The tokenizer file must be
+    byte-level BPE with the usual splitter; another one is refused with an error.
     """
-    kept = [F.col(f"`{c}`") for c in without(docs, "ends", "counts", "n_tokens").columns]
-    found = docs.select(*kept, prefixes(F.col(text), tokenizer).alias("__p"))
-    return found.select(
-        *kept,
-        F.col("__p.ends").alias("ends"),
-        F.col("__p.counts").alias("counts"),
-        F.element_at("__p.counts", -1).cast("long").alias("n_tokens"),
-    )
-
-
-def chars_within(ends: Column, counts: Column, budget: int) -> Column:
-    """Length of the longest stored prefix that has at most ``budget`` tokens."""
-    fitting = F.size(F.filter(counts, lambda c: c <= budget))
-    return F.when(fitting > 0, F.get(ends, fitting - 1)).otherwise(F.lit(0))
+    kept = [F.col(f"`{c}`") for c in without(docs, "steps", "n_tokens", "within").columns]
+    found = docs.select(*kept, prefixes(F.col(text), tokenizer, budgets).alias("__p"))
+    return found.select(*kept, *[F.col(f"__p.{c}").alias(c) for c in ("steps", "n_tokens", "within")])
