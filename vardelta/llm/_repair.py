@@ -12,61 +12,80 @@ from dataclasses import dataclass
 import numpy as np
 
 
+SLOT_BITS = 18
+
+
 @dataclass
 class Grammar:
     """``symbols`` below ``base`` are ids; ``base + k`` stands for the pair ``rules[k]``."""
 
     base: int
     rules: np.ndarray  # (n, 2) uint32
-    symbols: np.ndarray  # uint32
     lengths: np.ndarray  # uint32: ids that rule k expands to
-    round_ends: list[int]  # rules that exist after each round
+    symbols: np.ndarray  # uint32
 
 
-def compress(ids: np.ndarray, base: int, rounds: int | None = None, least: int = 16) -> Grammar:
+def compress(ids: np.ndarray, base: int, least: int = 16) -> Grammar:
     """Grammar of ``ids`` (all below ``base``): rounds go on until no pair is seen ``least`` times or more.
 
-    ``rounds`` bounds them, if given. A pair of which other pairs took every occurrence gets no rule.
+    All pairs are counted exactly in the first round. Later only such pairs can be frequent as hold a symbol
+    of the round before, or were frequent then and lost some occurrences to their neighbours; only these are
+    counted again. What is sorted to count it are the pairs whose hash slot is that full at least, so that no
+    frequent pair is missed. A pair of which other pairs took every occurrence gets no rule.
     """
-    sequence, rules, next_symbol, done = ids.astype(np.uint32), [], base, 0
-    while len(sequence) > 1 and (rounds is None or done < rounds):
-        done += 1
-        keys = (sequence[:-1].astype(np.uint64) << np.uint64(32)) | sequence[1:]
-        pairs, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        at = np.flatnonzero(counts[which] >= least)
-        if not len(at):
+    sequence = ids.astype(np.int32)
+    lengths = np.ones(base, dtype=np.uint32)
+    rules, next_symbol = [], base
+    at = np.arange(len(sequence) - 1)  # where pairs to be counted begin
+    while len(at) >= least:
+        width, places = int(next_symbol - 1).bit_length(), len(sequence).bit_length()
+        if 2 * width + places > 63:
+            raise ValueError("a block of so many ids and symbols can't be counted")
+        keys = (sequence[at].astype(np.int64) << width) | sequence[at + 1]
+        slots = ((keys * 0x1E3779B97F4A7C15) >> 40) & ((1 << SLOT_BITS) - 1)
+        full = np.bincount(slots, minlength=1 << SLOT_BITS)[slots] >= least
+        packed = (keys[full] << places) | at[full]
+        if not len(packed):
             break
+        packed.sort()
+        pair = packed >> places
+        first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+        counts = np.diff(np.r_[first, len(pair)])
+        frequent = counts >= least
+        if not frequent.any():
+            break
+        seen = np.full(len(sequence), -1, dtype=np.int32)
+        where = packed[np.repeat(frequent, counts)] & ((1 << places) - 1)
+        seen[where] = np.repeat(np.arange(frequent.sum(), dtype=np.int32), counts[frequent])
         # of neighbouring matches every second one is taken, from the left of each run
-        starts = np.r_[True, np.diff(at) != 1]
-        run = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - run) % 2 == 0]
-        used, new = np.unique(which[at], return_inverse=True)
-        sequence[at] = (next_symbol + new).astype(np.uint32)
+        matches = np.flatnonzero(seen >= 0)
+        opens = np.r_[True, np.diff(matches) != 1]
+        run = np.maximum.accumulate(np.where(opens, np.arange(len(matches)), 0))
+        taken = matches[(np.arange(len(matches)) - run) & 1 == 0]
+        used = np.bincount(seen[taken], minlength=frequent.sum()) > 0
+        number = next_symbol + np.cumsum(used) - 1
+        sequence[taken] = number[seen[taken]]
+        robbed = seen >= 0  # frequent, but a neighbour was taken
+        robbed[taken] = False
         stays = np.ones(len(sequence), dtype=bool)
-        stays[at + 1] = False
-        sequence = sequence[stays]
-        pairs = pairs[used]
-        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
-        next_symbol += len(used)
-    table = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.uint32)
-    ends = np.cumsum([len(r) for r in rules]).tolist() if rules else []
-    return Grammar(base, table, sequence, expansion_lengths(base, rules), ends)
-
-
-def expansion_lengths(base: int, rounds: list[np.ndarray]) -> np.ndarray:
-    """How many ids each rule stands for; the rules come round by round."""
-    lengths = np.ones(base, dtype=np.uint32)
-    for table in rounds:
+        stays[taken + 1] = False
+        sequence, robbed = sequence[stays], robbed[stays]
+        made = pair[first[frequent][used]]
+        table = np.stack([made >> width, made & ((1 << width) - 1)], axis=1)
+        rules.append(table)
         lengths = np.concatenate([lengths, lengths[table[:, 0]] + lengths[table[:, 1]]])
-    return lengths[base:]
+        new = sequence >= next_symbol
+        again = new[:-1] | new[1:] | robbed[:-1]
+        at, next_symbol = np.flatnonzero(again), next_symbol + len(table)
+    table = np.concatenate(rules) if rules else np.zeros((0, 2))
+    return Grammar(base, table.astype(np.uint32), lengths[base:], sequence.astype(np.uint32))
 
 
-def expand(base: int, rules: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    """All ids that ``symbols`` stand for."""
-    out = symbols.astype(np.uint32)
+def _unfold(base: int, rules: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """The ids of ``symbols``, level by level."""
+    out = symbols
     while len(out) and (inner := out >= base).any():
-        sizes = inner.astype(np.int64) + 1
-        ends = np.cumsum(sizes)
+        ends = np.cumsum(inner.astype(np.int64) + 1)
         grown = np.empty(ends[-1], dtype=np.uint32)
         grown[ends[~inner] - 1] = out[~inner]
         pairs = rules[out[inner] - base]
@@ -75,6 +94,18 @@ def expand(base: int, rules: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     return out
 
 
+def expand(grammar: Grammar, symbols: np.ndarray) -> np.ndarray:
+    """All ids that ``symbols`` stand for: the rules are unfolded once and then copied."""
+    base = grammar.base
+    text = np.concatenate([np.arange(base, dtype=np.uint32), _unfold(base, grammar.rules, grammar.rules.reshape(-1))])
+    sizes = np.concatenate([np.ones(base, dtype=np.int64), grammar.lengths])
+    begins = np.cumsum(sizes) - sizes
+    wanted = sizes[symbols]
+    ends = np.cumsum(wanted)
+    shift = np.repeat(begins[symbols] - (ends - wanted), wanted)
+    return text[np.arange(len(shift)) + shift]
+
+
 def expand_range(grammar: Grammar, start: int, stop: int) -> np.ndarray:
     """The ids at ``start`` to ``stop`` (exclusive); only symbols that reach into the range are expanded."""
     symbols = grammar.symbols
@@ -83,7 +114,7 @@ def expand_range(grammar: Grammar, start: int, stop: int) -> np.ndarray:
     sizes[~plain] = grammar.lengths[symbols[~plain] - grammar.base]
     ends = np.cumsum(sizes)
     first, last = np.searchsorted(ends, start, side="right"), np.searchsorted(ends, stop, side="left")
-    part = expand(grammar.base, grammar.rules, symbols[first : last + 1])
+    part = expand(grammar, symbols[first : last + 1])
     skip = start - (ends[first] - sizes[first]) if first < len(ends) else 0
     return part[skip : skip + max(0, stop - start)]
 

@@ -1,22 +1,23 @@
 """Token ids on disk, compressed by Re-Pair.
 
 The texts are dealt into shards by ranges of doc_id and sorted there. Each shard is encoded and cut
-into blocks of about 2 ** 18 ids; a block becomes a grammar (rules, expansion lengths follow from
-them) and a bit-packed symbol sequence. A row of the Parquet files is one block, so Spark's writer
+into blocks of about 2 ** 18 ids; a block becomes a grammar (rules and their expansion lengths)
+and a bit-packed symbol sequence. A row of the Parquet files is one block, so Spark's writer
 commits them, any store will do, and a lost executor's shard is simply encoded again.
 
 File format, one row a block: ``shard``, ``block`` (from 0 in its shard), ``first_id`` (ids of the shard
 before it), ``n_ids``, ``first_doc`` (number of its first document in the shard), ``doc_ids``,
 ``doc_ends`` (ends of the documents, in ids of the block), ``resumed``, ``open``,
-``bits``, ``rules`` and ``symbols`` (packed with so many bits each), ``n_rules``, ``round_ends`` (rules of
-each round, for the expansion lengths), ``n_symbols``. A very long document can continue
-in the next block: ``open`` says that the last one goes on, ``resumed`` that the first one does.
+``bits``, ``rules`` and ``symbols`` (packed with so many bits each), ``n_rules``, ``length_bits`` and ``lengths``
+(how many ids each rule stands for: any range of ids is decoded without the rest), ``n_symbols``. A very
+long document can continue in the next block: ``open`` says that the last one goes on, ``resumed`` that the
+first one does.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vardelta.llm import _repair
-from vardelta.llm._pieces import PieceEncoder, shared_encoder
+from vardelta.llm._pieces import CHUNK, shared_encoder
 from vardelta.llm._shared import materialize, shuffle_partitions
 
 BLOCK_IDS = 1 << 18
@@ -33,24 +34,25 @@ BLOCKS = pa.schema(
         ("shard", pa.int32()), ("block", pa.int32()), ("first_id", pa.int64()), ("n_ids", pa.int64()),
         ("first_doc", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_ends", pa.list_(pa.int64())),
         ("resumed", pa.bool_()), ("open", pa.bool_()),
-        ("bits", pa.int32()), ("n_rules", pa.int32()), ("round_ends", pa.list_(pa.int32())),
-        ("rules", pa.binary()), ("n_symbols", pa.int64()), ("symbols", pa.binary()),
+        ("bits", pa.int32()), ("n_rules", pa.int32()), ("rules", pa.binary()),
+        ("length_bits", pa.int32()), ("lengths", pa.binary()), ("n_symbols", pa.int64()), ("symbols", pa.binary()),
     ]
 )
 BLOCKS_DDL = (
     "shard int, block int, first_id long, n_ids long, first_doc long, doc_ids array<long>, doc_ends array<long>, "
     "resumed boolean, open boolean, "
-    "bits int, n_rules int, round_ends array<int>, rules binary, n_symbols long, symbols binary"
+    "bits int, n_rules int, rules binary, length_bits int, lengths binary, n_symbols long, symbols binary"
 )
 
 
-def pack_block(ids: np.ndarray, base: int, rounds: int | None, least: int) -> dict:
+def pack_block(ids: np.ndarray, base: int, least: int) -> dict:
     """The grammar columns of one block."""
-    grammar = _repair.compress(ids, base, rounds, least)
+    grammar = _repair.compress(ids, base, least)
     bits = max(1, int(base + len(grammar.rules) - 1).bit_length())
+    length_bits = max(1, int(grammar.lengths.max(initial=1)).bit_length())
     return {
-        "bits": bits, "n_rules": len(grammar.rules), "round_ends": grammar.round_ends,
-        "rules": _repair.pack_bits(grammar.rules.reshape(-1), bits),
+        "bits": bits, "n_rules": len(grammar.rules), "rules": _repair.pack_bits(grammar.rules.reshape(-1), bits),
+        "length_bits": length_bits, "lengths": _repair.pack_bits(grammar.lengths, length_bits),
         "n_symbols": len(grammar.symbols), "symbols": _repair.pack_bits(grammar.symbols, bits),
     }
 
@@ -58,10 +60,8 @@ def pack_block(ids: np.ndarray, base: int, rounds: int | None, least: int) -> di
 def load_block(row: dict, base: int) -> _repair.Grammar:
     """The grammar of a stored row."""
     rules = _repair.unpack_bits(row["rules"], row["bits"], 2 * row["n_rules"]).reshape(-1, 2)
-    symbols = _repair.unpack_bits(row["symbols"], row["bits"], row["n_symbols"])
-    ends = row["round_ends"]
-    rounds = [rules[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if len(ends) else []
-    return _repair.Grammar(base, rules, symbols, _repair.expansion_lengths(base, rounds), list(ends))
+    lengths = _repair.unpack_bits(row["lengths"], row["length_bits"], row["n_rules"])
+    return _repair.Grammar(base, rules, lengths, _repair.unpack_bits(row["symbols"], row["bits"], row["n_symbols"]))
 
 
 def document_slice(row: dict, base: int, doc: int, start: int = 0, stop: int | None = None) -> np.ndarray:
@@ -73,9 +73,9 @@ def document_slice(row: dict, base: int, doc: int, start: int = 0, stop: int | N
 
 
 def encode_blocks(
-    docs: DataFrame, tokenizer: str, end_id: int, base: int, rounds: int | None = None, least: int = 16, shards: int | None = None
+    docs: DataFrame, tokenizer: str, end_id: int, base: int, least: int = 16, shards: int | None = None
 ) -> DataFrame:
-    """Blocks (:data:`BLOCKS`) of ``docs`` (doc_id, text), in ascending doc_id order.
+    """Blocks (:data:`BLOCKS`) of ``docs`` (doc_id, an integer, and text), in ascending doc_id order.
 
     Null doc_ids come first; rows that share a doc_id are ordered by a hash of their text, equal rows as
     they come. A null text is an empty one: only its end id is stored.
@@ -86,7 +86,7 @@ def encode_blocks(
         docs.select("doc_id", "text", F.xxhash64("text").alias("__tie"))
         .repartitionByRange(count, *order)
         .sortWithinPartitions(*order)
-        .select(F.spark_partition_id().alias("shard"), "doc_id", "text")
+        .select(F.spark_partition_id().alias("shard"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     )
 
     def shard_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,37 +102,46 @@ def encode_blocks(
                 "doc_ids": names, "doc_ends": ends, "resumed": resumed, "open": goes_on,
             }
             ids = np.frombuffer(b"".join(held), dtype="<u4")
-            return pa.RecordBatch.from_pylist([row | pack_block(ids, base, rounds, least)], schema=BLOCKS)
-
-        for batch in batches:
-            for place, doc_id, text in zip(*batch.columns, strict=True):
-                shard, text = place.as_py(), text.as_py() or ""
-                parts = _parts(encoder, text)
-                for k, part in enumerate(parts):
-                    last = k + 1 == len(parts)
-                    raw = encoder.encode(part) + (end if last else b"")
-                    held.append(raw)
-                    size += len(raw) // 4
-                    if k and names:  # the document goes on in the same block
-                        ends[-1] = size
-                    else:
-                        names.append(doc_id.as_py())
-                        ends.append(size)
-                    if size >= BLOCK_IDS:
-                        yield flush(not last)
-                        done, block, resumed = done + size, block + 1, not last
-                        first_doc = number + last
-                        held, size, names, ends = [], 0, [], []
-                number += 1
+            return pa.RecordBatch.from_pylist([row | pack_block(ids, base, least)], schema=BLOCKS)
+
+        for group in _groups(batches, encoder.blocks):
+            coded = encoder.encode_many([part for *_, part, _, _ in group])
+            for (shard, doc_id, _, opens, last), raw in zip(group, coded, strict=True):
+                if last:
+                    raw += end
+                held.append(raw)
+                size += len(raw) // 4
+                if not opens and names:  # the document goes on in the same block
+                    ends[-1] = size
+                else:
+                    names.append(doc_id)
+                    ends.append(size)
+                if size >= BLOCK_IDS:
+                    yield flush(not last)
+                    done, block, resumed = done + size, block + 1, not last
+                    first_doc = number + last
+                    held, size, names, ends = [], 0, [], []
+                number += last
         if size:
             yield flush(False)
 
     return dealt.mapInArrow(shard_blocks, BLOCKS_DDL)
 
 
-def _parts(encoder: PieceEncoder, text: str) -> list[str]:
-    long = len(text) > encoder.block and not encoder.whole(text)
-    return encoder.blocks(text) if long else [text]
+def _groups(batches: Iterator[pa.RecordBatch], cut: Callable[[str], list[str]]) -> Iterator[list[tuple]]:
+    """Parts of documents (shard, doc_id, text, whether it is the first, the last), some megabytes at a time."""
+    group, held = [], 0
+    for batch in batches:
+        for place, doc_id, text in zip(*batch.columns, strict=True):
+            parts = cut(text.as_py() or "")
+            for k, part in enumerate(parts):
+                group.append((place.as_py(), doc_id.as_py(), part, k == 0, k + 1 == len(parts)))
+                held += len(part)
+                if held >= CHUNK:
+                    yield group
+                    group, held = [], 0
+    if group:
+        yield group
 
 
 def decode_documents(blocks: DataFrame, base: int) -> DataFrame:
@@ -148,7 +157,7 @@ def decode_documents(blocks: DataFrame, base: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (row for batch in batches for row in batch.to_pylist()):
             grammar = load_block(row, base)
-            raw = _repair.expand(base, grammar.rules, grammar.symbols).astype("<u4").tobytes()
+            raw = _repair.expand(grammar, grammar.symbols).astype("<u4").tobytes()
             ends = row["doc_ends"]
             starts, last = [0, *ends[:-1]], len(ends) - 1
             parts = [raw[4 * s : 4 * e] for s, e in zip(starts, ends, strict=True)]
