@@ -9,8 +9,10 @@ def test_rounds_go_on_until_no_pair_is_frequent():
     passage = np.random.default_rng(2).integers(0, 50_257, 1000).astype(np.uint32)
     for ids in (np.tile(passage, 260), np.full(1 << 18, 7, dtype=np.uint32), np.random.default_rng(3).integers(0, 90, 1 << 18).astype(np.uint32)):
         grammar = _repair.compress(ids, 50_257)
-        assert (_repair.expand(50_257, grammar.rules, grammar.symbols) == ids).all()
+        assert (_repair.expand(grammar, grammar.symbols) == ids).all()
         s = grammar.symbols.astype(np.uint64)
         assert len(s) < 2 or np.unique((s[:-1] << np.uint64(32)) | s[1:], return_counts=True)[1].max() < 16
+        for k in range(0, len(grammar.rules), 97):  # stored lengths are those of the expansions
+            assert len(_repair.expand(grammar, np.array([50_257 + k]))) == grammar.lengths[k]
     assert len(_repair.compress(np.tile(passage, 260), 50_257).symbols) < 260 * 1000 / 100
     assert len(np.unique(_repair.compress(np.tile(passage, 260), 50_257).rules, axis=0)) > 900
