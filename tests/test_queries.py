@@ -8,7 +8,11 @@ import pytest
 from vardelta.derive import GIVEN
 from vardelta.queries import ORACLES, QUERIES
 
-SPREAD = sorted(set(sorted(ORACLES)[::4]) | {"c08_delta", "c12_validate", "j04_compound_het", "m04_reannotate_delta"})
+SPREAD = sorted(
+    set(sorted(ORACLES)[::4])
+    | {"c08_delta", "c12_validate", "j01_recessive", "j04_compound_het", "j05_snapshot_delta", "j27_kinship", "m04_reannotate_delta"}
+    | {"m05_mark_anchor", "q03_absent_sources", "t06_order_prs", "t08_order_second_hits", "w04_second_hits", "w11_family_generation"}
+)
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +34,13 @@ def test_query_equals_its_sql(spark, sf_dir, duck, name):
     assert collections.Counter(tuple(r[c] for c in columns) for r in got.collect()) == want and want
 
 
+def test_delta_cuts_history_and_scores_to_changed_keys(spark, sf_dir, capsys):
+    """Below the grouping of the history stands a semi-join with the changed keys."""
+    QUERIES["c08_delta"](spark, sf_dir).explain("formatted")
+    plan = capsys.readouterr().out
+    assert plan.count("LeftSemi") >= 3
+
+
 def test_every_query_has_a_name_of_its_kind():
     assert all(n[0] in "spjawtucmrq" for n in QUERIES) and set(ORACLES) <= set(QUERIES)
 

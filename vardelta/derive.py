@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vardelta.sources.store import scratch
 
+#: Read by several others: DuckDB works these out once.
+ONCE = ("calls", "annotated")
 GIVEN = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -39,6 +41,7 @@ _POLYPHEN = _pick("k % 5", "probably_damaging(0.99)", "benign(0.01)", "possibly_
 _DISEASE = _pick("k % 6", "not_provided|Some_disease_A", "Disease_B", "not_specified", None, "A_very_long_name_of_a_hereditary_disease_with_many_more_words_than_fit|x", "See_cases|not_provided")
 _SAMPLE = _pick("sidx", "father", "mother", "daughter", "partner", "grandson", "granddaughter")
 EIGHTH = "cast(floor(k / 8) as bigint)"
+TWENTIETH = "cast(floor(k / 20) as bigint)"
 
 #: Name to SQL; ``{table}`` stands for a given table, other names for other entries.
 TABLES = {
@@ -61,10 +64,12 @@ TABLES = {
         SELECT snapshot_id, si, k, sidx, n, q, {_SAMPLE} AS sample_id,
           CASE WHEN k % 23 = 22 THEN 'X' ELSE cast(k % 23 + 1 as string) END AS chrom, k AS pos,
           {_pick("k % 4", "A", "C", "G", "-")} AS ref, {_pick("k % 4", "G", "T", "-", "AT")} AS alt,
-          CASE WHEN k % 41 = 0 THEN NULL ELSE 'G' || cast(k % 60 as string) END AS gene,
+          CASE WHEN k % 41 = 0 THEN NULL WHEN k % 9 = 4 THEN 'G' || cast(1000 + {TWENTIETH} as string)
+            ELSE 'G' || cast(k % 60 as string) END AS gene,
           {_CSQ} AS consequence, {_SIG} AS clinvar_sig, {_REV} AS clinvar_revstat,
           cast(k as string) AS clinvar_alleleid, {_DISEASE} AS clinvar_disease,
           CASE WHEN k % 7 = 0 THEN NULL WHEN k % 13 = 0 THEN cast((k + si * 97) % 1000 as double) / cast(100000 as double)
+            WHEN k % 10 = 3 THEN cast(k % 1000 as double) / cast(1000 as double)
             ELSE cast(k % 1000 as double) / cast(100000 as double) END AS gnomad_af,
           {_SIFT} AS sift, {_POLYPHEN} AS polyphen, CASE WHEN n >= 2 THEN 'HOM' ELSE 'HET' END AS zygosity
         FROM (SELECT c.*, s.si, s.snapshot_id,
@@ -78,7 +83,20 @@ TABLES = {
         SELECT 'G' || cast(g as string) AS gene, 'D' || cast(g % 14 as string) AS disease, {_pick("g % 14 % 3", "AD", "AR", "XL")} AS inh
         FROM (SELECT DISTINCT k % 60 AS g FROM sites) AS x WHERE g < 45
         UNION ALL
-        SELECT 'G' || cast(g as string), 'D20', 'AR' FROM (SELECT DISTINCT k % 60 AS g FROM sites) AS y WHERE g % 9 = 0""",
+        SELECT 'G' || cast(g as string), 'D20', 'AR' FROM (SELECT DISTINCT k % 60 AS g FROM sites) AS y WHERE g % 9 = 0
+        UNION ALL
+        SELECT 'G' || cast(1000 + h as string), 'D21', 'AR' FROM (SELECT DISTINCT {TWENTIETH} AS h FROM sites) AS z WHERE h % 3 = 0""",
+    "kin": f"""
+        SELECT 'p' || cast(c as string) AS id, 'Person ' || cast(c as string) AS display_name,
+          {_pick("r", "male", "female", "female", "male", "male", "female")} AS sex,
+          CASE WHEN r = 2 THEN 'p' || cast(c - 2 as string) WHEN r > 3 THEN 'p' || cast(c - r + 3 as string) END AS father,
+          CASE WHEN r = 2 THEN 'p' || cast(c - 1 as string) WHEN r > 3 THEN 'p' || cast(c - r + 2 as string) END AS mother,
+          CASE WHEN r IN (0, 2) THEN 'p' || cast(c + 1 as string) WHEN r IN (1, 3) THEN 'p' || cast(c - 1 as string) END AS partner,
+          cast(floor(c / 6) as bigint) AS family, c
+        FROM (SELECT cast(c_custkey as bigint) AS c, cast(c_custkey % 6 as bigint) AS r FROM {{customer}}) AS x""",
+    "releases": """
+        SELECT DISTINCT substr(cast(o_orderdate as string), 1, 10) AS snapshot_id, '1' || substr(cast(o_orderdate as string), 3, 2) AS cache_version
+        FROM {orders}""",
     "gene_constraint": """
         SELECT 'G' || cast(g as string) AS gene,
           CASE WHEN g % 5 = 0 THEN NULL ELSE cast(g * 37 % 100 as double) / cast(100 as double) END AS pli,
@@ -173,9 +191,9 @@ def _reads(name: str) -> str:
 #: Tables that Spark derives once per folder and keeps as Parquet, with their columns and partitioning.
 STORED = {
     "annotated": (
-        "si, k, sidx, n, q, sample_id, chrom, pos, ref, alt, gene, consequence, clinvar_sig, clinvar_revstat, "
-        "clinvar_alleleid, clinvar_disease, gnomad_af, sift, polyphen, zygosity, snapshot_id",
-        ["snapshot_id"],
+        "si, k, sidx, n, q, chrom, pos, ref, alt, gene, consequence, clinvar_sig, clinvar_revstat, "
+        "clinvar_alleleid, clinvar_disease, gnomad_af, sift, polyphen, zygosity, snapshot_id, sample_id",
+        ["snapshot_id", "sample_id"],
     ),
     "genotypes": ("sample_id, k, n, q, chrom, pos, ref, alt, filter, gt, ad, dp, gq, ps", []),
     "cohort": ("individual, chrom, pos, ref, alt, dosage", []),
@@ -196,7 +214,8 @@ def ctes(*names: str, paths: str | None = None, kept: dict[str, str] | None = No
     for name in names:
         order += [n for n in _needs(name, kept or {}) if n not in order]
     given = {t: f"parquet.`{paths}/{t}.parquet`" if paths else t for t in GIVEN}
-    body = ",\n".join(f"{n} AS ({(kept or {}).get(n) or TABLES[n].format(**given)})" for n in order)
+    once = lambda n: "MATERIALIZED " if n in ONCE and not paths else ""
+    body = ",\n".join(f"{n} AS {once(n)}({(kept or {}).get(n) or TABLES[n].format(**given)})" for n in order)
     return f"WITH {body}\n"
 
 
@@ -211,6 +230,8 @@ def stored(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         if key not in _kept:
             path = scratch(spark, f"derived-{name}")
             rows = spark.sql(ctes(name, paths=sf_dir, kept=found) + f"SELECT {columns} FROM {name}")
+            if by:  # a partition's rows come together, large ones in several tasks
+                rows = rows.hint("rebalance", *by)
             rows.write.partitionBy(*by).parquet(path)
             _kept[key] = path
         picked = columns.replace("snapshot_id", "cast(snapshot_id as string) AS snapshot_id")

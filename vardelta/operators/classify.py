@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vardelta import schemas as S
@@ -15,9 +15,8 @@ from vardelta.schemas import KEY
 
 def best_missense(scores: DataFrame) -> DataFrame:
     """Per key the highest transcript score with its class; of equal ones the first transcript."""
-    order = Window.partitionBy(*KEY).orderBy(F.col("score_milli").desc(), "transcript")
-    best = scores.withColumn("place", F.row_number().over(order)).where("place = 1")
-    return best.select(*KEY, F.col("score_milli").alias("am_milli"), "am_class")
+    first = F.min(F.struct((-F.col("score_milli")).alias("low"), "transcript", "score_milli", "am_class")).alias("m")
+    return scores.groupBy(*KEY).agg(first).select(*KEY, F.col("m.score_milli").alias("am_milli"), "m.am_class")
 
 
 def best_splice(scores: DataFrame) -> DataFrame:
@@ -189,9 +188,13 @@ def acmg(
     return evaluate(attach_constraint(attach_model_scores(rows, missense, splice, None), constraint))
 
 
-def order_acmg(df: DataFrame) -> DataFrame:
+def acmg_order() -> list[Column]:
     rank = F.array_position(F.array(*[F.lit(t) for t in S.ACMG_TIERS]), F.col("acmg_tier"))
-    return df.orderBy(rank, F.col("gene").asc_nulls_last(), *KEY)
+    return [rank, F.col("gene").asc_nulls_last(), *map(F.col, KEY)]
+
+
+def order_acmg(df: DataFrame) -> DataFrame:
+    return df.orderBy(*acmg_order())
 
 
 def acmg_summary(calls: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def snapshot_delta(v: DataFrame, prev: str, curr: str, bump: bool = False) -> Da
     Filtered and projected before a null-safe full outer join, so an unchanged genome leaves the join at
     once and nothing downstream sees it. After a version bump the gene is not part of the key.
     """
-    both = F.broadcast(common_samples(v, prev, curr))
+    both = common_samples(v, prev, curr)
     on = ["sample_id", *KEY] if bump else ["sample_id", *KEY, "gene"]
     extra = ["gene"] if bump else []
 
@@ -85,13 +85,22 @@ def model_band_changes(history: DataFrame, prev: str, curr: str) -> DataFrame:
     return p.join(c, KEY).where("prev_model_epoch <> curr_model_epoch and prev_model_band <> curr_model_band")
 
 
-def stability(history: DataFrame, curr: str, window: int = S.STABILITY_WINDOW) -> DataFrame:
+def recent_snapshots(snapshots: DataFrame, curr: str, window: int = S.STABILITY_WINDOW) -> DataFrame:
+    """The last ``window`` snapshots up to ``curr``."""
+    ids = snapshots.select("snapshot_id").where(F.col("snapshot_id") <= curr).distinct()
+    return ids.orderBy(F.col("snapshot_id").desc()).limit(window)
+
+
+def stability(
+    history: DataFrame, curr: str, recent: DataFrame | None = None, window: int = S.STABILITY_WINDOW
+) -> DataFrame:
     """Per variant how steady its significance was over the last snapshots, in thousandths.
 
-    -500 after two turns or more, 500 if it only rose, else 0 (also without a change).
+    -500 after two turns or more, 500 if it only rose, else 0 (also without a change). ``recent``: the snapshots that
+    count (read off the history if not given).
     """
-    recent = history.select("snapshot_id").where(F.col("snapshot_id") <= curr).distinct()
-    recent = recent.orderBy(F.col("snapshot_id").desc()).limit(window)
+    if recent is None:
+        recent = recent_snapshots(history, curr, window)
     rows = history.join(F.broadcast(recent), "snapshot_id", "left_semi")
     rows = rows.withColumn("level", path_ordinal(F.col("clinvar_sig")))
     trail = rows.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("snapshot_id", "level"))).alias("t"))

@@ -27,7 +27,7 @@ def rule_genotypes(rules: DataFrame, samples: DataFrame, genotypes: DataFrame) -
 
     ``rules``: trait, chrom, pos, ref, effect, interp0, interp1, interp2 (a bounded list, broadcast).
     """
-    every = samples.select("sample_id").join(F.broadcast(rules))
+    every = samples.select("sample_id").join(rules)
     alleles = decode_genotype(F.col("g_ref"), F.col("g_alt"), F.col("gt"))
     records = genotypes.where(is_pass(F.col("filter"))).select(
         "sample_id", "chrom", "pos", F.col("ref").alias("g_ref"), F.col("alt").alias("g_alt"), "gt", F.lit(True).alias("seen")
@@ -60,7 +60,7 @@ def repeat_status(calls: DataFrame, thresholds: DataFrame, consented: DataFrame)
     ``calls``: sample_id, varid, sizes (array<int>); ``consented``: sample_id.
     """
     known = thresholds.select(F.lower("locus").alias("low"), "locus", "premutation", "pathogenic")
-    rows = calls.withColumn("low", F.lower("varid")).join(F.broadcast(known), "low", "left")
+    rows = calls.withColumn("low", F.lower("varid")).join(known, "low", "left")
     top = F.array_max("sizes")
     status = (
         F.when(F.col("locus").isNull() | top.isNull(), "none").when(top >= F.col("pathogenic"), "expanded")
@@ -94,7 +94,7 @@ def haplogroup_qc(calls: DataFrame, people: DataFrame) -> DataFrame:
 
     ``calls``: sample_id, person, mt_group, mt_quality (text), y_group.
     """
-    rows = calls.join(F.broadcast(people.select(F.col("id").alias("person"), "sex")), "person", "left")
+    rows = calls.join(people.select(F.col("id").alias("person"), "sex"), "person", "left")
     good = F.coalesce(F.col("mt_quality").try_cast("double") >= LEAST_QUALITY, F.lit(False))
     return rows.select(
         "sample_id", F.when(good, F.col("mt_group")).otherwise("unresolved").alias("mt_group"),
@@ -106,7 +106,7 @@ def mito_calls(rows: DataFrame, curated: DataFrame) -> DataFrame:
     """Mitochondrial calls with their level and whether they are on the curated list; unreadable shares go."""
     share = F.col("af").try_cast("double")
     level = F.when(share >= HOMOPLASMIC, "homoplasmic").when(share >= LEAST_HETEROPLASMIC, "heteroplasmic").otherwise("low")
-    known = F.broadcast(curated.select("pos", "ref", "alt", "disease"))
+    known = curated.select("pos", "ref", "alt", "disease")
     return rows.where(share.isNotNull()).withColumn("level", level).join(known, ["pos", "ref", "alt"], "left")
 
 

@@ -81,7 +81,7 @@ def carriers(v: DataFrame) -> DataFrame:
 
 def parent_carriage(v: DataFrame, keys: DataFrame, callsets: DataFrame, father: str, mother: str) -> DataFrame:
     """For each key whether any callset of each parent records it. ``callsets``: sample_id, person."""
-    seen = v.join(keys.select(*KEY).distinct(), KEY, "left_semi").join(F.broadcast(callsets), "sample_id")
+    seen = v.join(keys.select(*KEY).distinct(), KEY, "left_semi").join(callsets, "sample_id")
     flags = seen.groupBy(*KEY).agg(
         F.bool_or(F.col("person") == father).alias("in_father"), F.bool_or(F.col("person") == mother).alias("in_mother")
     )
@@ -148,7 +148,7 @@ def parental_phase(pairs: DataFrame) -> DataFrame:
 
 def family_carriers(v: DataFrame, callset_person: DataFrame) -> DataFrame:
     """Per actionable variant and person: the stronger zygosity and the callsets that show it."""
-    act = v.where(is_actionable(F.col("clinvar_sig"))).join(F.broadcast(callset_person), "sample_id")
+    act = v.where(is_actionable(F.col("clinvar_sig"))).join(callset_person, "sample_id")
     return act.groupBy(*KEY, "person").agg(
         F.when(F.bool_or(norm_zyg(F.col("zygosity")) == "HOM"), "HOM").otherwise("HET").alias("zyg"),
         F.array_join(F.sort_array(F.collect_set("sample_id")), ",").alias("callsets"),
@@ -159,13 +159,14 @@ def family_carriers(v: DataFrame, callset_person: DataFrame) -> DataFrame:
 def origins(found: DataFrame, people: DataFrame, sequenced: DataFrame) -> DataFrame:
     """Where each carrier's copy came from. ``sequenced``: persons with any callset."""
     known = people.select(F.col("id").alias("person"), "father", "mother")
-    seq = [r.person for r in sequenced.select("person").distinct().collect()]  # one row a person of the family
+    read = sequenced.select("person").distinct()
     has = found.select(*KEY, F.col("person").alias("p")).distinct()
-    joined = found.join(F.broadcast(known), "person", "left")
+    joined = found.join(known, "person", "left")
     for side in ("father", "mother"):
         carriers_ = has.select(*KEY, F.col("p").alias(side), F.lit(True).alias(f"{side}_has"))
-        joined = joined.join(carriers_, [*KEY, side], "left")
-    both_read = F.col("father").isin(seq) & F.col("mother").isin(seq)
+        was_read = read.select(F.col("person").alias(side), F.lit(True).alias(f"{side}_read"))
+        joined = joined.join(carriers_, [*KEY, side], "left").join(was_read, side, "left")
+    both_read = F.col("father_read").isNotNull() & F.col("mother_read").isNotNull()
     f, m = F.coalesce("father_has", F.lit(False)), F.coalesce("mother_has", F.lit(False))
     origin = (
         F.when(F.col("father").isNull() | F.col("mother").isNull(), "founder").when(~both_read, "unresolved")
@@ -177,4 +178,4 @@ def origins(found: DataFrame, people: DataFrame, sequenced: DataFrame) -> DataFr
 def discordant(found: DataFrame, callset_person: DataFrame) -> DataFrame:
     """Carriers whom some of their callsets do not show."""
     total = callset_person.groupBy("person").agg(F.countDistinct("sample_id").alias("n_all"))
-    return found.join(F.broadcast(total), "person").where("n_callsets < n_all")
+    return found.join(total, "person").where("n_callsets < n_all")

@@ -7,13 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vardelta.sources.store import written
+
 
 def callset_to_person(callsets: DataFrame, people: DataFrame) -> DataFrame:
     """(sample_id, person): the id itself if it is a person, else its longest ``_`` prefix that is, else itself."""
     parts = F.split("sample_id", "_")
     prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "_"))
     rows = callsets.select("sample_id").distinct().select("sample_id", F.explode(prefixes).alias("prefix"))
-    named = rows.join(F.broadcast(people.select(F.col("id").alias("prefix"), F.lit(True).alias("known"))), "prefix", "left")
+    named = rows.join(people.select(F.col("id").alias("prefix"), F.lit(True).alias("known")), "prefix", "left")
     best = F.max_by(F.when(F.col("known"), F.col("prefix")), F.when(F.col("known"), F.length("prefix")))
     return named.groupBy("sample_id").agg(F.coalesce(best, F.col("sample_id")).alias("person"))
 
@@ -35,8 +37,8 @@ def partners(people: DataFrame) -> DataFrame:
 def kinship(people: DataFrame) -> DataFrame:
     """(ego, other, term) of every ordered pair: the first relation of a fixed order that holds.
 
-    Pairs are those of one ``family`` (all persons, if there is no such column). Each relation is a join of
-    edges; their union keeps the least rank of a pair.
+    Pairs are those of one ``family``, a column of ``people``: pairs of strangers are never made. Each relation is a
+    join of edges; their union keeps the least rank of a pair.
     """
     up = parent_edges(people)
     parent = up.select(F.col("child").alias("x"), F.col("parent").alias("y"))
@@ -67,8 +69,7 @@ def kinship(people: DataFrame) -> DataFrame:
         for i, (m, f, n, r) in enumerate(relations)
     ]
     best = reduce(DataFrame.union, ranked).groupBy("x", "y").agg(F.min(F.struct("rank", "m", "f", "n")).alias("r"))
-    housed = people if "family" in people.columns else people.withColumn("family", F.lit(""))
-    every = housed.select("family", F.col("id").alias("x")).join(housed.select("family", F.col("id").alias("y"), "sex"), "family")
+    every = people.select("family", F.col("id").alias("x")).join(people.select("family", F.col("id").alias("y"), "sex"), "family")
     found = every.join(best, ["x", "y"], "left")
     term = F.when(F.col("sex") == "male", F.col("r.m")).when(F.col("sex") == "female", F.col("r.f")).otherwise(F.col("r.n"))
     return found.select(F.col("x").alias("ego"), F.col("y").alias("other"), F.coalesce(term, F.lit("relative")).alias("term"))
@@ -88,22 +89,24 @@ def trio(people: DataFrame, callset_person: DataFrame) -> DataFrame:
     return rows.select("child", "father", "mother", total.alias("sequenced"))
 
 
-def generations(people: DataFrame) -> DataFrame:
+def generations(people: DataFrame, most: int = 100) -> DataFrame:
     """(id, generation): 1 + the greatest of the parents'; founders 0, or their partner's if that is later.
 
-    A recursive query over the edges; ends after as many rounds as the family has persons, so cycles end too.
+    Level by level: a level holds each person once, however many paths lead there, and is written before the next
+    one. Ends when a level is empty, and after ``most`` levels where persons are their own ancestors. Who
+    descends from no founder has no row.
     """
-    spark = people.sparkSession
     up, mates = parent_edges(people), partners(people)
-    most = people.count()
-    rows = spark.sql(
-        """WITH RECURSIVE walk(id, generation) AS (
-             SELECT id, 0 FROM {people} WHERE id NOT IN (SELECT child FROM {up})
-             UNION ALL
-             SELECT u.child, w.generation + 1 FROM walk w JOIN {up} u ON u.parent = w.id WHERE w.generation < {most})
-           SELECT id, max(generation) AS generation FROM walk GROUP BY id""",
-        people=people, up=up, most=most,
-    )
+    level = people.select("id").join(up.select(F.col("child").alias("id")), "id", "left_anti").withColumn("generation", F.lit(0))
+    level = written(level, "generation")
+    found = level
+    for n in range(1, most + 1):
+        below = up.join(level.select(F.col("id").alias("parent")), "parent").select(F.col("child").alias("id")).distinct()
+        level = written(below.withColumn("generation", F.lit(n)), "generation")
+        if level.isEmpty():
+            break
+        found = found.union(level)
+    rows = found.groupBy("id").agg(F.max("generation").alias("generation"))
     mate = rows.select(F.col("id").alias("b"), F.col("generation").alias("mate_generation"))
     founder = up.select(F.col("child").alias("id"), F.lit(True).alias("has_parents")).distinct()
     joined = rows.join(mates.withColumnRenamed("a", "id"), "id", "left").join(mate, "b", "left").join(founder, "id", "left")
@@ -153,7 +156,7 @@ def resolved_consent(consent: DataFrame, callset_person: DataFrame) -> DataFrame
 def consent_gate(rows: DataFrame, resolved: DataFrame, category: str) -> DataFrame:
     """Rows of persons who agreed to the category; without a word there is no consent."""
     ok = resolved.where((F.col("category") == category) & F.col("granted")).select("person")
-    return rows.join(F.broadcast(ok), "person", "left_semi")
+    return rows.join(ok, "person", "left_semi")
 
 
 def fold_consent(ledger: DataFrame, change: DataFrame, callset_person: DataFrame) -> DataFrame:
@@ -167,7 +170,7 @@ def fold_consent(ledger: DataFrame, change: DataFrame, callset_person: DataFrame
 def fully_consented(variants: DataFrame, carriers: DataFrame, resolved: DataFrame, category: str, key: list[str]) -> DataFrame:
     """Variants all of whose carriers agreed; a variant without carriers goes. ``carriers``: key, person."""
     granted = resolved.where(F.col("category") == category).select("person", "granted")
-    every = carriers.join(F.broadcast(granted), "person", "left").groupBy(*key).agg(
+    every = carriers.join(granted, "person", "left").groupBy(*key).agg(
         F.bool_and(F.coalesce("granted", F.lit(False))).alias("all_granted")
     )
     return variants.join(every.where("all_granted"), key, "left_semi")

@@ -42,9 +42,10 @@ def null_sample(v: DataFrame, n: int = 400, common: float = 0.2) -> DataFrame:
     """Common regulatory variants as a null: ``n`` single-base and ``n`` other ones, in a stable hash order."""
     rows = v.where((F.col("gnomad_af") >= common) & is_noncoding(F.col("consequence"))).select(*KEY).distinct()
     name = F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", "alt")
-    rows = rows.withColumn("snv", is_snv(F.col("ref"), F.col("alt")))
-    order = Window.partitionBy("snv").orderBy(F.md5(name))
-    return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
+    rows = rows.withColumn("snv", is_snv(F.col("ref"), F.col("alt"))).withColumn("__h", F.md5(name))
+    first = [rows.where(kind).orderBy("__h").limit(n) for kind in (F.col("snv"), ~F.col("snv"))]  # n rows of each task at most
+    order = Window.partitionBy("snv").orderBy("__h")
+    return first[0].union(first[1]).withColumn("place", F.row_number().over(order)).drop("__h")
 
 
 def null_percentile(scores: DataFrame, null: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from vardelta.functions.significance import disease_name, is_actionable, rarity,
 from vardelta.operators import classify
 from vardelta.operators import delta as changes
 from vardelta.schemas import KEY
+from vardelta.sources.store import written
 
 
 def changed(v: DataFrame, snapshots: DataFrame, prev: str, curr: str) -> tuple[DataFrame, bool]:
@@ -24,8 +25,16 @@ def delta(
     v: DataFrame, snapshots: DataFrame, prev: str, curr: str, panel: DataFrame, missense: DataFrame | None,
     splice: DataFrame | None, regulatory: DataFrame | None, constraint: DataFrame | None, history: DataFrame | None,
 ) -> DataFrame:
-    """Every notable change, scored and put into a tier. Models and rules see only the changed rows."""
+    """Every notable change, scored and put into a tier.
+
+    The changed rows are written first; scores and history are cut to their keys, and to the snapshots that count,
+    before anything is grouped or joined.
+    """
     rows, _ = changed(v, snapshots, prev, curr)
+    rows = written(rows, "changed")
+    keys = rows.select(*KEY).distinct()
+    only = lambda df: None if df is None else df.join(keys, KEY, "left_semi")
+    missense, splice, regulatory = only(missense), only(splice), only(regulatory)
     rows = rows.withColumn("clinvar_sig", F.col("curr_clinvar_sig")).withColumn("gnomad_af", F.col("curr_gnomad_af"))
     rows = classify.attach_models_and_genes(rows, panel, missense, splice, regulatory, constraint)
     judged = classify.evaluate(rows)
@@ -34,7 +43,8 @@ def delta(
     if history is None:
         judged = judged.withColumn("stability", F.lit(0))
     else:
-        judged = judged.join(changes.stability(history, curr), KEY, "left")
+        recent = changes.recent_snapshots(snapshots, curr)
+        judged = judged.join(changes.stability(only(history.where(F.col("snapshot_id") <= curr)), curr, recent), KEY, "left")
     return changes.triage_score(changes.triage_factors(judged)).withColumn(
         "stars", review_stars(F.col("curr_clinvar_revstat"))
     )
@@ -50,8 +60,12 @@ def full_findings(v: DataFrame) -> DataFrame:
     )
 
 
+def full_order() -> list:
+    return [sig_rank(F.col("clinvar_sig")), F.col("stars").desc(), F.coalesce("gene", F.lit("zzz")), F.col("sample_id"), *map(F.col, KEY)]
+
+
 def order_full(df: DataFrame) -> DataFrame:
-    return df.orderBy(sig_rank(F.col("clinvar_sig")), F.col("stars").desc(), F.coalesce("gene", F.lit("zzz")), "sample_id", *KEY)
+    return df.orderBy(*full_order())
 
 
 def full_counts(findings: DataFrame) -> DataFrame:

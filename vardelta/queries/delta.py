@@ -68,6 +68,17 @@ def c04(t):
     return rows.select("sample_id", "gene", *KEY, F.array_join("codes", ";").alias("codes"), "acmg_tier", "divergence", "scope")
 
 
+NO_MODELS = q.MODELS.replace("FROM missense)", "FROM missense WHERE false)").replace("FROM splice)", "FROM splice WHERE false)").replace("FROM gene_constraint)", "FROM gene_constraint WHERE false)")
+
+
+@query("q03_absent_sources", *DV, sql=f"""WITH {V}, {NO_MODELS}, src AS (SELECT * FROM v WHERE gene IN (SELECT gene FROM panel)),
+done AS ({EVAL}) SELECT {CODED} FROM done WHERE scope <> 'none'""")
+def q03(t):
+    """Without model and constraint tables their columns are null and the rules go on with what there is."""
+    rows = classify.acmg(t.at(CURR), t.panel, None, None, None)
+    return rows.select("sample_id", "gene", *KEY, F.array_join("codes", ";").alias("codes"), "acmg_tier", "divergence", "scope")
+
+
 @query("c01_acmg_codes", *DV, sql=f"""WITH {V}, {q.MODELS}, src AS (SELECT * FROM v WHERE gene IN (SELECT gene FROM panel)),
 done AS ({EVAL}) SELECT array_to_string(codes, ';') AS codes, csq, count(*) AS n FROM done WHERE scope = 'call' GROUP BY ALL""")
 def c01(t):

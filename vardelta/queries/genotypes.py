@@ -218,7 +218,7 @@ def w03(t):
 
 GENO = f"""geno AS (SELECT m.sample_id, m.chrom, m.pos, CASE WHEN c.individual IS NULL THEN ['A', 'A'] WHEN c.pos % 19 = 0 THEN NULL
   WHEN c.dosage = 1 THEN ['A', 'G'] ELSE ['G', 'G'] END AS alleles
-  FROM (SELECT DISTINCT i AS individual, 'c' || i AS sample_id, chrom, pos FROM scoring, (VALUES (1), (2), (3), (4)) v(i)) m
+  FROM (SELECT DISTINCT i AS individual, 'c' || i AS sample_id, chrom, pos FROM scoring, (SELECT DISTINCT individual AS i FROM cohort)) m
   LEFT JOIN cohort c ON c.individual = m.individual AND c.chrom = m.chrom AND c.pos = m.pos),
 contrib AS (SELECT s.*, g.sample_id, CAST(list_count(list_filter(g.alleles, lambda a: a = s.effect)) AS BIGINT) AS dosage FROM scoring s JOIN geno g USING (chrom, pos) WHERE g.alleles IS NOT NULL)"""
 
@@ -281,7 +281,7 @@ def a12(t):
     return polygenic.drop_duplicate_coords(rows).select("pgs_id", "chrom", "pos", "effect", "weight_milli")
 
 
-@query("a13_ref_effect_supplement", "scoring", "cohort", "frequencies", sql="""WITH cov AS (SELECT DISTINCT 'c' || individual AS sample_id, chrom, pos FROM cohort WHERE individual < 40),
+@query("a13_ref_effect_supplement", "scoring", "cohort", "frequencies", sql="""WITH cov AS (SELECT DISTINCT 'c' || individual AS sample_id, chrom, pos FROM cohort),
 due AS (SELECT s.* FROM scoring s JOIN frequencies f USING (chrom, pos) WHERE s.effect = f.ref)
 SELECT d.pgs_id, s.sample_id, CAST(coalesce(sum(2 * weight_milli) FILTER (c.pos IS NULL), 0) AS BIGINT) AS owed_milli, count(*) FILTER (c.pos IS NULL) AS n
 FROM due d CROSS JOIN (SELECT DISTINCT sample_id FROM cov) s LEFT JOIN cov c ON c.sample_id = s.sample_id AND c.chrom = d.chrom AND c.pos = d.pos GROUP BY ALL""")
@@ -296,7 +296,7 @@ def a14(t):
     return polygenic.cohort_complete(t.scoring, t.cohort)
 
 
-SHARE = """asked AS (SELECT pgs_id, 'c' || individual AS sample_id, score_milli FROM co WHERE individual % 20 = 0),
+SHARE = """asked AS (SELECT pgs_id, 'c' || individual AS sample_id, score_milli FROM co),
 base AS (SELECT co.*, superpopulation FROM co JOIN populations USING (individual))"""
 
 
@@ -410,12 +410,12 @@ def w09(t):
 
 NULL = f"""nul AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY snv ORDER BY md5(chrom || ':' || pos || ':' || ref || ':' || alt)) AS place
   FROM (SELECT DISTINCT chrom, pos, ref, alt, regexp_matches(ref, '^[ACGT]$') AND regexp_matches(alt, '^[ACGT]$') AS snv FROM variants
-    WHERE snapshot_id = '{LATER}' AND gnomad_af >= 0.005 AND {q.noncoding("consequence")})) WHERE place <= 40)"""
+    WHERE snapshot_id = '{LATER}' AND gnomad_af >= 0.2 AND {q.noncoding("consequence")})) WHERE place <= 400)"""
 
 
 @query("w06_null_sample", "variants", sql=f"WITH {NULL} SELECT chrom, pos, ref, alt, snv, CAST(place AS INTEGER) AS place FROM nul")
 def w06(t):
-    return scores.null_sample(t.at(LATER), n=40, common=0.005)
+    return scores.null_sample(t.at(LATER))
 
 
 @query("w07_null_percentile", "variants", "regulatory", sql=f"""WITH {NULL}, r AS (SELECT *, regexp_matches(ref, '^[ACGT]$') AND regexp_matches(alt, '^[ACGT]$') AS snv FROM regulatory),
@@ -425,7 +425,7 @@ def w07(t):
     from vardelta.functions.alleles import is_snv
 
     rows = t.regulatory.select(*KEY, is_snv(F.col("ref"), F.col("alt")).alias("snv"), F.col("delta_centi").alias("value"))
-    null = scores.null_sample(t.at(LATER), n=40, common=0.005).select(*KEY).join(rows, KEY).select("snv", "value")
+    null = scores.null_sample(t.at(LATER)).select(*KEY).join(rows, KEY).select("snv", "value")
     return scores.null_percentile(rows, null).withColumn("percentile", F.col("percentile").cast("double"))
 
 
@@ -471,8 +471,8 @@ def a32(t):
     return scores.splice_evidence(long_scores(t), t.splice)
 
 
-@query("a33_epoch_check", "regulatory", sql=f"""WITH {LONG}, a AS (SELECT pos, track, max(raw_score) AS v FROM long_scores WHERE pos % 5 = 1 GROUP BY ALL)
-SELECT bool_and(coalesce(v = v, false)) AS same, count(*) AS n FROM a""")
+@query("a33_epoch_check", "regulatory", sql=f"""WITH {LONG}, a AS (SELECT max(raw_score) FILTER (ingested = 1) AS x, max(raw_score) FILTER (ingested = 2) AS y FROM long_scores GROUP BY chrom, pos, ref, alt, track)
+SELECT bool_and(coalesce(abs(x - y) <= greatest(greatest(abs(x), abs(y)) * 1e-6, 1e-7), false)) AS same, count(*) AS n FROM a""")
 def a33(t):
     key = [*KEY, "track"]
     runs = [long_scores(t).where(f"ingested = {r}").groupBy(*key).agg(F.max("raw_score").alias("raw_score")) for r in (1, 2)]

@@ -92,7 +92,7 @@ expression(
     {"out": f"length(ref) <> length(alt) AND len(list_distinct(string_split(CASE WHEN starts_with({LONGER}, {SHORTER}) THEN substr({LONGER}, length({SHORTER}) + 1) ELSE {LONGER} END, ''))) = 1"},
 )
 expression("p30_norm_zyg", "variants", "zygosity", {"out": alleles.norm_zyg}, {"out": "upper(coalesce(zygosity, ''))"})
-expression("p30_is_male", "people", "sex", {"out": alleles.is_male}, {"out": "coalesce(lower(sex) IN ('male', 'm', '1'), false)"})
+expression("p30_is_male", "kin", "sex", {"out": alleles.is_male}, {"out": "coalesce(lower(sex) IN ('male', 'm', '1'), false)"})
 expression(
     "p31_splice_band", "splice", "dg", {"out": lambda d: bands.splice_band(d / 100.0)},
     {"out": "CASE WHEN dg >= 80 THEN 'high' WHEN dg >= 50 THEN 'likely' WHEN dg >= 20 THEN 'possible' ELSE 'low' END"},

@@ -1,6 +1,6 @@
 """SQL (DuckDB) of the column expressions, for the oracles."""
 
-ACT = "(^|[/|])(Likely_pathogenic|Pathogenic)(,_low_penetrance)?($|[/|])"
+from vardelta.schemas import ACTIONABLE_PATTERN as ACT
 
 
 def act(c: str) -> str:
@@ -91,19 +91,20 @@ def on(a: str, b: str) -> str:
 
 #: From variants at :prev and :curr: ``delta`` (all differing rows) and ``changed`` (with change_kind).
 def delta(prev: str, curr: str, bump: bool = False) -> str:
-    gene = "" if bump else "AND c.gene IS NOT DISTINCT FROM p.gene"
+    """Both snapshots in one pass, a group for each sample and key (and gene); ``in_p``, ``in_c``: rows of either."""
+    gene = "coalesce(max(gene) FILTER (now), max(gene))" if bump else "gene"
+    sides = ", ".join(
+        f"max({c}) FILTER ({'now' if s == 'curr' else 'NOT now'}) AS {s}_{n}"
+        for c, n in (("clinvar_sig", "sig"), ("clinvar_revstat", "rev"), ("gnomad_af", "af")) for s in ("prev", "curr")
+    )
+    kept = ", ".join(f"max({c}) FILTER (now) AS {c}" for c in ("zygosity", "clinvar_disease", "consequence", "sift", "polyphen"))
     return f"""
-both_ AS (SELECT sample_id FROM variants WHERE snapshot_id = '{curr}' INTERSECT SELECT sample_id FROM variants WHERE snapshot_id = '{prev}'),
-delta AS (
-  SELECT coalesce(c.sample_id, p.sample_id) AS sample_id, coalesce(c.gene, p.gene) AS gene, coalesce(c.chrom, p.chrom) AS chrom,
-    coalesce(c.pos, p.pos) AS pos, coalesce(c.ref, p.ref) AS ref, coalesce(c.alt, p.alt) AS alt,
-    p.clinvar_sig AS prev_sig, c.clinvar_sig AS curr_sig, p.clinvar_revstat AS prev_rev, c.clinvar_revstat AS curr_rev,
-    p.gnomad_af AS prev_af, c.gnomad_af AS curr_af, c.zygosity, c.clinvar_disease, c.consequence, c.sift, c.polyphen
-  FROM (SELECT * FROM variants WHERE snapshot_id = '{curr}' AND sample_id IN (SELECT sample_id FROM both_)) c
-  FULL OUTER JOIN (SELECT * FROM variants WHERE snapshot_id = '{prev}' AND sample_id IN (SELECT sample_id FROM both_)) p
-    ON c.sample_id = p.sample_id AND {on("c", "p")} {gene}
-  WHERE c.clinvar_sig IS DISTINCT FROM p.clinvar_sig OR c.clinvar_revstat IS DISTINCT FROM p.clinvar_revstat
-    OR c.gnomad_af IS DISTINCT FROM p.gnomad_af),
+both_ AS (SELECT sample_id FROM variants WHERE snapshot_id IN ('{prev}', '{curr}') GROUP BY sample_id HAVING count(DISTINCT snapshot_id) = 2),
+delta AS MATERIALIZED (SELECT * FROM (
+    SELECT sample_id, {gene} AS gene, chrom, pos, ref, alt, {sides}, {kept}, bool_or(now) AS in_c, bool_or(NOT now) AS in_p
+    FROM (SELECT *, snapshot_id = '{curr}' AS now FROM variants WHERE snapshot_id IN ('{prev}', '{curr}') AND sample_id IN (SELECT sample_id FROM both_))
+    GROUP BY sample_id, chrom, pos, ref, alt{"" if bump else ", gene"})
+  WHERE (prev_sig, prev_rev, prev_af) IS DISTINCT FROM (curr_sig, curr_rev, curr_af)),
 changed AS (SELECT * FROM (SELECT *, {change_kind()} AS change_kind FROM delta) WHERE change_kind IS NOT NULL)"""
 
 

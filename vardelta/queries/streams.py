@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from vardelta.operators import classify, family, incremental, polygenic
 from vardelta.queries import sqltext as q
-from vardelta.queries._base import CURR, LATER, PREV, query
+from vardelta.queries._base import CURR, LATER, PREV, QUERIES, query
 from vardelta.queries.delta import DV, EVAL, V
 from vardelta.queries.family import SECOND
+from vardelta.queries.genotypes import SCORES, SHARE
 from vardelta.queries.upkeep import LEDGER, ledger
 from vardelta.schemas import KEY
 from vardelta.sources import readers, store
@@ -26,10 +27,8 @@ def text_rows(v):
 
 
 def write_files(v, root):
-    """One compressed text file per sample under ``root``, named after it; gives the files' folder."""
-    rows = text_rows(v)
-    for sample in [r.sample_id for r in rows.select("sample_id").distinct().collect()]:  # the samples of a family
-        rows.where(F.col("sample_id") == sample).select("value").coalesce(1).write.option("compression", "gzip").text(f"{root}/{sample}")
+    """Compressed text files under ``root``, a folder a sample, all in one job; gives the folder of folders."""
+    text_rows(v).write.partitionBy("sample_id").option("compression", "gzip").text(root)
     return root
 
 
@@ -41,7 +40,7 @@ def s05(t):
     """Files of all samples in one job; here a folder a sample, so the sample is the folder's name."""
     root = write_files(t.at(LATER), store.scratch(t.spark, "annotated"))
     raw = t.spark.read.schema(readers.S.ANNOTATED).csv(f"{root}/*", sep="\t", comment="#", quote="")
-    named = raw.withColumn("sample_id", F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]*$", 1))
+    named = raw.withColumn("sample_id", F.regexp_extract(F.input_file_name(), r"sample_id=([^/]+)/[^/]*$", 1))
     return readers.shape_annotated(named, "sample_id").where("pos is not null").select(*LOADED.split(", "))
 
 
@@ -82,6 +81,18 @@ def m05(t):
     return store.read_companion(t.spark, root, "scan_inputs").select("snapshot_id", "sample_id", "vcf_digest")
 
 
+@query("m05_mark_anchor", "callsets", "snapshots", sql=f"WITH {LEDGER} SELECT snapshot_id, count(*) FILTER (snapshot_id = '{CURR}') > 0 AS anchor, count(*) AS n_inputs FROM ledger GROUP BY snapshot_id")
+def m05_anchor(t):
+    """A snapshot is marked twice; the mark stays one row and no input of it is lost."""
+    root = store.scratch(t.spark, "anchors")
+    store.write_companion(ledger(t), root, "scan_inputs", ["snapshot_id", "sample_id"])
+    for _ in range(2):
+        store.mark_anchor(t.spark, root, CURR)
+    rows = store.read_companion(t.spark, root, "scan_inputs")
+    own = F.col("sample_id") == store.ANCHOR
+    return rows.groupBy("snapshot_id").agg((F.count_if(own) == 1).alias("anchor"), F.count_if(~own).alias("n_inputs"))
+
+
 @query("m06_replace_partition", "variants", sql=f"SELECT snapshot_id, sample_id, count(*) AS n FROM variants WHERE NOT (snapshot_id = '{CURR}' AND sample_id = 'father' AND pos % 2 = 1) GROUP BY ALL")
 def m06(t):
     root = store.scratch(t.spark, "replaced")
@@ -100,22 +111,23 @@ def m08(t):
 
 
 @query("t03_order_acmg", *DV, sql=f"""WITH {V}, {q.MODELS}, src AS (SELECT * FROM v WHERE gene IN (SELECT gene FROM panel)), done AS ({EVAL})
-SELECT chrom, pos, ref, alt, acmg_tier FROM done WHERE scope = 'call' AND sample_id = 'father'
-ORDER BY list_position(['Pathogenic', 'Likely pathogenic', 'VUS', 'Likely benign', 'Benign'], acmg_tier), gene NULLS LAST, chrom, pos, ref, alt LIMIT 50""")
+SELECT sample_id, chrom, pos, ref, alt, acmg_tier, CAST(row_number() OVER (PARTITION BY sample_id ORDER BY
+  list_position(['Pathogenic', 'Likely pathogenic', 'VUS', 'Likely benign', 'Benign'], acmg_tier), gene NULLS LAST, chrom, pos, ref, alt) AS INTEGER) AS place
+FROM done WHERE scope = 'call'""")
 def t03(t):
-    rows = classify.acmg(t.at(CURR), t.panel, t.missense, t.splice, t.gene_constraint).where("scope = 'call' and sample_id = 'father'")
-    return classify.order_acmg(rows).limit(50).select(*KEY, "acmg_tier")
+    rows = classify.acmg(t.at(CURR), t.panel, t.missense, t.splice, t.gene_constraint).where("scope = 'call'")
+    order = Window.partitionBy("sample_id").orderBy(*classify.acmg_order())
+    return rows.withColumn("place", F.row_number().over(order)).select("sample_id", *KEY, "acmg_tier", "place")
 
 
-@query("t06_order_prs", "scoring", "cohort", sql="""WITH s AS (SELECT pgs_id, 'c' || individual AS sample_id, CASE WHEN individual % 7 = 0 THEN NULL ELSE CAST(individual % 100 AS DOUBLE) END AS percentile
-  FROM (SELECT DISTINCT pgs_id FROM scoring), (SELECT DISTINCT individual FROM cohort)) SELECT * FROM s ORDER BY pgs_id, percentile DESC NULLS LAST, sample_id LIMIT 100""")
+@query("t06_order_prs", "scoring", "cohort", "populations", sql=f"""WITH {SCORES}, {SHARE},
+p AS (SELECT a.pgs_id, a.sample_id, count(*) FILTER (b.score_milli < a.score_milli) * 100.0::DOUBLE / count(*) AS percentile
+  FROM asked a JOIN base b ON a.pgs_id = b.pgs_id GROUP BY a.pgs_id, a.sample_id)
+SELECT *, CAST(row_number() OVER (PARTITION BY pgs_id ORDER BY percentile DESC NULLS LAST, sample_id) AS INTEGER) AS place FROM p""")
 def t06(t):
-    people = t.cohort.select("individual").distinct()
-    rows = people.withColumn("pgs_id", F.explode(F.array(*[F.lit(f"PGS{i}") for i in (1, 2, 3)]))).select(
-        "pgs_id", F.concat(F.lit("c"), F.col("individual")).alias("sample_id"),
-        F.when(F.col("individual") % 7 == 0, None).otherwise((F.col("individual") % 100).cast("double")).alias("percentile"),
-    )
-    return polygenic.order_prs(rows).limit(100)
+    rows = QUERIES["w08_empirical_percentile"](t.spark, t.sf_dir).select("pgs_id", "sample_id", F.col("overall_percent").alias("percentile"))
+    order = Window.partitionBy("pgs_id").orderBy(*polygenic.prs_order())
+    return rows.withColumn("place", F.row_number().over(order))
 
 
 @query("t08_order_second_hits", "variants", "panel", sql=f"""WITH v AS (SELECT * FROM variants WHERE snapshot_id = '{LATER}'), {SECOND},

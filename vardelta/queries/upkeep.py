@@ -109,12 +109,12 @@ def m01(t):
     return incremental.incremental_kind(ledger(t), t.callsets, PREV, CURR)
 
 
-@query("m02_scan_mode", "snapshots", sql="""WITH a(snapshot_id) AS (VALUES ('2024-01-01'), ('2024-02-01')),
-s AS (SELECT snapshot_id, cache_version, lag(cache_version) OVER (ORDER BY snapshot_id) AS pv, row_number() OVER (ORDER BY snapshot_id) AS n FROM (SELECT snapshot_id, cache_version FROM snapshots UNION ALL SELECT '2024-02-15', '112'))
+@query("m02_scan_mode", "releases", sql="""WITH a AS (SELECT snapshot_id FROM releases WHERE substr(snapshot_id, 9, 2) IN ('03', '17')),
+s AS (SELECT snapshot_id, cache_version, lag(cache_version) OVER (ORDER BY snapshot_id) AS pv, row_number() OVER (ORDER BY snapshot_id) AS n FROM releases)
 SELECT snapshot_id, CASE WHEN n = 1 OR pv <> cache_version OR NOT EXISTS (SELECT 1 FROM a WHERE substr(a.snapshot_id, 1, 7) = substr(s.snapshot_id, 1, 7) AND a.snapshot_id < s.snapshot_id) THEN 'full' ELSE 'incremental' END AS mode FROM s""")
 def m02(t):
-    more = t.snapshots.select("snapshot_id", "cache_version").union(t.snapshots.where("si = 0").select(F.lit("2024-02-15"), "cache_version"))
-    return incremental.scan_mode(more, t.snapshots.where("si < 2").select("snapshot_id"))
+    full = t.releases.where("substr(snapshot_id, 9, 2) in ('03', '17')").select("snapshot_id")
+    return incremental.scan_mode(t.releases, full)
 
 
 LOG = """log AS (SELECT s.snapshot_id, c.sample_id, CASE WHEN s.si = 2 THEN 'started' WHEN c.sample_id = 'partner' AND s.si = 1 THEN 'skipped' ELSE 'done' END AS status
@@ -161,9 +161,13 @@ def a36(t):
     return incremental.scan_tally(t.variants)
 
 
-@query("a35_input_digests")
+DIGESTED = "sample_id, k, n, q, chrom, pos, ref, alt, filter, gt, ad, dp, gq, ps"
+_TEXT = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in DIGESTED.split(", "))
+
+
+@query("a35_input_digests", "genotypes", sql=f"SELECT sample_id, count(*) AS n, bit_xor(CAST('0x' || substr(md5({_TEXT}), 1, 15) AS BIGINT)) AS digest FROM genotypes GROUP BY sample_id")
 def a35(t):
-    return incremental.input_digests(t.genotypes)
+    return incremental.input_digests(t.genotypes.select(*DIGESTED.split(", ")))
 
 
 @query("u02_set_difference", "variants", sql=f"SELECT DISTINCT chrom, pos, ref, alt FROM variants WHERE sample_id = '{CHILD}' EXCEPT SELECT chrom, pos, ref, alt FROM variants WHERE sample_id = '{FATHER}'")
@@ -201,10 +205,10 @@ r(a, b, k, m, f) AS (SELECT id, id, 0, 'self', 'self' FROM people UNION ALL SELE
   UNION ALL SELECT a, b, 11, 'uncle', 'aunt' FROM un UNION ALL SELECT sib.a, c, 12, 'nephew', 'niece' FROM sib JOIN up ON p = sib.b UNION ALL SELECT un.a, c, 13, 'cousin', 'cousin' FROM un JOIN up ON p = un.b)"""
 
 
-@query("j27_kinship", "people", sql=f"""WITH {KIN}, best AS (SELECT a, b, arg_min(m, k) AS m, arg_min(f, k) AS f FROM r GROUP BY ALL)
-SELECT x.id AS ego, y.id AS other, coalesce(CASE y.sex WHEN 'male' THEN m WHEN 'female' THEN f END, 'relative') AS term FROM people x CROSS JOIN people y LEFT JOIN best ON a = x.id AND b = y.id""")
+@query("j27_kinship", "kin", sql=f"""WITH {KIN.replace("people", "kin")}, best AS (SELECT a, b, arg_min(m, k) AS m, arg_min(f, k) AS f FROM r GROUP BY ALL)
+SELECT x.id AS ego, y.id AS other, coalesce(CASE y.sex WHEN 'male' THEN m WHEN 'female' THEN f END, 'relative') AS term FROM kin x JOIN kin y ON x.family = y.family LEFT JOIN best ON a = x.id AND b = y.id""")
 def j27(t):
-    return pedigree.kinship(t.people)
+    return pedigree.kinship(t.kin)
 
 
 @query("j29_trio", "people", "callsets", sql=f"""WITH {PERSONS} SELECT id AS child, father, mother, id IN (SELECT person FROM persons) AND father IN (SELECT person FROM persons) AND mother IN (SELECT person FROM persons) AS sequenced
@@ -213,22 +217,24 @@ def j29(t):
     return pedigree.trio(t.people, pedigree.callset_to_person(t.callsets, t.people))
 
 
-@query("w11_family_generation", "people", sql="""WITH RECURSIVE walk(id, g) AS (SELECT id, 0 FROM people WHERE father IS NULL AND mother IS NULL UNION ALL
-  SELECT p.id, w.g + 1 FROM walk w JOIN people p ON p.father = w.id OR p.mother = w.id), best AS (SELECT id, max(g) AS g FROM walk GROUP BY id)
-SELECT p.id, CASE WHEN p.father IS NULL THEN greatest(b.g, coalesce(m.g, 0)) ELSE b.g END AS generation FROM people p JOIN best b ON b.id = p.id LEFT JOIN best m ON m.id = p.partner""")
+@query("w11_family_generation", "kin", sql="""WITH RECURSIVE walk(id, g) AS (SELECT id, 0 FROM kin WHERE father IS NULL AND mother IS NULL UNION ALL
+  SELECT p.id, w.g + 1 FROM walk w JOIN kin p ON p.father = w.id OR p.mother = w.id), best AS (SELECT id, max(g) AS g FROM walk GROUP BY id)
+SELECT p.id, CASE WHEN p.father IS NULL THEN greatest(b.g, coalesce(m.g, 0)) ELSE b.g END AS generation FROM kin p JOIN best b ON b.id = p.id LEFT JOIN best m ON m.id = p.partner""")
 def w11(t):
-    return pedigree.generations(t.people)
+    return pedigree.generations(t.kin)
+
+
+ODD = """odd AS (SELECT id, sex, CASE WHEN c % 10 = 3 THEN mother ELSE father END AS father, CASE WHEN c % 14 = 5 THEN 'nobody' ELSE mother END AS mother, partner FROM kin
+  UNION ALL SELECT id || '_x', sex, NULL, NULL, NULL FROM kin WHERE c % 9 = 0)"""
 
 
-@query("c25_pedigree_issues", "people", sql="""WITH odd AS (SELECT id, sex, father, mother, partner FROM people UNION ALL SELECT 'father_x', 'male', 'mother', 'nobody', NULL),
+@query("c25_pedigree_issues", "kin", sql=f"""WITH {ODD},
 n AS (SELECT id, 'father' AS role, father AS named FROM odd UNION ALL SELECT id, 'mother', mother FROM odd UNION ALL SELECT id, 'partner', partner FROM odd)
 SELECT n.id, n.role || ' unknown: ' || named AS issue FROM n LEFT JOIN odd o ON o.id = named WHERE named IS NOT NULL AND o.id IS NULL
 UNION ALL SELECT n.id, n.role || ' has the other sex: ' || named FROM n JOIN odd o ON o.id = named WHERE (role = 'father' AND o.sex = 'female') OR (role = 'mother' AND o.sex = 'male')
-UNION ALL SELECT id, 'callset of father' FROM odd WHERE id = 'father_x'""")
+UNION ALL SELECT id, 'callset of ' || replace(id, '_x', '') FROM odd WHERE id LIKE '%_x'""")
 def c25(t):
-    people = t.people.select("id", "sex", "father", "mother", "partner")
-    odd = people.where("id = 'father'").select(F.lit("father_x"), F.lit("male"), F.lit("mother"), F.lit("nobody"), F.lit(None).cast("string"))
-    return pedigree.pedigree_issues(people.union(odd))
+    return pedigree.pedigree_issues(shared(t, "odd", ODD, "kin"))
 
 
 @query("c24_pedigree_export", "people", "callsets", sql=f"""WITH {PERSONS}, r AS (SELECT c.sample_id, c.person, p.sex, p.father, p.mother, substr(c.sample_id, length(c.person) + 1) AS suffix FROM persons c JOIN people p ON p.id = c.person)
@@ -316,9 +322,9 @@ def t04(t):
 
 @query("t01_order_full", "variants", sql=f"""WITH f AS (SELECT *, {q.stars("clinvar_revstat")} AS stars, CASE WHEN clinvar_sig = 'Pathogenic' THEN 0 WHEN regexp_matches(clinvar_sig, '(^|[/|])Pathogenic(,_low_penetrance)?($|[/|])') THEN 1 ELSE 2 END AS rk
   FROM variants WHERE snapshot_id = '{CURR}' AND {q.act("clinvar_sig")})
-SELECT sample_id, chrom, pos, ref, alt FROM f ORDER BY rk, stars DESC, coalesce(gene, 'zzz'), sample_id, chrom, pos, ref, alt LIMIT 100""")
+SELECT sample_id, chrom, pos, ref, alt, CAST(row_number() OVER (PARTITION BY sample_id ORDER BY rk, stars DESC, coalesce(gene, 'zzz'), chrom, pos, ref, alt) AS INTEGER) AS place FROM f""")
 def t01(t):
-    return findings.order_full(findings.full_findings(t.at(CURR))).limit(100).select("sample_id", *KEY)
+    return placed(findings.full_findings(t.at(CURR)), *findings.full_order()).select("sample_id", *KEY, "place")
 
 
 @query("t07_head", "variants", sql=f"SELECT sample_id, chrom, pos, ref, alt FROM variants WHERE snapshot_id = '{LATER}' ORDER BY gnomad_af DESC NULLS LAST, sample_id, chrom, pos, ref, alt LIMIT 200")
@@ -336,8 +342,8 @@ def t02(t):
     return placed(rows, "change_kind", F.col("stars").desc(), F.coalesce("gene", F.lit("")), *KEY).select("sample_id", *KEY, "place")
 
 
-@query("q01_sql_surface", "variants", sql=f"""SELECT chrom, pos, ref, alt, gene FROM variants c WHERE c.snapshot_id = '{LATER}' AND c.sample_id = '{SON}' AND EXISTS (SELECT 1 FROM variants m
-WHERE m.snapshot_id = c.snapshot_id AND m.sample_id = '{MOTHER}' AND {q.on("m", "c")})""")
+@query("q01_sql_surface", "variants", sql=f"""SELECT chrom, pos, ref, alt, max(gene) FILTER (sample_id = '{SON}') AS gene FROM variants
+WHERE snapshot_id = '{LATER}' AND sample_id IN ('{SON}', '{MOTHER}') GROUP BY chrom, pos, ref, alt HAVING count(DISTINCT sample_id) = 2""")
 def q01(t):
     text = """SELECT c.chrom, c.pos, c.ref, c.alt, c.gene FROM variants c LEFT SEMI JOIN variants m
       ON m.snapshot_id = :snapshot AND m.sample_id = :relative AND m.chrom = c.chrom AND m.pos = c.pos AND m.ref = c.ref AND m.alt = c.alt
@@ -368,7 +374,7 @@ def s02(t):
     return readers.unparsed(readers.shape_annotated(shared(t, "raw", RAW, "annotated")))
 
 
-@query("s03_load_partition")
+@query("s03_load_partition", "variants", sql=f"SELECT '{LATER}' AS snapshot_id, sample_id, count(*) AS n FROM variants WHERE (snapshot_id, sample_id) IN (('{LATER}', '{FATHER}'), ('{PREV}', '{MOTHER}')) GROUP BY sample_id")
 def s03(t):
     root = store.scratch(t.spark, "variants-store")
     for sample in (FATHER, MOTHER):  # two samples of one snapshot, the second twice
@@ -423,7 +429,8 @@ def s14(t):
     return raw.withColumn("share", F.col("af").try_cast("double")).where("share is not null").drop("af")
 
 
-@query("s16_read_pgx_json")
+@query("s16_read_pgx_json", sql="""SELECT CAST(c_custkey AS VARCHAR) AS sample_id, 'G' || (c_custkey % 7) AS gene, CASE WHEN c_custkey % 3 = 0 THEN '*1/*4' ELSE '*1/*2' END AS diplotype,
+  CASE WHEN c_custkey % 3 = 0 THEN 'Poor' ELSE 'Normal; x' END AS phenotype FROM customer""")
 def s16(t):
     body = F.concat(
         F.lit('{"genes":{"G'), F.col("c_custkey") % 7, F.lit('":{"recommendationDiplotypes":'),

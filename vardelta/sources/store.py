@@ -14,15 +14,24 @@ from vardelta import schemas as S
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder under the one that driver and executors share, ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary folder is set.
+    Only a local session may name none; it gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as written to a scratch folder and read back: worked out once, and safe from lost executors."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def replace_partition(df: DataFrame, path: str, by: list[str]) -> None:
     """Overwrite only the partitions that ``df`` holds; readers see the old or the new files of each."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
@@ -46,6 +55,22 @@ def write_companion(df: DataFrame, root: str, table: str, by: list[str]) -> None
     replace_partition(typed, f"{root}/{table}", by)
 
 
+#: Stands for the snapshot itself in the ledger of inputs.
+ANCHOR = "*"
+
+
+def mark_anchor(spark: SparkSession, root: str, snapshot: str) -> None:
+    """Note in the ledger that a snapshot had a full scan: one row of a sample that cannot exist."""
+    row = spark.range(1).select(F.lit(snapshot).alias("snapshot_id"), F.lit(ANCHOR).alias("sample_id"))
+    empty = [F.lit(None).cast("string").alias(c) for c in ("vcf_digest", "cache_version", "clinvar_date")]
+    write_companion(row.select("*", *empty), root, "scan_inputs", ["snapshot_id", "sample_id"])
+
+
+def anchors(spark: SparkSession, root: str) -> DataFrame:
+    """Snapshots that had a full scan."""
+    return read_companion(spark, root, "scan_inputs").where(F.col("sample_id") == ANCHOR).select("snapshot_id")
+
+
 def read_companion(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(S.COMPANIONS[table]).parquet(f"{root}/{table}")
 
