@@ -30,6 +30,8 @@ MOST_TILE, LEAST_TILE, TILE_SHARE = 1 << 17, 1 << 13, 12
 BLOCK = 512
 SEED = 42
 SALTS = 16
+#: Shingle hashes of a tile, about.
+TILE_BYTES = 96 << 20
 #: Words hashed at once, for bounded memory on very long texts.
 STRETCH = 1 << 16
 
@@ -100,19 +102,55 @@ def linked_inside(prints: np.ndarray, side: np.ndarray, radii: tuple[int, ...])
     return parent
 
 
-def pairs_inside(
-    prints: np.ndarray, side: np.ndarray, radii: tuple[int, ...], root: np.ndarray
+def alike_inside(
+    prints: np.ndarray, side: np.ndarray, radii: tuple[int, ...], sets: list[bytes], least: float
 ) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of rows that link as in :func:`linked_inside` and differ in ``root``, each pair once."""
-    one_side = len(np.unique(side)) == 1
-    found = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+    """A spanning forest of the pairs of rows that link as in :func:`linked_inside` and whose sets are alike.
+
+    ``sets``: sorted unsigned 32-bit shingle hashes of each row; alike is a Jaccard similarity of ``least`` or more.
+    Pairs that earlier links have joined are not compared.
+    """
+    parent, found = np.arange(len(prints)), []
+    hashes = [np.frombuffer(x, dtype="<u4") for x in sets]
+    sizes = np.fromiter(map(len, hashes), dtype=np.int64, count=len(hashes))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
     for a, b in _near_pairs(prints, side, radii):
-        stays = root[a] != root[b]
-        a, b = np.minimum(a, b)[stays], np.maximum(a, b)[stays]
-        if one_side and len(a):  # blocks that meet themselves give both orders
-            a, b = np.unique(np.stack([a, b]), axis=1)
-        found.append((a, b))
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        fits = (a != b) & (np.minimum(sizes[a], sizes[b]) >= least * np.maximum(sizes[a], sizes[b]))
+        if not fits.any():
+            continue
+        a, b = np.unique(np.stack([a[fits], b[fits]]), axis=1)
+        cuts = np.flatnonzero(np.r_[True, a[1:] != a[:-1], True])
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            one, root = a[start], find(a[start])
+            others = np.array([x for x in b[start:stop].tolist() if find(x) != root], dtype=np.int64)
+            if not len(others):
+                continue
+            common = _common(hashes[one], [hashes[x] for x in others.tolist()])
+            for x in others[common >= least * (sizes[one] + sizes[others] - common)].tolist():
+                low, high = sorted((find(one), find(x)))
+                if low != high:
+                    parent[high] = low
+                    found.append((one, x))
+    pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many members each of ``others`` has in common with ``one``; all are sorted sets."""
+    ends = np.cumsum([0, *map(len, others)])
+    if not len(one) or not ends[-1]:
+        return np.zeros(len(others), dtype=np.int64)
+    every = np.concatenate(others)
+    at = np.searchsorted(one, every)
+    hits = np.r_[0, np.cumsum(one[np.minimum(at, len(one) - 1)] == every)]
+    return hits[ends[1:]] - hits[ends[:-1]]
 
 
 def _near_pairs(
@@ -158,11 +196,13 @@ def band_steps(radius: int) -> tuple[int, list[tuple[int, int]]]:
 
 
 def tile_links(
-    prints: DataFrame, columns: list[str], radii: tuple[int, ...], tile: int | None = None, root: str | None = None
-) -> DataFrame:
+    prints: DataFrame, columns: list[str], radii: tuple[int, ...], tile: int | None = None, ends: bool = False,
+    sets: str | None = None, least: float = 0.0,
+) -> DataFrame:
     """Edges (``u``, ``v``) between values of ``id``: a spanning forest of the links of each pair of tiles.
 
-    With ``root`` (a column of ``prints``) all links between rows of different roots instead.
+    With ``ends``, rows that have any link instead, each as an edge to itself. With ``sets`` (a column of sorted
+    shingle hashes) only links whose sets are alike by ``least`` count (:func:`alike_inside`).
     ``prints``: distinct rows of ``id`` (long) and fingerprints. Tiles are bands of the population counts of
     both halves of the first fingerprint, cut by hash into pieces. What reaches the driver: one count for
     each band, 17 * 17 at most.
@@ -198,7 +238,7 @@ def tile_links(
         .withColumn("other", F.explode(F.flatten(F.transform(offsets, neighbours))))
         .withColumn("pair", F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")))
         .withColumn("side", (F.col("own") > F.col("other")).cast("int"))
-        .select("pair", "side", "id", *columns, *([root] if root else []))
+        .select("pair", "side", "id", *columns, *([sets] if sets else []))
     )
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
@@ -209,9 +249,15 @@ def tile_links(
             return pd.DataFrame({"u": [], "v": []}).astype("int64")
         ids = rows["id"].to_numpy()
         values = np.stack([rows[c].to_numpy().view(np.uint64) for c in columns], axis=1)
-        if root:
-            a, b = pairs_inside(values, side, radii, rows[root].to_numpy())
+        if sets:
+            a, b = alike_inside(values, side, radii, rows[sets].tolist(), least)
             return pd.DataFrame({"u": ids[a], "v": ids[b]})
+        if ends:
+            linked = np.zeros(len(ids), dtype=bool)
+            for a, b in _near_pairs(values, side, radii):
+                apart = a != b
+                linked[a[apart]], linked[b[apart]] = True, True
+            return pd.DataFrame({"u": ids[linked], "v": ids[linked]})
         leader = linked_inside(values, side, radii)
         moved = leader != np.arange(len(ids))
         return pd.DataFrame({"u": ids[leader[moved]], "v": ids[moved]})
@@ -287,37 +333,21 @@ def shingle_set(raw: bytes, shingle: int) -> set[bytes]:
     return {b" ".join(words[k : k + shingle]) for k in range(max(1, len(words) - shingle + 1))}
 
 
-def alike(one: Column, other: Column, shingle: int, least: float) -> Column:
-    """Whether the Jaccard similarity of both texts' shingle sets is ``least`` or more; without words, 1."""
-
-    def rows(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for pair in batches:
-            out = []
-            for x, y in zip(*(t.cast(pa.binary()) for t in pair), strict=True):
-                a, b = shingle_set(x.as_py() or b"", shingle), shingle_set(y.as_py() or b"", shingle)
-                common = len(a & b)
-                out.append(common >= least * (len(a) + len(b) - common))
-            yield pa.array(out, type=pa.bool_())
-
-    rows.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
-    return F.arrow_udf(rows, returnType="boolean")(one, other)
+def shingle_hashes(text: Column, shingle: int) -> Column:
+    """Sorted unsigned 32-bit hashes of a text's distinct shingles, as bytes."""
 
+    def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import xxhash
 
-def verified(edges: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The edges whose texts are alike. ``docs``: ``id``, ``text``; rows of one id have one text.
+        for texts in batches:
+            out = []
+            for t in texts.cast(pa.binary()):
+                found = {xxhash.xxh32_intdigest(s, SEED) for s in shingle_set(t.as_py() or b"", shingle)}
+                out.append(np.array(sorted(found), dtype="<u4").tobytes())
+            yield pa.array(out, type=pa.binary())
 
-    ``u`` may be the leader of many edges: its text is joined by salted keys.
-    """
-    edges = materialize(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "candidates")
-    ends = edges.select(F.col("u").alias("id")).union(edges.select("v")).distinct()
-    texts = materialize(docs.join(ends, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "candidate-texts")
-    leaders = edges.select(F.col("u").alias("id")).distinct()
-    spread = texts.join(leaders, "id", "left_semi").select(
-        F.col("id").alias("u"), F.col("text").alias("__tu"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    )
-    salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-    pairs = salted.join(texts.select(F.col("id").alias("v"), F.col("text").alias("__tv")), "v").join(spread, ["u", "salt"])
-    return materialize(pairs.where(alike(F.col("__tu"), F.col("__tv"), shingle, least)).select("u", "v"), "verified")
+    rows.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(rows, returnType="binary")(text)
 
 
 def verified_groups(
@@ -328,9 +358,9 @@ def verified_groups(
 
     ``id`` is the hash of the row's text and ``root`` that of its group, ``component_id`` the group's smallest doc_id.
 
-    The similarity is exact, over shingles of the last length, and between distinct texts. A spanning forest
-    of the candidates is verified first; then all candidates between the groups so found, so that no
-    candidate whose texts are alike is missed and copies inside a group are not verified pair by pair.
+    The similarity is taken over all shingles of the last length, by 32-bit hashes, and between distinct texts. A first
+    pass over the tiles only names the texts that have a candidate at all; a second one brings the shingles of
+    these into the tiles, where each candidate is verified. So pairs never leave a tile unless they link.
     """
     columns = [f"fp{k}" for k in range(len(shingles))]
     own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
@@ -338,10 +368,13 @@ def verified_groups(
     prints = materialize(docs.select(F.col(key).alias("doc_id"), own.alias("id"), *found), "fingerprints")
     distinct = materialize(prints.groupBy("id", *columns).agg(F.min("doc_id").alias("least")), "distinct-texts")
     texts = docs.select(own.alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sure = verified(tile_links(distinct.select("id", *columns), columns, radii, tile), texts, shingles[-1], least)
-    grouped = distinct.join(components(sure), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    left = tile_links(grouped.select("id", *columns, "root"), columns, radii, tile, root="root")
-    linked = components(sure.union(verified(left, texts, shingles[-1], least)))
+    ends = materialize(tile_links(distinct.select("id", *columns), columns, radii, tile, ends=True).select("u").distinct(), "ends")
+    some = texts.join(ends.withColumnRenamed("u", "id"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    some = some.select("id", shingle_hashes(F.col("text"), shingles[-1]).alias("shingles"))
+    near = materialize(distinct.drop("least").join(some, "id"), "near-texts")
+    size = near.agg(F.avg(F.octet_length("shingles"))).first()[0] or 1.0
+    fitting = tile or int(max(LEAST_TILE // 8, min(MOST_TILE, TILE_BYTES / size)))
+    linked = components(tile_links(near, columns, radii, fitting, sets="shingles", least=least))
     named = distinct.select("id", "least").join(linked, "id", "left").withColumn("root", F.coalesce("root", "id"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
     salted = named.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
