@@ -20,6 +20,8 @@ from vardelta.functions.alleles import (
 )
 from vardelta.schemas import KEY
 
+STRETCH = 1_000_000  # bases of a contig in one window
+
 
 def has_alt(gt: Column) -> Column:
     """Whether a genotype holds any alternative allele."""
@@ -120,13 +122,22 @@ def de_novo_status(cands: DataFrame, evidence: DataFrame, parents: list[str]) ->
     return cands.join(best.select(*KEY, F.element_at(order, F.col("r")).alias("status")), KEY)
 
 
-def flag_clusters(calls: DataFrame, window: int = S.CLUSTER_WINDOW) -> DataFrame:
-    """Confirmed calls within ``window`` of another confirmed one on the contig become ``clustered``."""
-    near = Window.partitionBy("chrom", "status").orderBy("pos")
+def flag_clusters(calls: DataFrame, window: int = S.CLUSTER_WINDOW, width: int = STRETCH) -> DataFrame:
+    """Confirmed calls within ``window`` of another confirmed one on the contig become ``clustered``.
+
+    Contigs are cut into stretches of ``width``; calls near an edge also stand in the stretch beyond it.
+    """
+    width = max(width, window + 1)
+    stretch = lambda pos: F.floor(pos / F.lit(width))
+    copies = F.sequence(stretch(F.col("pos") - window), stretch(F.col("pos") + window))
+    rows = calls.withColumn("__at", F.explode_outer(copies))
+    near = Window.partitionBy("chrom", "status", "__at").orderBy("pos")
     gap_before = F.col("pos") - F.lag("pos").over(near)
     gap_after = F.lead("pos").over(near) - F.col("pos")
     close = F.coalesce(F.least(gap_before, gap_after) <= window, F.lit(False))
-    return calls.withColumn("status", F.when((F.col("status") == "confirmed") & close, "clustered").otherwise(F.col("status")))
+    rows = rows.withColumn("__close", close).where(F.col("__at").eqNullSafe(stretch(F.col("pos"))))
+    status = F.when((F.col("status") == "confirmed") & F.col("__close"), "clustered").otherwise(F.col("status"))
+    return rows.withColumn("status", status).drop("__at", "__close")
 
 
 def plausibility(calls: DataFrame) -> DataFrame:
@@ -204,14 +215,28 @@ def phase_verdict(hets: DataFrame, phased: DataFrame) -> DataFrame:
     return genes.select("gene", "chrom", "n", "n_phased", "blocks", "n_ambiguous", verdict.alias("verdict"))
 
 
-def merge_windows(sites: DataFrame, pad: int = 1000) -> DataFrame:
-    """Windows of ``pad`` around each site, clipped at 1 and merged where they touch."""
-    spans = sites.select("chrom", F.greatest(F.col("pos") - pad, F.lit(1)).alias("start"), (F.col("pos") + pad).alias("stop")).distinct()
-    order = Window.partitionBy("chrom").orderBy("start", "stop")
-    reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = spans.withColumn("breaks", F.when(F.col("start") <= reach, 0).otherwise(1))
-    numbered = fresh.withColumn("island", F.sum("breaks").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("chrom", "island").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("island")
+def merge_windows(sites: DataFrame, pad: int = 1000, width: int = STRETCH) -> DataFrame:
+    """Windows of ``pad`` around each site, clipped at 1 and merged where they touch.
+
+    Sites are merged within stretches of ``width``; only the first and last run of a stretch can go on beyond it, so
+    the pass over a whole contig sees two rows a stretch at most.
+    """
+    spot = sites.select("chrom", "pos").distinct().withColumn("__at", F.floor(F.col("pos") / F.lit(width)))
+    runs = _runs(spot.select("chrom", "__at", F.col("pos").alias("first"), F.col("pos").alias("last")), ["chrom", "__at"], pad)
+    ends = Window.partitionBy("chrom", "__at")
+    edge = (F.col("first") == F.min("first").over(ends)) | (F.col("last") == F.max("last").over(ends))
+    marked = runs.withColumn("__edge", edge)
+    merged = _runs(marked.where("__edge").select("chrom", "first", "last"), ["chrom"], pad)
+    whole = marked.where("not __edge").select("chrom", "first", "last").union(merged.select("chrom", "first", "last"))
+    return whole.select("chrom", F.greatest(F.col("first") - pad, F.lit(1)).alias("start"), (F.col("last") + pad).alias("stop"))
+
+
+def _runs(rows: DataFrame, group: list[str], pad: int) -> DataFrame:
+    """Disjoint stretches from ``first`` to ``last``, joined while the next begins within two pads."""
+    order = Window.partitionBy(*group).orderBy("first")
+    apart = F.coalesce(F.col("first") - F.lag("last").over(order) > 2 * pad, F.lit(True))
+    numbered = rows.withColumn("__new", apart.cast("int")).withColumn("__run", F.sum("__new").over(order))
+    return numbered.groupBy(*group, "__run").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("__run")
 
 
 def same_event(v: DataFrame, g: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vardelta.functions.alleles import is_snv
 from vardelta.functions.consequences import is_noncoding
+from vardelta.operators.ranks import running_totals
 from vardelta.schemas import KEY
 
 
@@ -51,17 +52,15 @@ def null_sample(v: DataFrame, n: int = 400, common: float = 0.2) -> DataFrame:
 def null_percentile(scores: DataFrame, null: DataFrame) -> DataFrame:
     """Share (percent) of the stratum's null values at or below each score; null for an empty stratum.
 
-    Both sides are one sorted sequence a stratum. ``scores``: key, snv, value; ``null``: snv, value.
+    Both sides are one ordered sequence a stratum. ``scores``: key, snv, value; ``null``: snv, value.
     """
     asked = scores.select(*KEY, "snv", "value", F.lit(0).alias("b"))
     base = null.select(
         F.lit(None).cast("string").alias("chrom"), F.lit(None).cast("bigint").alias("pos"), F.lit(None).cast("string").alias("ref"),
         F.lit(None).cast("string").alias("alt"), "snv", "value", F.lit(1).alias("b"),
     )
-    upto = Window.partitionBy("snv").orderBy("value").rangeBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("snv")
-    rows = asked.union(base).withColumn("below", F.sum("b").over(upto)).withColumn("total", F.sum("b").over(whole))
-    share = F.when(F.col("total") > 0, F.col("below") * 100.0 / F.col("total"))
+    rows = running_totals(asked.union(base), "snv", "value", ["b"], strict=False)
+    share = F.when(F.col("b_all") > 0, F.col("b_below") * 100.0 / F.col("b_all"))
     return rows.where("b = 0").select(*KEY, "snv", "value", share.alias("percentile"))
 
 
