@@ -22,7 +22,7 @@ def gene_status(v: DataFrame, panel: DataFrame, sexes: DataFrame) -> DataFrame:
         F.bool_or(F.col("z") == "HOM").alias("hom"), F.count_if(F.col("z") == "HET").alias("hets"),
         F.count_distinct(F.when(F.col("z") == "HET", F.struct(*KEY))).alias("het_keys"), F.count("*").alias("n_variants"),
     )
-    rows = hits.join(F.broadcast(panel), "gene").join(F.broadcast(sexes), "sample_id", "left")
+    rows = hits.join(F.broadcast(panel), "gene").join(sexes, "sample_id", "left")
     any_ = F.col("hom") | (F.col("hets") > 0)
     one_copy = F.when(F.col("hom"), "affected").when(F.col("het_keys") >= 2, "compound").when(F.col("hets") > 0, "carrier")
     status = (

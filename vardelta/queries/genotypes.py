@@ -223,16 +223,21 @@ GENO = f"""geno AS (SELECT m.sample_id, m.chrom, m.pos, CASE WHEN c.individual I
 contrib AS (SELECT s.*, g.sample_id, CAST(list_count(list_filter(g.alleles, lambda a: a = s.effect)) AS BIGINT) AS dosage FROM scoring s JOIN geno g USING (chrom, pos) WHERE g.alleles IS NOT NULL)"""
 
 
-def contrib(t):
+def called(t):
+    """Two sources of calls of the whole cohort, the reference at the sites, and the samples."""
     people = t.cohort.select(F.concat(F.lit("c"), "individual").alias("sample_id")).distinct()
-    markers = t.scoring.select("chrom", "pos").distinct().join(F.broadcast(people))
     calls = t.cohort.selectExpr(
         "concat('c', individual) as sample_id", "chrom", "pos", "ref", "alt",
         "case when pos % 19 = 0 then '1/.' when dosage = 1 then '0/1' else '1' end as gt",
     )
     base = t.scoring.select("chrom", "pos").distinct().withColumn("base", F.lit("A"))
-    genotyped = polygenic.genotype_fallback(markers, [calls.where("pos % 2 = 0"), calls], base)
-    return polygenic.contributions(t.scoring, genotyped)
+    return [calls.where("pos % 2 = 0"), calls], base, people
+
+
+def contrib(t):
+    sources, base, people = called(t)
+    markers = base.select("chrom", "pos").join(people)  # a row a marker and person: the result
+    return polygenic.contributions(t.scoring, polygenic.genotype_fallback(markers, sources, base))
 
 
 @query("j18_genotype_fallback", "scoring", "cohort", sql=f"WITH {GENO} SELECT pgs_id, sample_id, chrom, pos, dosage, dosage * weight_milli AS contribution FROM contrib")
@@ -243,7 +248,7 @@ def j18(t):
 @query("a09_prs_exact", "scoring", "cohort", sql=f"""WITH {GENO}
 SELECT pgs_id, sample_id, CAST(sum(dosage * weight_milli) AS BIGINT) AS score_milli, count(*) AS n_used, count(*) FILTER (dosage > 0) AS n_carrying FROM contrib GROUP BY ALL""")
 def a09(t):
-    return polygenic.prs_exact(contrib(t))
+    return polygenic.prs_exact_from_calls(t.scoring, *called(t))
 
 
 MOMENTS = """m AS (SELECT c.*, CASE WHEN effect = alt THEN af_milli WHEN effect = ref THEN 1000 - af_milli END AS f FROM contrib c JOIN frequencies USING (chrom, pos)),
@@ -253,12 +258,12 @@ mom AS (SELECT pgs_id, sample_id, CAST(sum(dosage * weight_milli) AS BIGINT) AS
 
 @query("a10_calibration_moments", "scoring", "cohort", "frequencies", sql=f"WITH {GENO}, {MOMENTS} SELECT * FROM mom")
 def a10(t):
-    return polygenic.calibration_moments(contrib(t), t.frequencies)
+    return polygenic.moments_from_calls(t.scoring, *called(t), t.frequencies)
 
 
 @query("a10_prs_calibrate")
 def a10_percentile(t):
-    return polygenic.prs_calibrate(contrib(t), t.frequencies)
+    return polygenic.prs_calibrate(a10(t))
 
 
 SCORES = """single AS (SELECT * FROM scoring QUALIFY count(*) OVER (PARTITION BY pgs_id, chrom, pos) = 1),

@@ -261,7 +261,7 @@ def c23_resolved(t):
 WHERE p.person IN (SELECT person FROM granted WHERE category = 'cancer' AND granted) GROUP BY ALL""")
 def c23(t):
     persons = pedigree.callset_to_person(t.callsets, t.people)
-    rows = t.variants.join(F.broadcast(persons), "sample_id")
+    rows = t.variants.join(persons, "sample_id")
     return pedigree.consent_gate(rows, granted(t), "cancer").groupBy("sample_id", "person").agg(F.count("*").alias("n"))
 
 
@@ -272,7 +272,7 @@ SELECT DISTINCT chrom, pos, ref, alt FROM ok""")
 def j26(t):
     persons = pedigree.callset_to_person(t.callsets, t.people)
     v = t.at(LATER)
-    carriers = v.join(F.broadcast(persons), "sample_id").select(*KEY, "person").distinct()
+    carriers = v.join(persons, "sample_id").select(*KEY, "person").distinct()
     return pedigree.fully_consented(v.select(*KEY).distinct(), carriers, granted(t), "cancer", KEY)
 
 
