@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from vardelta.llm import (
     decontam,
+    fill_middle,
+    filter_audit,
     langid,
     line_dedup,
     mixing,
@@ -105,12 +107,26 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "held_out", "text"), model, reject=False).drop("text")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masks = filter_audit.failed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit(masks, "ABCDE")
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict:
     return {
         f.__name__: f
         for f in (
             op1_line_dedup, op2_sharding, op3_url_filter, op4_mix_sources, op5_decontaminate, op6_simhash,
-            op7_token_pack, op8_quality, op9_token_counts, op10_language,
+            op7_token_pack, op8_quality, op9_token_counts, op10_language, op12_filter_audit, op13_fill_middle,
         )
     }
 

@@ -158,9 +158,82 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM worded LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)
 """
 
+#: Every order is walked step by step over counts of documents by the letters they fail.
+FILTER_AUDIT_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+said AS (
+  SELECT doc_id, bool_or(coalesce(quality, 0) = 1) AS good, bool_or(coalesce(toxic, 0) = 1) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+first AS (SELECT t, min(doc_id) AS least FROM doc GROUP BY t),
+judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    concat(
+      CASE WHEN len(w) < 50 THEN 'A' END,
+      CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+      CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+      CASE WHEN doc.doc_id > least THEN 'E' END) AS fails
+  FROM doc JOIN first USING (t) LEFT JOIN said ON doc.doc_id = said.doc_id),
+hist AS (SELECT part, good, toxic, fails, count(*) AS n FROM judged GROUP BY ALL),
+letter(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT o, k, substr(o, k, 1) AS f, substr(o, 1, k - 1) AS past FROM orders, range(1, 6) r(k)),
+walked AS (
+  SELECT part, o, k, f, n, good, toxic, fails = f AS lone,
+    contains(fails, f) AS fails_it, translate(fails, past, '') <> fails AS gone
+  FROM hist, steps),
+counted AS (
+  SELECT part, o, k, f,
+    coalesce(sum(n) FILTER (NOT gone AND NOT fails_it), 0) AS kept,
+    coalesce(sum(n) FILTER (fails_it AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (fails_it AND gone), 0) AS redundant,
+    coalesce(sum(n) FILTER (lone), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (fails_it AND NOT gone AND good), 0) AS good_lost,
+    coalesce(sum(n) FILTER (fails_it AND NOT gone AND toxic), 0) AS toxic_lost
+  FROM walked GROUP BY part, o, k, f)
+SELECT part, o AS filter_order, CAST(k AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
+FILL_MIDDLE_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x
+  FROM documents),
+drawn AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform(range(4), lambda k: CAST('0x' || substr(x, 8 * k + 1, 8) AS BIGINT)) AS h
+  FROM doc),
+cut AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS one, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS two,
+    CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR h[3] % 100 >= 90 THEN 'plain'
+      WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+piece AS (
+  SELECT *, coalesce(array_to_string(u[1:one], ''), '') AS p, coalesce(array_to_string(u[one + 1:two], ''), '') AS m,
+    coalesce(array_to_string(u[two + 1:], ''), '') AS s
+  FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM piece
+"""
+
 ORACLE_SQL = {
     "op1_line_dedup": LINE_DEDUP_SQL,
     "op2_sharding": SHARDING_SQL,
     "op4_mix_sources": MIXING_SQL,
     "op5_decontaminate": DECONTAMINATION_SQL,
+    "op12_filter_audit": FILTER_AUDIT_SQL,
+    "op13_fill_middle": FILL_MIDDLE_SQL,
 }
