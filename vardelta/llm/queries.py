@@ -10,6 +10,7 @@ from vardelta.llm import (
     decontam,
     fill_middle,
     filter_audit,
+    jaccard_join,
     langid,
     line_dedup,
     mixing,
@@ -107,6 +108,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "held_out", "text"), model, reject=False).drop("text")
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"), shingle=5, percent=80)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     masks = filter_audit.failed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return filter_audit.audit(masks, "ABCDE")
@@ -126,7 +131,7 @@ def queries() -> dict:
         f.__name__: f
         for f in (
             op1_line_dedup, op2_sharding, op3_url_filter, op4_mix_sources, op5_decontaminate, op6_simhash,
-            op7_token_pack, op8_quality, op9_token_counts, op10_language, op12_filter_audit, op13_fill_middle,
+            op7_token_pack, op8_quality, op9_token_counts, op10_language, op11_jaccard_join, op12_filter_audit, op13_fill_middle,
         )
     }
 
