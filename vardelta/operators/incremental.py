@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vardelta.operators import digests
 from vardelta.operators.family import in_snapshot
 from vardelta.schemas import KEY
 
@@ -151,7 +152,30 @@ def scan_tally(v: DataFrame) -> DataFrame:
 
 
 def input_digests(rows: DataFrame, by: str = "sample_id") -> DataFrame:
-    """An order-free digest of each sample's rows: equal rows in any order give equal digests."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in rows.columns])
-    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
-    return rows.groupBy(by).agg(F.count("*").alias("n"), F.bit_xor(h).alias("digest"))
+    """(``by``, n, digest): an order-free digest of each sample's rows, copies counted (see :mod:`digests`)."""
+    return digests.multiset_digest(rows, [by]).select(by, "n", digests.digest_text(F.col("digest")).alias("digest"))
+
+
+def stale_reports(
+    reports: DataFrame, panel: DataFrame, resolved: DataFrame, category: str, cap: int | None = None, gate: bool = True
+) -> DataFrame:
+    """(sample_id, panel_current, consent_current, stale) of every report there is.
+
+    ``reports``: sample_id, person, panel_stamp and consent_stamp as they were when the report was made, null where it has
+    none. A report holds while its panel stamp equals that of ``panel`` (any rows: what is scored and printed) under ``cap``, and
+    while what it shows is what ``resolved`` consent (person, category, granted) lets it show. A report without a panel
+    stamp is stale; one without a consent stamp may have shown everything.
+    """
+    now = digests.multiset_digest(panel, []).select(panel_stamp(F.col("digest"), cap).alias("now"))
+    ok = resolved.where((F.col("category") == category) & F.col("granted")).select("person", F.lit(True).alias("ok")).distinct()
+    rows = reports.join(ok, "person", "left").join(F.broadcast(now))  # one row
+    state = F.when(F.lit(gate) & F.col("ok").isNull(), "withheld").otherwise("shown")
+    panel_current = F.coalesce(F.col("panel_stamp") == F.col("now"), F.lit(False))
+    consent_current = F.coalesce("consent_stamp", F.lit("shown")) == state
+    found = rows.select("sample_id", panel_current.alias("panel_current"), consent_current.alias("consent_current"))
+    return found.withColumn("stale", ~(F.col("panel_current") & F.col("consent_current")))
+
+
+def panel_stamp(digest: Column, cap: int | None = None) -> Column:
+    """What a report was scored against: the panel's content, and the cap on variants, as a capped report is a partial one."""
+    return F.concat(F.lit("panel="), digests.digest_text(digest), F.lit(f";cap={'none' if cap is None else cap}"))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vardelta.sources.store import written
+from vardelta.operators import ancestry
 
 
 def callset_to_person(callsets: DataFrame, people: DataFrame) -> DataFrame:
@@ -89,24 +89,13 @@ def trio(people: DataFrame, callset_person: DataFrame) -> DataFrame:
     return rows.select("child", "father", "mother", total.alias("sequenced"))
 
 
-def generations(people: DataFrame, most: int = 100) -> DataFrame:
+def generations(people: DataFrame) -> DataFrame:
     """(id, generation): 1 + the greatest of the parents'; founders 0, or their partner's if that is later.
 
-    Level by level: a level holds each person once, however many paths lead there, and is written before the next
-    one. Ends when a level is empty, and after ``most`` levels where persons are their own ancestors. Who
-    descends from no founder has no row.
+    Null for persons on or below a cycle of ancestors, who have none.
     """
     up, mates = parent_edges(people), partners(people)
-    level = people.select("id").join(up.select(F.col("child").alias("id")), "id", "left_anti").withColumn("generation", F.lit(0))
-    level = written(level, "generation")
-    found = level
-    for n in range(1, most + 1):
-        below = up.join(level.select(F.col("id").alias("parent")), "parent").select(F.col("child").alias("id")).distinct()
-        level = written(below.withColumn("generation", F.lit(n)), "generation")
-        if level.isEmpty():
-            break
-        found = found.union(level)
-    rows = found.groupBy("id").agg(F.max("generation").alias("generation"))
+    rows = people.select("id").distinct().join(ancestry.levels(people, up), "id", "left").withColumnRenamed("level", "generation")
     mate = rows.select(F.col("id").alias("b"), F.col("generation").alias("mate_generation"))
     founder = up.select(F.col("child").alias("id"), F.lit(True).alias("has_parents")).distinct()
     joined = rows.join(mates.withColumnRenamed("a", "id"), "id", "left").join(mate, "b", "left").join(founder, "id", "left")
@@ -117,18 +106,28 @@ def generations(people: DataFrame, most: int = 100) -> DataFrame:
 
 
 def pedigree_issues(people: DataFrame) -> DataFrame:
-    """Dangling references, parents of the wrong sex, callsets entered as persons."""
-    ids = people.select(F.col("id").alias("named"), F.col("sex").alias("named_sex"))
+    """Dangling references, parents of the wrong sex, callsets entered as persons, persons who are their own ancestors.
+
+    A callset is a person whose id goes on, after an underscore, from another person's; the longest such person is named.
+    """
+    ids = people.select(F.col("id").alias("named"), F.col("sex").alias("named_sex"), F.lit(True).alias("known"))
     named = people.select("id", F.explode(F.array(*[
         F.struct(F.lit(c).alias("role"), F.col(c).alias("named")) for c in ("father", "mother", "partner")
     ])).alias("r")).select("id", "r.*").where("named is not null")
     joined = named.join(ids, "named", "left")
-    dangling = joined.where("named_sex is null").select("id", F.concat("role", F.lit(" unknown: "), "named").alias("issue"))
+    dangling = joined.where("known is null").select("id", F.concat("role", F.lit(" unknown: "), "named").alias("issue"))
     wrong = joined.where("(role = 'father' and named_sex = 'female') or (role = 'mother' and named_sex = 'male')")
     wrong = wrong.select("id", F.concat("role", F.lit(" has the other sex: "), "named").alias("issue"))
-    prefix = F.regexp_extract("id", "^(.+)_[^_]*$", 1)
-    callset = people.select("id", prefix.alias("named")).join(ids, "named").select("id", F.concat(F.lit("callset of "), "named").alias("issue"))
-    return dangling.union(wrong).union(callset)
+    parts = F.split("id", "_")
+    shorter = F.transform(
+        F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1)).otherwise(F.array().cast("array<int>")),
+        lambda n: F.array_join(F.slice(parts, F.lit(1), n), "_"),
+    )
+    owners = people.select("id", F.explode(shorter).alias("named")).join(ids, "named")
+    owner = owners.groupBy("id").agg(F.max_by("named", F.length("named")).alias("named"))
+    callset = owner.select("id", F.concat(F.lit("callset of "), "named").alias("issue"))
+    cycles = ancestry.on_cycles(parent_edges(people)).select("id", F.lit("is its own ancestor").alias("issue"))
+    return dangling.union(wrong).union(callset).union(cycles)
 
 
 def pedigree_export(people: DataFrame, callset_person: DataFrame) -> DataFrame:

@@ -3,13 +3,13 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from vardelta.operators import classify, family, incremental, polygenic
+from vardelta.operators import classify, digests, family, incremental, polygenic
 from vardelta.queries import sqltext as q
 from vardelta.queries._base import CURR, LATER, PREV, QUERIES, query
 from vardelta.queries.delta import DV, EVAL, V
 from vardelta.queries.family import SECOND
 from vardelta.queries.genotypes import SCORES, SHARE
-from vardelta.queries.upkeep import LEDGER, ledger
+from vardelta.queries.upkeep import LEDGER, digest_sql, ledger, shared
 from vardelta.schemas import KEY
 from vardelta.sources import readers, store
 from vardelta.streaming import jobs
@@ -110,6 +110,33 @@ def m08(t):
     return joined.select("pgs_id", (F.col("was") != F.col("digest")).alias("stale"))
 
 
+#: A panel of scores as it is and as it was, and a report of every person: stamped with either panel or none, shown,
+#: withheld or unstamped.
+REPORTS = """panel_now AS (SELECT pgs_id, 'Trait ' || pgs_id AS trait, cast(count(*) as bigint) AS n_variants, CASE WHEN pgs_id = 'PGS3' THEN 'licence' END AS licence FROM scoring GROUP BY pgs_id),
+panel_then AS (SELECT pgs_id, trait, CASE WHEN pgs_id = 'PGS2' THEN n_variants - 1 ELSE n_variants END AS n_variants, licence FROM panel_now),
+report AS (SELECT CASE WHEN c % 8 = 3 THEN id || '_vendor' ELSE id END AS sample_id, id AS person, c % 4 AS panel_kind,
+    CASE WHEN c % 5 < 2 THEN 'shown' WHEN c % 5 < 4 THEN 'withheld' END AS consent_stamp FROM kin WHERE c % 9 > 0),
+agreed AS (SELECT id AS person, 'adult_onset' AS category, c % 3 = 0 AS granted FROM kin WHERE c % 3 < 2)"""
+
+
+@query("m08_stale_reports", "scoring", "kin", sql=f"""WITH {REPORTS}, stamps AS (
+  SELECT 0 AS kind, 'panel=' || digest || ';cap=none' AS stamp FROM ({digest_sql("pgs_id, trait, n_variants, licence", "panel_now")})
+  UNION ALL SELECT 1, 'panel=' || digest || ';cap=none' FROM ({digest_sql("pgs_id, trait, n_variants, licence", "panel_then")})
+  UNION ALL SELECT 2, 'panel=' || digest || ';cap=500' FROM ({digest_sql("pgs_id, trait, n_variants, licence", "panel_now")})),
+judged AS (SELECT sample_id, coalesce(s.stamp = (SELECT stamp FROM stamps WHERE kind = 0), false) AS panel_current,
+    coalesce(consent_stamp, 'shown') = CASE WHEN person IN (SELECT person FROM agreed WHERE granted) THEN 'shown' ELSE 'withheld' END AS consent_current
+  FROM report LEFT JOIN stamps s ON s.kind = panel_kind)
+SELECT *, NOT (panel_current AND consent_current) AS stale FROM judged""")
+def m08_reports(t):
+    """Reports against the panel of scores and the consent of today."""
+    one = lambda name: shared(t, name, REPORTS, "scoring", "kin")
+    now, then = (digests.multiset_digest(one(p), []) for p in ("panel_now", "panel_then"))
+    kinds = [(now, None), (then, None), (now, 500)]
+    stamps = [d.select(F.lit(k).cast("bigint").alias("panel_kind"), incremental.panel_stamp(F.col("digest"), cap).alias("panel_stamp")) for k, (d, cap) in enumerate(kinds)]
+    reports = one("report").join(stamps[0].union(stamps[1]).union(stamps[2]), "panel_kind", "left")
+    return incremental.stale_reports(reports, one("panel_now"), one("agreed"), "adult_onset")
+
+
 @query("t03_order_acmg", *DV, sql=f"""WITH {V}, {q.MODELS}, src AS (SELECT * FROM v WHERE gene IN (SELECT gene FROM panel)), done AS ({EVAL})
 SELECT sample_id, chrom, pos, ref, alt, acmg_tier, CAST(row_number() OVER (PARTITION BY sample_id ORDER BY
   list_position(['Pathogenic', 'Likely pathogenic', 'VUS', 'Likely benign', 'Benign'], acmg_tier), gene NULLS LAST, chrom, pos, ref, alt) AS INTEGER) AS place

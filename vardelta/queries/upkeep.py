@@ -162,10 +162,18 @@ def a36(t):
 
 
 DIGESTED = "sample_id, k, n, q, chrom, pos, ref, alt, filter, gt, ad, dp, gq, ps"
-_TEXT = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in DIGESTED.split(", "))
 
 
-@query("a35_input_digests", "genotypes", sql=f"SELECT sample_id, count(*) AS n, bit_xor(CAST('0x' || substr(md5({_TEXT}), 1, 15) AS BIGINT)) AS digest FROM genotypes GROUP BY sample_id")
+def digest_sql(columns, source, by=None):
+    """SQL of :func:`digests.multiset_digest` and its text: framed fields, summed parts of SHA-256."""
+    text = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns.split(", "))
+    part = lambda k: f"CAST(coalesce(sum(CAST('0x' || substr(h, {15 * k + 1}, 15) AS BIGINT)), 0) % 1152921504606846976 AS BIGINT)"
+    digits = " || ".join(f"lower(lpad(hex({part(k)}), 15, '0'))" for k in range(4))
+    own = f"{by}, " if by else ""
+    return f"SELECT {own}count(*) AS n, {digits} AS digest FROM (SELECT *, sha256({text}) AS h FROM {source}) AS hashed" + (f" GROUP BY {by}" if by else "")
+
+
+@query("a35_input_digests", "genotypes", sql=digest_sql(DIGESTED, "genotypes", "sample_id"))
 def a35(t):
     return incremental.input_digests(t.genotypes.select(*DIGESTED.split(", ")))
 
@@ -217,22 +225,38 @@ def j29(t):
     return pedigree.trio(t.people, pedigree.callset_to_person(t.callsets, t.people))
 
 
-@query("w11_family_generation", "kin", sql="""WITH RECURSIVE walk(id, g) AS (SELECT id, 0 FROM kin WHERE father IS NULL AND mother IS NULL UNION ALL
-  SELECT p.id, w.g + 1 FROM walk w JOIN kin p ON p.father = w.id OR p.mother = w.id), best AS (SELECT id, max(g) AS g FROM walk GROUP BY id)
-SELECT p.id, CASE WHEN p.father IS NULL THEN greatest(b.g, coalesce(m.g, 0)) ELSE b.g END AS generation FROM kin p JOIN best b ON b.id = p.id LEFT JOIN best m ON m.id = p.partner""")
+#: Pedigrees with planted faults: lines of descent that close after one, two and three steps, two cycles one below the
+#: other, persons below a cycle, references to nobody, parents of the wrong sex, callsets of one and two suffixes.
+ODD = """odd AS (SELECT id, CASE WHEN c % 10 = 3 THEN CASE sex WHEN 'male' THEN 'female' ELSE 'male' END ELSE sex END AS sex,
+    CASE WHEN family % 7 = 1 AND r = 0 THEN 'p' || cast(c + 2 AS string) WHEN family % 13 = 3 AND r = 0 THEN 'p' || cast(c + 4 AS string)
+      WHEN family % 7 = 1 AND family % 2 = 0 AND r = 4 THEN 'p' || cast(c + 1 AS string) WHEN family % 7 = 1 AND family % 2 = 0 AND r = 5 THEN 'p' || cast(c - 1 AS string)
+      WHEN c % 10 = 7 THEN mother ELSE father END AS father,
+    CASE WHEN family % 11 = 5 AND r = 1 THEN id WHEN c % 14 = 5 THEN 'nobody' ELSE mother END AS mother, partner
+  FROM (SELECT *, c % 6 AS r FROM kin) AS k
+  UNION ALL SELECT id || '_x', sex, NULL, NULL, NULL FROM kin WHERE c % 9 = 0
+  UNION ALL SELECT id || '_x_y', sex, NULL, NULL, NULL FROM kin WHERE c % 15 = 0
+  UNION ALL SELECT id || '_a_b', sex, NULL, NULL, NULL FROM kin WHERE c % 12 = 1)"""
+ANCESTORS = """edge AS (SELECT o.id AS c, p.id AS p FROM odd o JOIN odd p ON p.id = o.father OR p.id = o.mother),
+anc(id, a) AS (SELECT c, p FROM edge UNION SELECT anc.id, edge.p FROM anc JOIN edge ON edge.c = anc.a)"""
+
+
+@query("w11_family_generation", "kin", sql=f"""WITH RECURSIVE {ODD}, {ANCESTORS},
+lost AS (SELECT DISTINCT x.id FROM anc x WHERE x.a = x.id OR x.a IN (SELECT id FROM anc WHERE id = a)),
+walk(id, g) AS (SELECT id, 0 FROM odd WHERE id NOT IN (SELECT c FROM edge) UNION SELECT e.c, w.g + 1 FROM walk w JOIN edge e ON e.p = w.id WHERE e.c NOT IN (SELECT id FROM lost)),
+best AS (SELECT id, max(g) AS g FROM walk GROUP BY id),
+mate AS (SELECT a, arg_min(b, w) AS b FROM (SELECT id AS a, partner AS b, 0 AS w FROM odd WHERE partner IS NOT NULL UNION ALL SELECT partner, id, 1 FROM odd WHERE partner IS NOT NULL) AS t GROUP BY a)
+SELECT o.id, CASE WHEN o.id IN (SELECT c FROM edge) THEN b.g ELSE greatest(b.g, coalesce(m.g, 0)) END AS generation
+FROM odd o LEFT JOIN best b ON b.id = o.id LEFT JOIN mate ON mate.a = o.id LEFT JOIN best m ON m.id = mate.b""")
 def w11(t):
-    return pedigree.generations(t.kin)
-
-
-ODD = """odd AS (SELECT id, sex, CASE WHEN c % 10 = 3 THEN mother ELSE father END AS father, CASE WHEN c % 14 = 5 THEN 'nobody' ELSE mother END AS mother, partner FROM kin
-  UNION ALL SELECT id || '_x', sex, NULL, NULL, NULL FROM kin WHERE c % 9 = 0)"""
+    return pedigree.generations(shared(t, "odd", ODD, "kin"))
 
 
-@query("c25_pedigree_issues", "kin", sql=f"""WITH {ODD},
+@query("c25_pedigree_issues", "kin", sql=f"""WITH RECURSIVE {ODD}, {ANCESTORS},
 n AS (SELECT id, 'father' AS role, father AS named FROM odd UNION ALL SELECT id, 'mother', mother FROM odd UNION ALL SELECT id, 'partner', partner FROM odd)
 SELECT n.id, n.role || ' unknown: ' || named AS issue FROM n LEFT JOIN odd o ON o.id = named WHERE named IS NOT NULL AND o.id IS NULL
 UNION ALL SELECT n.id, n.role || ' has the other sex: ' || named FROM n JOIN odd o ON o.id = named WHERE (role = 'father' AND o.sex = 'female') OR (role = 'mother' AND o.sex = 'male')
-UNION ALL SELECT id, 'callset of ' || replace(id, '_x', '') FROM odd WHERE id LIKE '%_x'""")
+UNION ALL SELECT o.id, 'callset of ' || arg_max(p.id, length(p.id)) FROM odd o JOIN odd p ON starts_with(o.id, p.id || '_') GROUP BY o.id
+UNION ALL SELECT id, 'is its own ancestor' FROM anc WHERE id = a""")
 def c25(t):
     return pedigree.pedigree_issues(shared(t, "odd", ODD, "kin"))
 
