@@ -15,9 +15,10 @@ How the rarity is known without a row for every shingle:
    make no link; they only stand at the head of their text's order.
 3. A stretch puts its answers together. Texts whose prefix has only shingles of their own are done.
 
-Groups of copies count as one text. In a large group of near copies the texts of a shingle are first paired with two of
-them only, which joins nearly all; pairs between groups that are still apart follow, all of them, so no link is lost
-and no group is paired with itself.
+Groups of copies count as one text. In a large group of near copies the texts of a shingle are first paired with one of
+them only, another one in each round, which joins nearly all. Then texts that are still apart are compared, all of
+them, so no link is lost: one by one where the groups are small, and with a wide group as a whole, which ends at the
+first link. No group is paired with itself.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,10 @@ SENT_BITS, TOKEN_BITS = np.uint64(48), np.uint64(56)
 LOW = (np.uint64(1) << TOKEN_BITS) - np.uint64(1)
 #: Odd multipliers that mix hashes.
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Rounds of stars at most, and texts that a round takes as their middles in tokens of the same texts.
+ROUNDS, HUBS = 4, 4
+#: A largest group of a token of at least so many texts is met as a whole, in parts of about so many bytes of sets.
+WIDE, TILE_BYTES = 32, 16 << 20
 #: Places at which a suffix is split for its filter.
 SPLITS = 16
 
@@ -52,7 +58,7 @@ class Sizes:
     shingle in more than ``hot`` texts of a stretch is sent as a count.
     """
 
-    stretch: int = 1 << 21
+    stretch: int = 1 << 20
     bucket: int = 3 << 19
     rows: int = 60_000
     hot: int = 32
@@ -237,7 +243,7 @@ def _answers(buckets: int, schema: pa.Schema):
     return rows
 
 
-def least_overlap(size: int, percent: int) -> int:
+def least_overlap(size, percent: int):
     """Shingles that two sets of ``size`` shingles together must share."""
     return (size * percent + 99 + percent) // (100 + percent)
 
@@ -338,23 +344,21 @@ def _side(name: str) -> list[Column]:
 def _pairs(met: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (``a`` below ``b``) with the positions of the first shingle they share, within all bounds.
 
-    ``met`` has two sides that share a shingle of both prefixes. Shingles before it in the order may be shared too, so
-    the position bounds the overlap only for the first one, which the grouping finds.
+    ``met`` has two sides that share a shingle of both prefixes. The first one they share has their whole overlap at and
+    behind it, so a row where either side has too few shingles left is not the first of a pair that is alike.
     """
     small, large = F.least("u_n", "v_n"), F.greatest("u_n", "v_n")
-    bound = F.least("u_pos", "v_pos") + F.least(F.col("u_n") - F.col("u_pos"), F.col("v_n") - F.col("v_pos"))
-    fits = (small * 100 >= large * percent) & (bound >= _needed("u_n", "v_n", percent))
+    rest = F.least(F.col("u_n") - F.col("u_pos"), F.col("v_n") - F.col("v_pos"))
+    fits = (small * 100 >= large * percent) & (rest >= _needed("u_n", "v_n", percent))
     low = F.col("u_node") < F.col("v_node")
-    ordered = met.where((F.col("u_node") != F.col("v_node")) & fits).select(
+    ordered = met.where(fits).select(
         F.least("u_node", "v_node").alias("a"), F.greatest("u_node", "v_node").alias("b"),
         F.when(low, F.col("u_pos")).otherwise(F.col("v_pos")).alias("a_pos"),
         F.when(low, F.col("v_pos")).otherwise(F.col("u_pos")).alias("b_pos"),
         F.when(low, F.col("u_n")).otherwise(F.col("v_n")).alias("a_n"),
         F.when(low, F.col("v_n")).otherwise(F.col("u_n")).alias("b_n"),
     )
-    first = ordered.groupBy("a", "b", "a_n", "b_n").agg(F.min("a_pos").alias("a_pos"), F.min("b_pos").alias("b_pos"))
-    rest = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
-    return first.where(rest >= _needed("a_n", "b_n", percent))
+    return ordered.groupBy("a", "b", "a_n", "b_n").agg(F.min("a_pos").alias("a_pos"), F.min("b_pos").alias("b_pos"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -368,31 +372,113 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(alike).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _grouped(grams: DataFrame, joined: DataFrame | None) -> DataFrame:
+    """``grams`` with the group of each node so far, of those tokens that lie in more than one group; written."""
+    if joined is None:
+        rooted = grams.withColumn("group", F.col("node"))
+    else:
+        rooted = grams.join(joined.select(F.col("id").alias("node"), "root"), "node", "left")
+        rooted = rooted.withColumn("group", F.coalesce("root", "node")).drop("root")
+    several = rooted.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
+    return materialize(rooted.join(several.select("token"), "token", "left_semi"), "mixed-grams")
+
+
+def _told(mixed: DataFrame) -> DataFrame:
+    """``mixed`` with the largest group of each token, and whether it is a wide one."""
+    groups = mixed.groupBy("token", "group").agg(F.count("*").alias("c"))
+    largest = groups.groupBy("token").agg(F.max(F.struct("c", "group")).alias("m"))
+    return mixed.join(largest.select("token", F.col("m.group").alias("largest"), (F.col("m.c") >= WIDE).alias("wide")), "token")
+
+
+def _across(told: DataFrame) -> DataFrame:
+    """Of every token all pairs of texts in different groups, but for those of which one lies in a wide largest group.
+
+    The largest group is never paired with itself, however large it is.
+    """
+    others = told.where(F.col("group") != F.col("largest")).select("token", F.col("group").alias("u_group"), *_side("u"))
+    facing = told.where(~(F.col("wide") & (F.col("group") == F.col("largest"))))
+    facing = facing.select("token", F.col("group").alias("v_group"), "largest", *_side("v"))
+    once = (F.col("v_group") == F.col("largest")) | (F.col("u_node") < F.col("v_node"))
+    return others.join(facing, "token").where((F.col("u_group") != F.col("v_group")) & once)
+
+
+def _against_group(percent: int):
+    def rows(table: pa.Table) -> pa.Table:
+        sides = [table.filter(pc.equal(table["inside"], x)) for x in (True, False)]
+        members, texts = ({c: t[c].to_numpy() for c in ("node", "n")} for t in sides)
+        held, asked = ([np.frombuffer(k.as_buffer(), np.uint64) for k in t["keys"]] for t in sides)
+        edges: list[tuple[int, int]] = []
+        if held and asked:
+            every = np.concatenate(held)
+            owner = np.repeat(np.arange(len(held)), [len(k) for k in held])
+            for node, n, keys in zip(texts["node"], texts["n"], asked, strict=True):
+                at = np.minimum(np.searchsorted(keys, every), len(keys) - 1)
+                both = np.bincount(owner[keys[at] == every], minlength=len(held))
+                linked = np.flatnonzero(both >= least_overlap(members["n"].astype(np.int64) + int(n), percent))
+                edges += [(node, members["node"][k]) for k in linked[:1]]
+        return pa.table({"u": pa.array([e[0] for e in edges], pa.int64()), "v": pa.array([e[1] for e in edges], pa.int64())})
+
+    return rows
+
+
+def _to_groups(told: DataFrame, joined: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges (``u``, ``v``): a link of each text to each wide group that it meets in a token but is not part of.
+
+    One link is enough to join them, so a text is held against the whole group at once and no pair is a row. Both
+    sides are cut by the bytes of their sets; a part of one meets every part of the other.
+    """
+    meets = told.where(F.col("wide") & (F.col("group") != F.col("largest"))).select(F.col("largest").alias("g"), "node").distinct()
+    inside = joined.select(F.col("root").alias("g"), F.col("id").alias("node")).join(meets.select("g").distinct(), "g", "left_semi")
+    own = sets.select("node", "n", "keys")
+    both = meets.withColumn("inside", F.lit(False)).union(inside.withColumn("inside", F.lit(True))).join(own, "node")
+    both = materialize(both.select("g", "inside", "node", "n", "keys"), "facing-groups")
+    size = lambda side: F.sum(F.when(side, F.octet_length("keys")).otherwise(0))
+    cuts = lambda total: F.greatest(F.ceil(total / TILE_BYTES), F.lit(1)).cast("bigint")
+    parts = both.groupBy("g").agg(cuts(size(F.col("inside"))).alias("m"), cuts(size(~F.col("inside"))).alias("k"))
+    deal = both.join(parts, "g").withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("inside"), F.col("m")).otherwise(F.col("k"))))
+    met = F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(F.col("inside"), F.col("k")).otherwise(F.col("m")) - 1))
+    deal = deal.withColumn("met", met)
+    tile = F.when(F.col("inside"), F.struct(F.col("own").alias("m"), F.col("met").alias("k"))).otherwise(F.struct(F.col("met").alias("m"), F.col("own").alias("k")))
+    dealt = deal.select("g", tile.alias("t"), "inside", "node", "n", "keys").select("g", "t.m", "t.k", "inside", "node", "n", "keys")
+    return dealt.groupBy("g", "m", "k").applyInArrow(_against_group(percent), "u long, v long")
+
+
+def _stars(mixed: DataFrame, number: int) -> DataFrame:
+    """Of every token all texts with one of them, another one in each round; a few tokens in a row share the choice."""
+    lot = F.xxhash64("node", F.pmod("token", F.lit(HUBS)), F.lit(number))
+    hub = F.min_by(F.struct("node", "n", "pos", "group"), lot).alias("hub")
+    hubs = mixed.groupBy("token").agg(hub).select("token", "hub.*")
+    hubs = hubs.select("token", F.col("group").alias("v_group"), *_side("v"))
+    own = mixed.select("token", F.col("group").alias("u_group"), *_side("u"))
+    return own.join(hubs, "token").where("u_group <> v_group")
+
+
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """(``id``, ``root``) of nodes that have links: the smallest node that they reach."""
-    grams = sets.select("node", "n", "alone", F.posexplode("prefix").alias("at", "token")).select(
-        "token", "node", "n", (F.col("alone") + F.col("at")).alias("pos")
-    )
-    own = F.struct("node", "n", "pos")
-    hubs = grams.groupBy("token").agg(F.min(own).alias("least"), F.max(own).alias("most")).where("least.node <> most.node")
-    hubs = hubs.select("token", F.explode(F.array("least", "most")).alias("hub")).select("token", "hub.*")
-    stars = grams.select("token", *_side("u")).join(hubs.select("token", *_side("v")), "token")
-    edges = materialize(_verified(_pairs(stars, percent), sets, percent), "star-links")
-    joined = components(edges)
-    # what is left are texts of a shingle that lie in different groups: all pairs of these but within the largest group
-    rooted = grams.join(joined.withColumnRenamed("id", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = rooted.withColumnRenamed("root", "group")
-    groups = rooted.groupBy("token", "group").agg(F.count("*").alias("c"))
-    largest = groups.groupBy("token").agg(F.max(F.struct("c", "group")).alias("m"), F.count("*").alias("groups"))
-    apart = largest.where("groups > 1").select("token", F.col("m.group").alias("largest"))
-    mixed = rooted.join(apart, "token")
-    others = mixed.where(F.col("group") != F.col("largest")).select("token", F.col("group").alias("u_group"), *_side("u"))
-    facing = mixed.select("token", F.col("group").alias("v_group"), "largest", *_side("v"))
-    met = others.join(facing, "token").where(
-        (F.col("u_group") != F.col("v_group")) & ((F.col("v_group") == F.col("largest")) | (F.col("u_node") < F.col("v_node")))
+    grams = materialize(
+        sets.select("node", "n", "alone", F.posexplode("prefix").alias("at", "token")).select(
+            "token", "node", "n", (F.col("alone") + F.col("at")).alias("pos")
+        ),
+        "grams",
     )
-    more = _verified(_pairs(met, percent), sets, percent)
-    return components(edges.unionByName(more))
+    edges, joined, mixed, number, before = None, None, _grouped(grams, None), 0, None
+    while True:
+        left = mixed.groupBy("token", "group").agg(F.count("*").alias("c")).groupBy("token").agg(
+            F.sum("c").alias("all"), F.max("c").alias("most"), F.count("*").alias("groups")
+        )
+        pairs, rows = left.agg(F.sum(F.expr("(all - most) * all")), F.sum("all")).first()
+        if number == ROUNDS or not rows or pairs <= 4 * rows or (before and pairs > 0.9 * before):
+            break
+        before = pairs
+        found = materialize(_verified(_pairs(_stars(mixed, number), percent), sets, percent), "star-links")
+        edges = found if edges is None else edges.unionByName(found)
+        joined = components(edges)
+        mixed, number = _grouped(grams, joined), number + 1
+    told = materialize(_told(mixed), "told-grams")
+    more = _verified(_pairs(_across(told), percent), sets, percent)
+    if edges is None:
+        return components(more)
+    return components(edges.unionByName(more).unionByName(_to_groups(told, joined, sets, percent)))
 
 
 def similar_groups(
