@@ -52,22 +52,30 @@ def ar_index(by_gene: DataFrame) -> DataFrame:
     return rows.select("gene", "sample_id", F.element_at(names, F.col("rank").cast("int")).alias("status"))
 
 
-def member_pairs(index: DataFrame) -> DataFrame:
-    """Unordered pairs of members within a gene: as many as a family has, squared."""
-    a = index.select("gene", F.col("sample_id").alias("a"), F.col("status").alias("a_status"))
-    b = index.select("gene", F.col("sample_id").alias("b"), F.col("status").alias("b_status"))
-    return a.join(b, "gene").where("a < b")
+def member_pairs(index: DataFrame, families: DataFrame) -> DataFrame:
+    """Unordered pairs of members of one family within a gene. ``families``: sample_id, family; others have no pairs."""
+    own = index.join(families.select("sample_id", "family"), "sample_id")
+    a = own.select("gene", "family", F.col("sample_id").alias("a"), F.col("status").alias("a_status"))
+    b = own.select("gene", "family", F.col("sample_id").alias("b"), F.col("status").alias("b_status"))
+    return a.join(b, ["gene", "family"]).where("a < b").drop("family")
 
 
 def family_risk(index: DataFrame) -> DataFrame:
-    """Per gene with two members or more: lowest and highest risk of a child, in percent."""
-    chance = lambda c, k: sum((F.when(c == s, p[k]).otherwise(0) for s, p in S.PASS_PERCENT.items()), F.lit(0))
-    pairs = member_pairs(index)
-    low = chance(F.col("a_status"), 0) * chance(F.col("b_status"), 0)
-    high = chance(F.col("a_status"), 1) * chance(F.col("b_status"), 1)
-    risk = pairs.groupBy("gene").agg(F.min(low).alias("lo"), F.max(high).alias("hi"), F.count("*").alias("n_pairs"))
-    percent = lambda c: F.bround(F.col(c) / 100.0, 0).cast("int")
-    return risk.select("gene", "n_pairs", percent("lo").alias("low_percent"), percent("hi").alias("high_percent"))
+    """Per gene with two members or more: lowest and highest risk of a child, in percent, and the number of couples.
+
+    No couple is formed: the lowest risk is that of the two members with the lowest chances to pass an allele on, the
+    highest that of the two with the highest, and both follow from how many members have which status.
+    """
+    counts = [F.count_if(F.col("status") == s).alias(f"n_{s}") for s in S.PASS_PERCENT]
+    members = index.groupBy("gene").agg(F.count_if(F.col("status").isin(*S.PASS_PERCENT)).alias("n"), *counts).where("n >= 2")
+
+    def couple(k: int, ascending: bool) -> Column:
+        two = [F.array_repeat(F.lit(p[k]), F.least(F.col(f"n_{s}"), F.lit(2)).cast("int")) for s, p in S.PASS_PERCENT.items()]
+        ranked = F.sort_array(F.concat(*two), asc=ascending)
+        return F.bround(F.get(ranked, F.lit(0)) * F.get(ranked, F.lit(1)) / 100.0, 0).cast("int")
+
+    pairs = F.expr("n * (n - 1) div 2")
+    return members.select("gene", pairs.alias("n_pairs"), couple(0, True).alias("low_percent"), couple(1, False).alias("high_percent"))
 
 
 def panel_report(by_gene: DataFrame, penetrance: DataFrame | None) -> DataFrame:

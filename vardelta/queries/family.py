@@ -205,7 +205,7 @@ def a04(t):
 @query("j31_member_pairs", "variants", "panel", "people", sql=f"""WITH {V2}, {STATUS}, {INDEX}
 SELECT x.gene, x.sample_id AS a, y.sample_id AS b, x.status AS a_status, y.status AS b_status FROM idx x JOIN idx y ON x.gene = y.gene AND x.sample_id < y.sample_id""")
 def j31(t):
-    return panel.member_pairs(panel.ar_index(by_gene(t)))
+    return panel.member_pairs(panel.ar_index(by_gene(t)), t.people.select(F.col("id").alias("sample_id"), F.lit(1).alias("family")))
 
 
 @query("a05_family_risk", "variants", "panel", "people", sql=f"""WITH {V2}, {STATUS}, {INDEX},

@@ -57,6 +57,33 @@ def r02(t):
     return store.read_variants(t.spark, f"{root}/v").groupBy("snapshot_id", "sample_id").agg(F.count("*").alias("n"), F.countDistinct("gene").alias("n_genes"))
 
 
+@query("r02_late_files", "variants", sql=f"""SELECT snapshot_id, sample_id, count(*) AS n, sum(pos) AS places FROM variants WHERE snapshot_id = '{LATER}'
+  AND CASE sample_id WHEN 'father' THEN pos % 3 > 0 WHEN 'mother' THEN pos % 2 = 0 ELSE true END GROUP BY ALL""")
+def r02_late(t):
+    """Three rounds: all samples; a newer file of father and one of mother; then older ones of father, mother and daughter.
+
+    The stale files were written before the others and arrive after them. They are left out, in a batch of their own.
+    """
+    early, source, root = (store.scratch(t.spark, x) for x in ("staged", "arriving", "late-store"))
+    names = ["father", "mother", "daughter", "partner", "grandson", "granddaughter"]
+
+    def deliver(folder, name, rows, mark):
+        text_rows(rows.where(F.col("sample_id") == name)).select("value").write.text(f"{folder}/{mark}/{name}.parts")
+
+    at = store.written(t.at(LATER), "arriving-rows")
+    for name in names[:3]:
+        deliver(early, name, at.where("pos % 5 = 0"), "stale")
+    rounds = [[(n, at, "first") for n in names], [("father", at.where("pos % 3 > 0"), "second"), ("mother", at.where("pos % 2 = 0"), "second")], []]
+    for number, files in enumerate(rounds):
+        for name, rows, mark in files:
+            deliver(source, name, rows, mark)
+        if number == 2:
+            for name in names[:3]:
+                store.move(t.spark, f"{early}/stale/{name}.parts", f"{source}/stale/{name}.parts")
+        jobs.call_stream(t.spark, f"{source}/*/*", f"{root}/v", f"{root}/checkpoint", LATER, by_folder=True).awaitTermination()
+    return store.read_variants(t.spark, f"{root}/v").groupBy("snapshot_id", "sample_id").agg(F.count("*").alias("n"), F.sum("pos").alias("places"))
+
+
 @query("r01_release_stream", "variants", "clinvar", sql=f"SELECT '{CURR}' AS snapshot_id, sample_id, count(*) AS n FROM variants WHERE snapshot_id = '{PREV}' GROUP BY ALL UNION ALL SELECT '{PREV}', sample_id, count(*) FROM variants WHERE snapshot_id = '{PREV}' GROUP BY sample_id")
 def r01(t):
     """A new release arrives; the store gets the next snapshot."""

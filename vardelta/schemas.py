@@ -29,6 +29,7 @@ COMPANIONS = {
         "clinvar_revstat string, acmg_tier string, model_band string, model_epoch string"
     ),
     "scan_inputs": "snapshot_id string, sample_id string, vcf_digest string, cache_version string, clinvar_date string",
+    "deliveries": "snapshot_id string, sample_id string, delivery string, modified timestamp",
     "validation_runs": "run_id string, replay string, truth string, useful long, noise long, precision double",
     "validation_findings": "run_id string, chrom string, pos long, ref string, alt string, tier string, outcome string",
 }

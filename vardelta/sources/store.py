@@ -32,6 +32,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder within its file system; it keeps its modification time."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(new.getParent())
+    if not files.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def replace_partition(df: DataFrame, path: str, by: list[str]) -> None:
     """Overwrite only the partitions that ``df`` holds; readers see the old or the new files of each."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
