@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vardelta.functions.significance import path_ordinal, review_stars
@@ -30,15 +30,41 @@ def _evaluated(v: DataFrame, panel: DataFrame, missense, splice, regulatory, con
 
 
 def history(v: DataFrame, panel: DataFrame, missense=None, splice=None, regulatory=None, constraint=None) -> DataFrame:
-    """A row for each relevant variant and snapshot, with tier and model band. All snapshots in one job."""
+    """A row for each relevant variant and snapshot, with frequency, tier and model band. All snapshots in one job.
+
+    A snapshot's date is the one that its name begins with; null where it does not.
+    """
     done = _evaluated(v, panel, missense, splice, regulatory, constraint)
     return done.select(
-        "snapshot_id", *KEY, "gene", "clinvar_sig", "clinvar_revstat", "acmg_tier", F.col("reg_band").alias("model_band")
-    )
+        "snapshot_id", *KEY, "gene", "clinvar_sig", "clinvar_revstat", "acmg_tier", F.col("reg_band").alias("model_band"),
+        "gnomad_af", F.try_to_date(F.substring("snapshot_id", 1, 10), "yyyy-MM-dd").alias("snapshot_date"),
+    )
+
+
+def in_force(versions: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """(snapshot_id, source, version, as_of): what was the newest version of each source when a snapshot was made.
+
+    ``versions``: source, version, since (a date as text); of one day the last by name. A version of the snapshot's own day
+    is in force; before a source's first version there is no row. An as-of join: both sides are put in one order a source and
+    the last version is carried on.
+    """
+    told = versions.select("source", F.col("since").alias("at"), F.lit(0).alias("asked"), "version", F.lit(None).cast("string").alias("snapshot_id"))
+    asked = snapshots.select("snapshot_id").distinct().join(F.broadcast(versions.select("source").distinct()))  # a row a source
+    asked = asked.select("source", F.substring("snapshot_id", 1, 10).alias("at"), F.lit(1).alias("asked"), F.lit(None).cast("string").alias("version"), "snapshot_id")
+    upto = Window.partitionBy("source").orderBy("at", "asked", "version").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.last(F.when(F.col("asked") == 0, F.struct("version", F.col("at").alias("as_of"))), ignorenulls=True).over(upto)
+    rows = told.union(asked).withColumn("last", last).where("asked = 1 and last is not null")
+    return rows.select("snapshot_id", "source", "last.version", "last.as_of")
+
 
+def provenance(
+    v: DataFrame, panel: DataFrame, missense=None, splice=None, regulatory=None, constraint=None, versions: DataFrame | None = None
+) -> DataFrame:
+    """A row for each relevant variant and source that said something about it.
 
-def provenance(v: DataFrame, panel: DataFrame, missense=None, splice=None, regulatory=None, constraint=None) -> DataFrame:
-    """A row for each relevant variant and source that said something about it."""
+    With ``versions`` (source, version, since) a row names the version in force when the snapshot was made. ``sample_id`` is
+    null: annotation is that of the variant, whoever carries it.
+    """
     done = _evaluated(v, panel, missense, splice, regulatory, constraint)
     used = lambda *codes: F.coalesce(
         F.arrays_overlap("codes", F.array(*[F.lit(c) for c in codes])), F.lit(False)
@@ -63,7 +89,11 @@ def provenance(v: DataFrame, panel: DataFrame, missense=None, splice=None, regul
         said("constraint", F.col("constrained").cast("string"), F.lit("Medium"), used("PVS1", "PVS1_moderate"), called),
     )
     rows = done.select("snapshot_id", *KEY, F.explode(F.array_compact(sources)).alias("s"))
-    return rows.select("snapshot_id", *KEY, "s.*")
+    rows = rows.select("snapshot_id", F.lit(None).cast("string").alias("sample_id"), *KEY, "s.*")
+    if versions is None:
+        return rows.withColumn("version", F.lit(None).cast("string")).withColumn("as_of", F.lit(None).cast("string"))
+    force = in_force(versions, v.select("snapshot_id"))  # a row a snapshot and source
+    return rows.join(F.broadcast(force), ["snapshot_id", "source"], "left")
 
 
 def truth_join(findings: DataFrame, v: DataFrame, truth: str) -> DataFrame:

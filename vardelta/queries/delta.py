@@ -2,12 +2,14 @@
 
 from pyspark.sql import functions as F
 
+from vardelta.derive import spark_ctes
 from vardelta.functions.consequences import primary_consequence
 from vardelta.operators import classify, delta, history
-from vardelta.plans import findings
+from vardelta.plans import findings, validation
 from vardelta.queries import sqltext as q
 from vardelta.queries._base import CURR, LATER, PREV, query
 from vardelta.schemas import KEY
+from vardelta.sources import published, store
 
 D = q.delta(PREV, CURR)
 DV = ["variants", "panel", "missense", "splice", "regulatory", "gene_constraint"]
@@ -145,13 +147,18 @@ HISTORY = f"""relevant AS (SELECT snapshot_id, chrom, pos, ref, alt, coalesce(ma
   GROUP BY snapshot_id, chrom, pos, ref, alt),
 judged AS ({q.evaluated("relevant", regulatory=True)}),
 hist AS (SELECT snapshot_id, chrom, pos, ref, alt, gene, clinvar_sig, clinvar_revstat, CASE WHEN in_panel THEN acmg_tier END AS acmg_tier,
-  reg_band AS model_band FROM judged)"""
+  reg_band AS model_band, gnomad_af, substr(snapshot_id, 1, 10) AS snapshot_date FROM judged)"""
 
 
 def the_history(t):
     return history.history(t.variants, t.panel, t.missense, t.splice, t.regulatory, t.gene_constraint)
 
 
+def dated(rows):
+    """The date as text, which every engine compares alike."""
+    return rows.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+
+
 @query("a02_relevant_variants", "variants", "panel", sql=f"WITH {HISTORY.split('judged AS')[0].rstrip().rstrip(',')} SELECT * FROM relevant")
 def a02(t):
     return history.relevant_variants(t.variants, t.panel)
@@ -159,12 +166,12 @@ def a02(t):
 
 @query("c10_history", *DV, sql=f"WITH {q.MODELS}, {HISTORY} SELECT * FROM hist WHERE snapshot_id = '{CURR}'")
 def c10(t):
-    return history.history(t.at(CURR), t.panel, t.missense, t.splice, t.regulatory, t.gene_constraint)
+    return dated(history.history(t.at(CURR), t.panel, t.missense, t.splice, t.regulatory, t.gene_constraint))
 
 
 @query("c11_backfill_history", *DV, sql=f"WITH {q.MODELS}, {HISTORY} SELECT * FROM hist")
 def c11(t):
-    return the_history(t)
+    return dated(the_history(t))
 
 
 def _said(source: str, value: str, conf: str, used: str, when: str = "true") -> str:
@@ -176,17 +183,28 @@ CALLED = "coalesce(scope = 'call', false)"
 USED = lambda *c: f"list_has_any(codes, {list(c)})"
 
 
-@query("c09_provenance", *DV, sql=f"""WITH {q.MODELS}, {HISTORY},
-j AS (SELECT * REPLACE (CASE WHEN in_panel THEN scope END AS scope, CASE WHEN in_panel THEN codes END AS codes) FROM judged WHERE snapshot_id = '{CURR}')
-{_said("clinvar", "clinvar_sig", f"CASE WHEN ({q.stars('clinvar_revstat')}) >= 3 THEN 'High' WHEN ({q.stars('clinvar_revstat')}) = 2 THEN 'Medium' WHEN ({q.stars('clinvar_revstat')}) = 1 THEN 'Low' ELSE 'Very Low' END", "false")}
+#: Versions of the sources, by the day from which they hold: one source a day of the given orders.
+SOURCES = ["clinvar", "consequence", "gnomad_af", "missense", "splice", "constraint"]
+VERSIONS = f"""versions AS (SELECT source, source || ' of ' || snapshot_id AS version, CASE WHEN cast(substr(snapshot_id, 4, 1) as int) % 2 = 0 THEN '2023' ELSE '2024' END || substr(snapshot_id, 5, 6) AS since
+  FROM (SELECT snapshot_id, CASE (cast(substr(snapshot_id, 9, 2) as int) * 5 + cast(substr(snapshot_id, 6, 2) as int)) % 7 {" ".join(f"WHEN {k} THEN '{s}'" for k, s in enumerate(SOURCES))} END AS source FROM releases) AS x WHERE source IS NOT NULL)"""
+
+
+def versions(t):
+    return t.spark.sql(spark_ctes(t.spark, t.sf_dir, "releases").rstrip() + f",\n{VERSIONS}\nSELECT * FROM versions")
+
+
+@query("c09_provenance", *DV, "releases", sql=f"""WITH {q.MODELS}, {HISTORY}, {VERSIONS}, j AS (SELECT * REPLACE (CASE WHEN in_panel THEN scope END AS scope, CASE WHEN in_panel THEN codes END AS codes) FROM judged WHERE snapshot_id = '{CURR}'),
+said AS ({_said("clinvar", "clinvar_sig", f"CASE WHEN ({q.stars('clinvar_revstat')}) >= 3 THEN 'High' WHEN ({q.stars('clinvar_revstat')}) = 2 THEN 'Medium' WHEN ({q.stars('clinvar_revstat')}) = 1 THEN 'Low' ELSE 'Very Low' END", "false")}
 UNION ALL {_said("consequence", "consequence", "'High'", USED("PVS1", "PVS1_moderate"))}
 UNION ALL {_said("gnomad_af", "CAST(CAST(gnomad_af AS DECIMAL(9,6)) AS VARCHAR)", "'High'", USED("BA1", "BS1", "PM2"))}
 UNION ALL {_said("missense", "am_class", "'Medium'", USED("PP3", "BP4"), CALLED)}
 UNION ALL {_said("splice", "splice_effect", "'Medium'", USED("PP3", "BP4"), CALLED)}
 UNION ALL {_said("regulatory", "reg_band", "'Low'", "false", CALLED)}
-UNION ALL {_said("constraint", "CAST(constrained AS VARCHAR)", "'Medium'", USED("PVS1", "PVS1_moderate"), CALLED)}""")
+UNION ALL {_said("constraint", "CAST(constrained AS VARCHAR)", "'Medium'", USED("PVS1", "PVS1_moderate"), CALLED)}),
+force AS (SELECT source, arg_max(version, since || version) AS version, max(since) AS as_of FROM versions WHERE since <= '{CURR}' GROUP BY source)
+SELECT said.*, CAST(NULL AS VARCHAR) AS sample_id, version, as_of FROM said LEFT JOIN force USING (source)""")
 def c09(t):
-    return history.provenance(t.at(CURR), t.panel, t.missense, t.splice, t.regulatory, t.gene_constraint)
+    return history.provenance(t.at(CURR), t.panel, t.missense, t.splice, t.regulatory, t.gene_constraint, versions(t))
 
 
 STABLE = f"""lv AS (SELECT {q.KEYS}, snapshot_id, {q.ordinal("clinvar_sig")} AS lev FROM hist WHERE snapshot_id <= '{LATER}'),
@@ -310,6 +328,36 @@ def a22_matrix(t):
     return history.outcome_matrix(judged(t))
 
 
+PUBLISHED = f"""{TRUTH}, r AS (SELECT '{CURR}_vs_{LATER}' AS run_id, count(*) AS n, count(*) FILTER (outcome = 'confirmed') AS useful FROM outc)
+SELECT 'triage_results' AS table_name, run_id, n, useful FROM r UNION ALL SELECT 'validation_findings', run_id, n, useful FROM r
+UNION ALL SELECT 'validation_runs', run_id, n, useful FROM r"""
+
+
+@query("s22_published_results", *DV, sql=f"WITH {scored(PREV, CURR)}, {PUBLISHED}")
+def s22_published(t):
+    """A run is published with half of its findings and then again with all; another breaks at its last table and is not seen."""
+    root = store.scratch(t.spark, "results")
+    found, known = store.written(the_delta(t), "findings"), t.variants.where("pos % 50 > 0")
+    for rows in (found.where("pos % 2 = 0"), found):
+        validation.validate(t.spark, root, rows, known, PREV, CURR, LATER)
+
+    def breaks():
+        raise RuntimeError("the summary could not be made")
+
+    one = published.read_published(t.spark, root, "validation_findings").withColumn("run_id", F.lit("broken"))
+    try:
+        published.publish(t.spark, root, "broken", {"validation_findings": lambda: one, "validation_runs": breaks})
+    except RuntimeError:
+        pass
+    read = lambda name: published.read_published(t.spark, root, name)
+    useful = F.count_if(F.col("outcome") == "confirmed").alias("useful")
+    findings_ = read("validation_findings").groupBy("run_id").agg(F.count("*").alias("n"), useful)
+    triage = read("triage_results").agg(F.count("*").alias("n")).join(F.broadcast(findings_.select("run_id", "useful")))  # one row each
+    parts = [triage.select(F.lit("triage_results").alias("table_name"), "run_id", "n", "useful"), findings_.select(F.lit("validation_findings"), "run_id", "n", "useful"),
+             read("validation_runs").select(F.lit("validation_runs"), "run_id", F.col("n_deltas"), F.col("n_useful"))]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 DISEASE = """CASE WHEN coalesce(clinvar_disease, '') = '' THEN '—' ELSE
   (SELECT CASE WHEN length(nm) > 55 THEN substr(nm, 1, 55) || '…' ELSE nm END FROM (SELECT replace(coalesce(
     list_filter(string_split(clinvar_disease, '|'), lambda p: lower(trim(p)) NOT IN ('not_provided', 'not_specified', 'see_cases', ''))[1],

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from vardelta.derive import spark_ctes
 from vardelta.operators import domains, genotypes, intervals, polygenic, scores
 from vardelta.queries import sqltext as q
 from vardelta.queries._base import CHILD, LATER, query
@@ -329,6 +330,41 @@ def c18(t):
     return rows.select("pgs_id", "sample_id", "score_milli", "route", polygenic.band(F.col("overall_percent")).alias("band"))
 
 
+#: Scoring files as lines of text: three sound ones with some broken lines, one without a single sound line and one beyond the
+#: size cap; the panel that lists them and one more that has no file; consent of two thirds of the individuals.
+PANEL_RUN = """lines AS (SELECT pgs_id, chrom, cast(pos as string) AS pos, effect, cast(weight_milli as string) AS weight FROM scoring
+  UNION ALL SELECT pgs_id, chrom, 'unknown', effect, '1' FROM scoring WHERE pos % 40 = 0
+  UNION ALL SELECT pgs_id, chrom, cast(pos as string), effect, CASE WHEN pos % 80 = 0 THEN 'NaN' ELSE '' END FROM scoring WHERE pos % 40 = 8
+  UNION ALL SELECT 'PGS8', chrom, cast(pos as string), effect, '1' FROM scoring
+  UNION ALL SELECT 'PGS9', chrom, 'x' || cast(pos as string), effect, 'n/a' FROM scoring WHERE pgs_id = 'PGS1'),
+listed AS (SELECT pgs_id, 'Trait ' || pgs_id AS trait, CASE WHEN pgs_id IN ('PGS2', 'PGS9') THEN 'yes' ELSE 'no' END AS s1_gate, cast(count(*) as bigint) AS n_variants
+  FROM (SELECT pgs_id FROM lines UNION ALL SELECT 'PGS7') AS x GROUP BY pgs_id),
+cap AS (SELECT count(*) - 1 AS most FROM lines WHERE pgs_id = 'PGS8'),
+agreed AS (SELECT 'c' || cast(c as string) AS person, 'adult_onset' AS category, c % 3 = 0 AS granted FROM kin WHERE c % 3 < 2)"""
+
+
+@query("c18_panel_status", "scoring", "cohort", "kin", sql=f"""WITH {SCORES}, {PANEL_RUN},
+people AS (SELECT DISTINCT 'c' || individual AS sample_id FROM cohort),
+good AS (SELECT pgs_id, count(*) AS n FROM lines WHERE try_cast(pos AS BIGINT) IS NOT NULL AND isfinite(try_cast(weight AS DOUBLE)) GROUP BY pgs_id),
+st AS (SELECT l.pgs_id, l.trait, sample_id, CASE WHEN s1_gate = 'yes' AND sample_id NOT IN (SELECT person FROM agreed WHERE granted) THEN 'withheld'
+    WHEN l.n_variants > (SELECT most FROM cap) THEN 'too large' WHEN coalesce(good.n, 0) = 0 THEN 'malformed' ELSE 'scored' END AS status
+  FROM listed l CROSS JOIN people LEFT JOIN good USING (pgs_id))
+SELECT st.pgs_id, trait, st.sample_id, CASE WHEN status = 'scored' AND n_used IS NULL THEN 'no calls' ELSE status END AS status,
+  CASE WHEN status = 'scored' THEN score_milli END AS score_milli, CASE WHEN status = 'scored' THEN n_used END AS n_used
+FROM st LEFT JOIN co ON co.pgs_id = st.pgs_id AND 'c' || co.individual = st.sample_id""")
+def c18_status(t):
+    """Every score of the panel for every individual: those that cannot be had have a status, the others go on."""
+    one = lambda name: t.spark.sql(spark_ctes(t.spark, t.sf_dir, "scoring", "kin").rstrip() + f",\n{PANEL_RUN}\nSELECT * FROM {name}")
+    lines = one("lines")
+    usable = polygenic.usable_lines(lines)
+    weights = usable.join(t.scoring.select("pgs_id", "chrom", "pos", "other").distinct(), ["pgs_id", "chrom", "pos"])
+    scores = polygenic.prs_cohort(weights.withColumn("weight_milli", F.col("weight").cast("bigint")).drop("weight"), t.cohort)
+    scores = scores.withColumn("sample_id", F.concat(F.lit("c"), "individual")).drop("individual")
+    people = t.cohort.select(F.concat(F.lit("c"), "individual").alias("sample_id")).distinct()
+    most = one("cap").first().most
+    return polygenic.panel_scores(one("listed"), usable, scores, people.withColumn("person", F.col("sample_id")), one("agreed"), "adult_onset", most)
+
+
 @query("a29_site_union", "scoring", "frequencies", sql="""WITH l AS (SELECT chrom, pos, effect AS a FROM scoring UNION SELECT chrom, pos, CASE WHEN pos % 3 = 0 THEN 'T' WHEN pos % 3 = 1 THEN 'TT' ELSE 'A' END FROM scoring),
 g AS (SELECT chrom, pos, list_sort(list_filter(list_distinct(list(a)), lambda x: x <> 'A')) AS alts FROM l WHERE a IN ('A', 'C', 'G', 'T') GROUP BY ALL)
 SELECT g.chrom, g.pos, 'A' AS ref, array_to_string(alts, ',') AS alt FROM g JOIN (SELECT DISTINCT chrom, pos FROM frequencies) USING (chrom, pos) WHERE len(alts) > 0""")
@@ -370,9 +406,9 @@ def j16(t):
 
 
 @query("j17_sv_gene_nearby", "svs", "gene_regions", sql=f"""WITH {SV} SELECT s.sv_id, g.gene, greatest(g.start_pos - s.end_pos, s.start_pos - g.end_pos, 0) AS gap
-FROM sv s JOIN gene_regions g ON s.chrom = g.chrom WHERE s.length <= 30000 AND greatest(g.start_pos - s.end_pos, s.start_pos - g.end_pos, 0) <= 100000""")
+FROM sv s JOIN gene_regions g ON s.chrom = g.chrom WHERE s.length <= 3000000 AND greatest(g.start_pos - s.end_pos, s.start_pos - g.end_pos, 0) <= 100000""")
 def j17(t):
-    return intervals.sv_gene_nearby(intervals.read_sv(t.svs).where("length <= 30000"), t.gene_regions).select("sv_id", "gene", "gap")
+    return intervals.sv_gene_nearby(intervals.read_sv(t.svs), t.gene_regions).select("sv_id", "gene", "gap")
 
 
 @query("a25_sv_summary", "svs", sql=f"""SELECT kind, count(*) AS n, count(*) FILTER (kind <> 'BND' AND {LEN} <= 3000000) AS focal, count(*) FILTER (kind <> 'BND' AND {LEN} > 3000000) AS arm_scale
@@ -396,6 +432,20 @@ def s15(t):
     return intervals.genome_callability(t.depth)
 
 
+LENGTHS = "lengths AS (SELECT chrom, max(end_pos) + 5000 AS length FROM depth GROUP BY chrom)"
+
+
+@query("s15_depth_distribution", "depth", sql=f"""WITH {LENGTHS}, base AS (SELECT chrom, p, max(depth) AS depth FROM (SELECT chrom, depth, unnest(range(start_pos, end_pos + 1)) AS p FROM depth) GROUP BY chrom, p),
+h AS (SELECT chrom, depth, count(*) AS n FROM base WHERE depth > 0 GROUP BY ALL), both_ AS (SELECT * FROM h UNION ALL SELECT 'total', depth, sum(n) FROM h GROUP BY depth),
+every AS (SELECT * FROM lengths UNION ALL SELECT 'total', sum(length) FROM lengths),
+r AS (SELECT chrom, depth, sum(n) OVER (PARTITION BY chrom ORDER BY depth DESC) AS bases FROM both_ UNION ALL SELECT chrom, 0, length FROM every)
+SELECT r.chrom, r.depth, CAST(r.bases AS BIGINT) AS bases, CAST(r.bases AS DOUBLE) / CAST(length AS DOUBLE) AS share FROM r JOIN every USING (chrom)""")
+def s15_distribution(t):
+    """Share of the bases at any depth or above."""
+    lengths = t.depth.groupBy("chrom").agg((F.max("end_pos") + 5000).alias("length"))
+    return intervals.depth_distribution(t.depth, lengths)
+
+
 # score tables
 
 CAND = f"""cand AS (SELECT chrom, pos, ref, alt, min(gene) AS gene, min(consequence) AS consequence, min(gnomad_af) AS af, string_agg(DISTINCT sample_id, ',' ORDER BY sample_id) AS carriers

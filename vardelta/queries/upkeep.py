@@ -496,7 +496,7 @@ def s20(t):
 def s22(t):
     root = store.scratch(t.spark, "companions")
     keep = ["snapshot_id", *KEY, "gene", "clinvar_sig", "clinvar_revstat"]
-    rows = t.variants.select(*keep).distinct().withColumns({c: F.lit(None).cast("string") for c in ("acmg_tier", "model_band", "model_epoch")})
+    rows = t.variants.select(*keep).distinct().withColumns({c: F.lit(None).cast("string") for c in ("snapshot_date", "gnomad_af", "acmg_tier", "model_band", "model_epoch")})
     store.write_companion(rows.where(f"snapshot_id in ('{PREV}', '{LATER}')"), root, "variant_history", ["snapshot_id"])
     store.write_companion(rows.where(f"snapshot_id = '{PREV}' and pos % 2 = 0"), root, "variant_history", ["snapshot_id"])
     return store.read_companion(t.spark, root, "variant_history").select("snapshot_id", *KEY, "gene", "clinvar_sig")

@@ -15,23 +15,29 @@ ANNOTATED = (
     "alleleid string"
 )
 CLINVAR = "chrom string, pos string, id string, ref string, alt string, qual string, filter string, info string"
+# The companion tables and their columns.
 COMPANIONS = {
     "triage_results": (
         "prev_snapshot string, snapshot_id string, sample_id string, chrom string, pos long, ref string, alt string, "
         "gene string, change_kind string, tier string, score double, factors string, stars int"
     ),
     "annotation_provenance": (
-        "snapshot_id string, chrom string, pos long, ref string, alt string, source string, value string, "
-        "confidence_band string, used_in_code boolean"
+        "snapshot_id string, sample_id string, chrom string, pos long, ref string, alt string, source string, version string, "
+        "value string, confidence string, used_in_code boolean, as_of string"
     ),
     "variant_history": (
-        "snapshot_id string, chrom string, pos long, ref string, alt string, gene string, clinvar_sig string, "
-        "clinvar_revstat string, acmg_tier string, model_band string, model_epoch string"
+        "snapshot_id string, snapshot_date date, chrom string, pos long, ref string, alt string, gene string, clinvar_sig string, "
+        "clinvar_revstat string, gnomad_af double, acmg_tier string, model_band string, model_epoch string"
     ),
     "scan_inputs": "snapshot_id string, sample_id string, vcf_digest string, cache_version string, clinvar_date string",
     "deliveries": "snapshot_id string, sample_id string, delivery string, modified timestamp",
-    "validation_runs": "run_id string, replay string, truth string, useful long, noise long, precision double",
-    "validation_findings": "run_id string, chrom string, pos long, ref string, alt string, tier string, outcome string",
+    "validation_runs": (
+        "run_id string, replay_snapshot string, truth_snapshot string, n_deltas long, n_useful long, n_noise long, "
+        "precision_actionable double"
+    ),
+    "validation_findings": (
+        "run_id string, chrom string, pos long, ref string, alt string, predicted_tier string, outcome string, truth_sig string"
+    ),
 }
 
 # Terms of a significance that call for action, and that leave it open.
