@@ -13,6 +13,8 @@ import numpy as np
 
 
 SLOT_BITS = 18
+#: A rule is two symbols and saves one at each use: from the third use on it pays for itself.
+PAYS = 3
 
 
 @dataclass
@@ -25,13 +27,23 @@ class Grammar:
     symbols: np.ndarray  # uint32
 
 
-def compress(ids: np.ndarray, base: int, least: int = 16) -> Grammar:
-    """Grammar of ``ids`` (all below ``base``): rounds go on until no pair is seen ``least`` times or more.
+def _apart(matches: np.ndarray) -> np.ndarray:
+    """Of neighbouring places every second one, from the left of each run."""
+    if not len(matches):
+        return matches
+    opens = np.r_[True, np.diff(matches) != 1]
+    run = np.maximum.accumulate(np.where(opens, np.arange(len(matches)), 0))
+    return matches[(np.arange(len(matches)) - run) & 1 == 0]
+
+
+def compress(ids: np.ndarray, base: int, least: int = PAYS) -> Grammar:
+    """Grammar of ``ids`` (all below ``base``): rounds go on until no pair is apart ``least`` times or more.
 
     All pairs are counted exactly in the first round. Later only such pairs can be frequent as hold a symbol
     of the round before, or were frequent then and lost some occurrences to their neighbours; only these are
     counted again. What is sorted to count it are the pairs whose hash slot is that full at least, so that no
-    frequent pair is missed. A pair of which other pairs took every occurrence gets no rule.
+    frequent pair is missed. A pair of which other pairs took so many occurrences that fewer are left gets no rule and is
+    counted again.
     """
     sequence = ids.astype(np.int32)
     lengths = np.ones(base, dtype=np.uint32)
@@ -57,12 +69,17 @@ def compress(ids: np.ndarray, base: int, least: int = 16) -> Grammar:
         seen = np.full(len(sequence), -1, dtype=np.int32)
         where = packed[np.repeat(frequent, counts)] & ((1 << places) - 1)
         seen[where] = np.repeat(np.arange(frequent.sum(), dtype=np.int32), counts[frequent])
-        # of neighbouring matches every second one is taken, from the left of each run
-        matches = np.flatnonzero(seen >= 0)
-        opens = np.r_[True, np.diff(matches) != 1]
-        run = np.maximum.accumulate(np.where(opens, np.arange(len(matches)), 0))
-        taken = matches[(np.arange(len(matches)) - run) & 1 == 0]
-        used = np.bincount(seen[taken], minlength=frequent.sum()) > 0
+        taken = _apart(np.flatnonzero(seen >= 0))
+        used = np.bincount(seen[taken], minlength=frequent.sum()) >= least
+        if not used.any():  # neighbours leave each other too few: one pair alone may still have enough
+            for k in np.argsort(-counts[frequent], kind="stable"):
+                alone = _apart(np.flatnonzero(seen == k))
+                if len(alone) >= least:
+                    taken, used[k] = alone, True
+                    break
+            else:
+                break
+        taken = taken[used[seen[taken]]]  # a pair that neighbours left too few gets no rule yet
         number = next_symbol + np.cumsum(used) - 1
         sequence[taken] = number[seen[taken]]
         robbed = seen >= 0  # frequent, but a neighbour was taken

@@ -73,7 +73,7 @@ def document_slice(row: dict, base: int, doc: int, start: int = 0, stop: int | N
 
 
 def encode_blocks(
-    docs: DataFrame, tokenizer: str, end_id: int, base: int, least: int = 16, shards: int | None = None
+    docs: DataFrame, tokenizer: str, end_id: int, base: int, least: int = _repair.PAYS, shards: int | None = None
 ) -> DataFrame:
     """Blocks (:data:`BLOCKS`) of ``docs`` (doc_id, an integer, and text), in ascending doc_id order.
 
