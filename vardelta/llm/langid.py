@@ -122,9 +122,10 @@ def fit(
 ) -> Model:
     """Model from labelled rows; rows without text, letters or label are passed over.
 
-    The sample of a language are its ``most`` first texts by hash (copies of a text count once); each
-    language is clustered in one task of that size. ``reject_share`` of a language's sample lies below
-    its least cosine.
+    The sample of a language are its ``most`` first distinct texts by hash (copies count once, however many there are).
+    A text leaves its row as a vector of fixed size, so the task that clusters a language is bounded whatever the
+    lengths of the texts; a sample in which several centroids are equally near gives a text to the first of them.
+    ``reject_share`` of a language's sample lies below its least cosine.
     """
     usable = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     idf = inverse_frequencies(usable, text)
@@ -133,11 +134,11 @@ def fit(
     keep = F.lit(False)
     for name, top in edges.items():
         keep = keep | ((F.col("lang") == F.lit(name)) & (F.col("h") <= F.lit(top)))
-    sample = hashed.where(keep).dropDuplicates(["lang", "h"])
+    sample = hashed.where(keep).dropDuplicates(["lang", "h"]).select("lang", "h", _vectors(F.col("text"), idf).alias("vector"))
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("h").head(most)
-        vectors = np.stack([vector(t, idf).astype(np.float32) for t in rows["text"]])
+        vectors = np.stack([np.frombuffer(v, dtype=np.float32) for v in rows["vector"]])
         table = cluster(vectors, k)
         best = np.sort((vectors @ table.T).max(axis=1))
         least = float(best[int(reject_share * len(best))])
@@ -156,13 +157,33 @@ def fit(
     )
 
 
+def _vectors(text: Column, idf: np.ndarray) -> Column:
+    """The vector of each text, as bytes."""
+
+    def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([vector(t.as_py(), idf).astype(np.float32).tobytes() for t in texts], pa.binary())
+
+    rows.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(rows, returnType="binary")(text)
+
+
+#: A hash up to which so many times the wanted number of texts are expected holds that number all but surely.
+MARGIN = 1.2
+
+
 def _first_hashes(hashed: DataFrame, most: int) -> DataFrame:
-    """For each language the hash up to which about ``most`` texts lie (all, if there are fewer)."""
-    quantile = hashed.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("low"), F.max("h").alias("high"))
+    """For each language the hash up to which about :data:`MARGIN` times ``most`` distinct texts lie (all, if there are few).
+
+    Copies are put together before anything is counted. Hashes are even, so a share of their range holds that share of them;
+    a language of under twice as many texts is taken whole.
+    """
+    once = hashed.select("lang", "h").distinct()
+    found = once.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("low"), F.max("h").alias("high"))
     span = F.col("high").cast("double") - F.col("low").cast("double")
-    share = F.least(F.lit(1.0), F.lit(1.5 * most) / F.col("n"))
-    top = F.when(share >= 1.0, F.col("high")).otherwise((F.col("low").cast("double") + span * share).cast("long"))
-    return quantile.select("lang", top.alias("top"))
+    share = F.lit(MARGIN * most) / F.col("n")
+    top = F.when(F.col("n") <= 2 * most, F.col("high")).otherwise((F.col("low").cast("double") + span * share).cast("long"))
+    return found.select("lang", top.alias("top"))
 
 
 def predict(text: Column, model: Model) -> Column:
