@@ -99,7 +99,9 @@ def brute_verdict(text, bands):
     raw = (text or "").encode()
     shrunk = lambda b: len(b) / len(zstandard.ZstdCompressor(level=bands.level).compress(b))
     pieces = [raw[i : i + bands.chunk_bytes] for i in range(0, len(raw), bands.chunk_bytes)]
-    pieces = [x for x in pieces if len(x) == bands.chunk_bytes or 2 * len(x) >= bands.chunk_bytes]
+    if pieces and 2 * len(pieces[-1]) < bands.chunk_bytes:
+        tail = pieces.pop()
+        pieces = [*pieces[:-1], pieces[-1] + tail] if pieces else []
     out = sum(not bands.chunk_band[0] <= shrunk(x) <= bands.chunk_band[1] for x in pieces)
     ratio = shrunk(raw) if raw else 0.0
     low, high = next((a, b) for start, a, b in reversed(bands.whole) if len(raw) >= start)

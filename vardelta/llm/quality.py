@@ -33,8 +33,8 @@ class Bands:
     """Limits of the compression ratio.
 
     ``whole``: (from so many bytes on, least ratio, greatest ratio); the last entry that the length
-    reaches holds. ``chunk_bytes`` long pieces (a last piece of at least half that counts too) must lie
-    in ``chunk_band``; a document goes if more than ``chunk_share`` of its pieces lie outside.
+    reaches holds. ``chunk_bytes`` long pieces (a shorter rest of under half of that goes with the piece before it, so all of a
+    text is in some piece unless all of it is shorter than that) must lie in ``chunk_band``; a document goes if more than ``chunk_share`` of its pieces lie outside.
 
     The least ratios lie below those of all rows with 50 words or more of the documents at sf0.1 (1.34, 1.43,
     1.69, 1.92, 2.21 and 2.57 from the lengths on; 1.69 for pieces) and above those of random printable
@@ -97,8 +97,11 @@ def _measure_rows(batches: Iterator[pa.Array], bands: Bands) -> Iterator[pa.Arra
         ratio = size / len(packer.compress(raw)) if size else 0.0
         step = bands.chunk_bytes
         pieces = [raw[i : i + step] for i in range(0, size, step)]
-        if pieces and len(pieces[-1]) * 2 < step:
-            pieces.pop()
+        if len(pieces) > 1 and len(pieces[-1]) * 2 < step:  # a short tail is judged with the piece before it
+            tail = pieces.pop()
+            pieces[-1] += tail
+        elif pieces and len(pieces[-1]) * 2 < step:  # a short text is judged as a whole only
+            pieces = []
         out = sum(not low <= len(p) / len(packer.compress(p)) <= high for p in pieces)
         base_failed = n_words < bands.min_words or 100 * repeats > bands.max_repeat_percent * n_words
         least, greatest = [(a, b) for start, a, b in bands.whole if size >= start][-1]
