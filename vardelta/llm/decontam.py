@@ -26,8 +26,6 @@ from vardelta.llm._shared import ascii_lower, constant_array, materialize
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Size of the bit table: about so many bits a shingle, a power of two between the two bounds.
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 23
-#: An item side of at most so many windows (of under 1 KB each) is broadcast; a larger one is shuffled.
-MOST_BROADCAST = 50_000
 
 
 def words_of(text: Column) -> Column:
@@ -140,9 +138,6 @@ def occurrences(found: DataFrame, windows: DataFrame, share: float) -> DataFrame
     )
     chosen = prefixes(windows, hits.select("h"), share)
     chosen_lengths = windows.select("length").distinct().collect()  # from 1 to the shingle length at most
-    n_windows = windows.count()
-    if n_windows <= MOST_BROADCAST:
-        chosen = F.broadcast(chosen)
     joined = hits.join(chosen.withColumnRenamed("length", "item_length"), "h").where(
         F.col("length") == F.col("item_length")
     )
