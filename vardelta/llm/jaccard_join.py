@@ -8,7 +8,7 @@ the smaller halves together), then the intersection.
 
 How the rarity is known without a row for every shingle:
 
-1. A task turns a stretch of texts (two million shingles, copies left out) into a message for each bucket of
+1. A task turns a stretch of texts (a million shingles, copies left out) into a message for each bucket of
    the hash space: the hashes and the number of the text in its stretch. A shingle that many texts of the
    stretch share is sent once, with its count.
 2. A bucket counts in how many texts a shingle is, and answers each stretch for those in two or more. Others can
