@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from vardelta.functions.consequences import primary_consequence
 from vardelta.functions.significance import disease_name, is_actionable, rarity, review_stars, sig_rank
 from vardelta.operators import classify
 from vardelta.operators import delta as changes
+from vardelta.operators.genotypes import attach_allele_balance
 from vardelta.schemas import KEY
 from vardelta.sources.store import written
 
@@ -23,12 +26,13 @@ def changed(v: DataFrame, snapshots: DataFrame, prev: str, curr: str) -> tuple[D
 
 def delta(
     v: DataFrame, snapshots: DataFrame, prev: str, curr: str, panel: DataFrame, missense: DataFrame | None,
-    splice: DataFrame | None, regulatory: DataFrame | None, constraint: DataFrame | None, history: DataFrame | None,
+    splice: DataFrame | None, regulatory: DataFrame | None, constraint: DataFrame | None,
+    trails: Callable[[DataFrame], DataFrame] | None,
 ) -> DataFrame:
     """Every notable change, scored and put into a tier.
 
-    The changed rows are written first; scores and history are cut to their keys, and to the snapshots that count,
-    before anything is grouped or joined.
+    The changed rows are written first. Scores are cut to their keys, and so are the variants from which ``trails`` makes the
+    significance of each (snapshot, key): only changed keys in the few snapshots that count are ever grouped.
     """
     rows, _ = changed(v, snapshots, prev, curr)
     rows = written(rows, "changed")
@@ -40,24 +44,45 @@ def delta(
     judged = classify.evaluate(rows)
     null_variant = (F.col("scope") != "none") & primary_consequence(F.col("consequence")).isin(S.NULL_TERMS)
     judged = judged.withColumn("is_null", null_variant)
-    if history is None:
+    if trails is None:
         judged = judged.withColumn("stability", F.lit(0))
     else:
         recent = changes.recent_snapshots(snapshots, curr)
-        judged = judged.join(changes.stability(only(history.where(F.col("snapshot_id") <= curr)), curr, recent), KEY, "left")
+        counted = v.join(F.broadcast(recent), "snapshot_id", "left_semi").join(keys, KEY, "left_semi")
+        judged = judged.join(changes.stability(trails(counted), curr, recent), KEY, "left")
     return changes.triage_score(changes.triage_factors(judged)).withColumn(
         "stars", review_stars(F.col("curr_clinvar_revstat"))
     )
 
 
-def full_findings(v: DataFrame) -> DataFrame:
-    """Actionable rows with stars, rarity and disease."""
+def full_findings(
+    v: DataFrame, genotypes: DataFrame | None = None, missense: DataFrame | None = None, splice: DataFrame | None = None
+) -> DataFrame:
+    """Actionable rows with stars, rarity and disease, the reads that carry the variant, and what models say of it.
+
+    ``low_balance`` flags heterozygous calls that too few reads bear out. A splice score too low to matter is left out.
+    Columns of a table that is not given are null. Scores and genotypes are cut to the findings before they are joined.
+    """
     rows = v.where(is_actionable(F.col("clinvar_sig")))
-    return (
+    rows = (
         rows.withColumn("stars", review_stars(F.col("clinvar_revstat")))
         .withColumn("rarity", rarity(F.col("gnomad_af")))
         .withColumn("disease", disease_name(F.col("clinvar_disease")))
     )
+    none = lambda **kinds: {c: F.lit(None).cast(k) for c, k in kinds.items()}
+    if genotypes is None:
+        rows = rows.withColumns(none(alt_reads="int", total_reads="int", low_balance="boolean"))
+    else:
+        rows = attach_allele_balance(rows, genotypes)
+    keys = rows.select(*KEY).distinct()
+    if missense is None:
+        rows = rows.withColumns(none(am_milli="bigint", am_class="string"))
+    else:
+        rows = rows.join(classify.best_missense(missense.join(keys, KEY, "left_semi")), KEY, "left")
+    if splice is None:
+        return rows.withColumns(none(splice_centi="bigint", splice_effect="string"))
+    told = classify.best_splice(splice.join(keys, KEY, "left_semi")).where(F.col("splice_centi") >= 100 * S.SPLICE_POSSIBLE)
+    return rows.join(told, KEY, "left")
 
 
 def full_order() -> list:

@@ -263,7 +263,8 @@ def trails(t):
 
 def the_delta(t, prev=PREV, curr=CURR):
     return findings.delta(
-        t.variants, t.snapshots, prev, curr, t.panel, t.missense, t.splice, t.regulatory, t.gene_constraint, trails(t)
+        t.variants, t.snapshots, prev, curr, t.panel, t.missense, t.splice, t.regulatory, t.gene_constraint,
+        lambda v: history.relevant_variants(v, t.panel),
     )
 
 
@@ -365,12 +366,23 @@ DISEASE = """CASE WHEN coalesce(clinvar_disease, '') = '' THEN '—' ELSE
 RARITY = "CASE WHEN gnomad_af IS NULL THEN 'novel' WHEN gnomad_af < 0.001 THEN 'rare' ELSE 'common' END"
 
 
-@query("c13_full_findings", "variants", sql=f"""
-SELECT sample_id, chrom, pos, ref, alt, gene, clinvar_sig, {q.stars("clinvar_revstat")} AS stars, {RARITY} AS rarity, {DISEASE} AS disease
-FROM variants WHERE snapshot_id = '{CURR}' AND {q.act("clinvar_sig")}""")
+TRIM_READS = """reads AS (SELECT sample_id, chrom, CASE WHEN cut THEN pos + 1 ELSE pos END AS pos, CASE WHEN cut THEN coalesce(nullif(substr(ref, 2), ''), '-') ELSE ref END AS ref,
+    CASE WHEN cut THEN coalesce(nullif(substr(alt, 2), ''), '-') ELSE alt END AS alt, counts[2] AS alt_reads, list_sum(counts) AS total_reads
+  FROM (SELECT *, length(ref) <> length(alt) AND ref[1] = alt[1] AS cut, list_transform(string_split(ad, ','), lambda x: CASE WHEN x = '.' THEN 0 ELSE CAST(x AS INT) END) AS counts FROM genotypes))"""
+
+
+@query("c13_full_findings", *DV, "genotypes", sql=f"""WITH {q.MODELS}, {TRIM_READS}
+SELECT v.sample_id, v.chrom, v.pos, v.ref, v.alt, v.gene, clinvar_sig, {q.stars("clinvar_revstat")} AS stars, {RARITY} AS rarity, {DISEASE} AS disease,
+  r.alt_reads, CAST(r.total_reads AS INTEGER) AS total_reads, coalesce(zygosity = 'HET' AND r.alt_reads::DOUBLE / r.total_reads < 0.25, false) AS low_balance,
+  am_milli, am_class, CASE WHEN splice_centi >= 20 THEN splice_centi END AS splice_centi, CASE WHEN splice_centi >= 20 THEN splice_effect END AS splice_effect
+FROM variants v LEFT JOIN reads r ON r.sample_id = v.sample_id AND {q.on("r", "v")} AND r.total_reads > 0 LEFT JOIN am ON {q.on("am", "v")} LEFT JOIN sa ON {q.on("sa", "v")}
+WHERE snapshot_id = '{CURR}' AND {q.act("clinvar_sig")}""")
 def c13(t):
-    rows = findings.order_full(findings.full_findings(t.at(CURR)))
-    return rows.select("sample_id", *KEY, "gene", "clinvar_sig", "stars", "rarity", "disease")
+    rows = findings.order_full(findings.full_findings(t.at(CURR), t.genotypes, t.missense, t.splice))
+    return rows.select(
+        "sample_id", *KEY, "gene", "clinvar_sig", "stars", "rarity", "disease", "alt_reads", "total_reads", "low_balance",
+        "am_milli", "am_class", "splice_centi", "splice_effect",
+    )
 
 
 @query("a37_full_counts", "variants", sql=f"""
