@@ -201,6 +201,8 @@ STORED = {
     "splice": ("chrom, pos, ref, alt, ag, al, dg, dl", []),
     "regulatory": ("chrom, pos, ref, alt, delta_centi, percentile", []),
     "clinvar": ("release, chrom, pos, ref, alt, info", []),
+    "panel": ("gene, disease, inh", []),
+    "gene_constraint": ("gene, pli, loeuf", []),
 }
 _kept: dict[tuple[str, str, str], str] = {}
 

@@ -71,7 +71,11 @@ def compound_het(v: DataFrame, child: str, father: str, mother: str) -> DataFram
 
 
 def carriers(v: DataFrame) -> DataFrame:
-    """Per variant of three exact significances: its carriers in order, and their number."""
+    """Per variant of three exact significances: its carriers in order, and their number.
+
+    The list is what a family's report prints: its length is the number of samples in ``v`` at most (some bytes each), so a
+    whole cohort's rows belong in :func:`carrier_rows`, which has a row a carrier.
+    """
     exact = v.where(F.col("clinvar_sig").isin("Pathogenic", "Likely_pathogenic", "Pathogenic/Likely_pathogenic"))
     each = F.concat("sample_id", F.lit("("), "zygosity", F.lit(")"))
     return exact.groupBy("gene", *KEY, "clinvar_sig").agg(
@@ -79,6 +83,17 @@ def carriers(v: DataFrame) -> DataFrame:
     )
 
 
+def carrier_rows(v: DataFrame) -> DataFrame:
+    """:func:`carriers` in long form: a row for each variant and carrier, with the number of the variant's carriers."""
+    exact = v.where(F.col("clinvar_sig").isin("Pathogenic", "Likely_pathogenic", "Pathogenic/Likely_pathogenic"))
+    key = ["gene", *KEY, "clinvar_sig"]
+    counts = exact.groupBy(*key).agg(F.count("*").alias("n_carriers"))
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return exact.alias("l").join(counts.alias("r"), same).select(*[f"l.{c}" for c in [*key, "sample_id", "zygosity"]], "r.n_carriers")
+
+
 def parent_carriage(v: DataFrame, keys: DataFrame, callsets: DataFrame, father: str, mother: str) -> DataFrame:
     """For each key whether any callset of each parent records it. ``callsets``: sample_id, person."""
     seen = v.join(keys.select(*KEY).distinct(), KEY, "left_semi").join(callsets, "sample_id")

@@ -11,7 +11,7 @@ from vardelta.queries.family import SECOND
 from vardelta.queries.genotypes import SCORES, SHARE
 from vardelta.queries.upkeep import LEDGER, digest_sql, ledger, shared
 from vardelta.schemas import KEY
-from vardelta.sources import readers, store
+from vardelta.sources import blocks, readers, store
 from vardelta.streaming import jobs
 
 
@@ -44,6 +44,15 @@ def s05(t):
     return readers.shape_annotated(named, "sample_id").where("pos is not null").select(*LOADED.split(", "))
 
 
+@query("s01_block_annotated", "variants", sql=f"SELECT chrom, pos, ref, alt, gene, clinvar_sig, gnomad_af, zygosity FROM variants WHERE snapshot_id = '{LATER}'")
+def s01_blocks(t):
+    """Block-compressed annotated files, each read by several tasks."""
+    root = store.scratch(t.spark, "block-files")
+    blocks.write_lines(text_rows(t.at(LATER)).select("value"), root)
+    rows = readers.read_annotated_blocks(t.spark, root, size=1 << 18)
+    return rows.select("chrom", "pos", "ref", "alt", "gene", "clinvar_sig", "gnomad_af", "zygosity")
+
+
 @query("r02_call_stream", "variants", sql=f"SELECT snapshot_id, sample_id, count(*) AS n, count(DISTINCT gene) AS n_genes FROM variants WHERE snapshot_id = '{LATER}' GROUP BY ALL")
 def r02(t):
     """Files arrive in two rounds; each round loads its samples' partitions."""

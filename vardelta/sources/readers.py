@@ -1,6 +1,7 @@
 """Readers. Each has a shape function over a DataFrame of raw columns and a thin reader of files.
 
-Schemas are always given; a gzip file is one task, so what is read from many of them is dealt out again.
+Schemas are always given. A gzip file is one task for Spark's own readers; large ones are better block-compressed, which
+the readers by blocks cut into several.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vardelta import schemas as S
 from vardelta.functions.alleles import info_map
+from vardelta.sources import blocks
 
 
 def dash(c: str) -> Column:
@@ -51,6 +53,23 @@ def read_annotated(spark: SparkSession, path: str, guard: bool = True) -> DataFr
     return rows.where("pos is not null").drop("uploaded")
 
 
+def read_annotated_blocks(spark: SparkSession, path: str, guard: bool = True, size: int = blocks.RANGE) -> DataFrame:
+    """:func:`read_annotated` of block-compressed files, which several tasks read together."""
+    lines = blocks.read_lines(spark, path, size).where(~F.col("value").startswith("#") & (F.col("value") != ""))
+    names = [f.split()[0] for f in S.ANNOTATED.split(", ")]
+    cells = F.split("value", "\t")
+    rows = shape_annotated(lines.select(*[F.nullif(F.get(cells, F.lit(k)), F.lit("")).alias(n) for k, n in enumerate(names)]))
+    if guard:
+        guard_parsed(rows)
+    return rows.where("pos is not null").drop("uploaded")
+
+
+def read_genotype_blocks(spark: SparkSession, path: str, size: int = blocks.RANGE) -> DataFrame:
+    """:func:`read_genotypes` of block-compressed files, one sample each and named after it."""
+    lines = blocks.read_lines(spark, path, size)
+    return shape_genotypes(lines.select(F.regexp_extract("file", r"([^/]+?)\.[^/]*$", 1).alias("sample_id"), "value"))
+
+
 def unparsed(rows: DataFrame) -> DataFrame:
     """One row: how many coordinates could not be read, of how many, and the least of them."""
     bad = F.col("pos").isNull()
