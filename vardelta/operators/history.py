@@ -9,6 +9,7 @@ from vardelta.functions.significance import path_ordinal, review_stars
 from vardelta.operators import classify
 from vardelta.operators.family import in_snapshot
 from vardelta.schemas import KEY
+from vardelta.sources import store
 
 
 def relevant_variants(v: DataFrame, panel: DataFrame) -> DataFrame:
@@ -57,6 +58,18 @@ def in_force(versions: DataFrame, snapshots: DataFrame) -> DataFrame:
     return rows.select("snapshot_id", "source", "last.version", "last.as_of")
 
 
+def pin_versions(versions: DataFrame, snapshots: DataFrame, root: str) -> None:
+    """Write down which version of each source a snapshot was made with (:func:`in_force`), a partition a snapshot.
+
+    Snapshots that have a manifest keep it: what a later list of versions says about an earlier day changes nothing.
+    """
+    spark = snapshots.sparkSession
+    rows = in_force(versions, snapshots)
+    if store.exists(spark, f"{root}/manifests"):
+        rows = rows.join(store.read_companion(spark, root, "manifests").select("snapshot_id").distinct(), "snapshot_id", "left_anti")
+    store.write_companion(rows, root, "manifests", ["snapshot_id"])
+
+
 def provenance(
     v: DataFrame, panel: DataFrame, missense=None, splice=None, regulatory=None, constraint=None, versions: DataFrame | None = None
 ) -> DataFrame:

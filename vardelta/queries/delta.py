@@ -207,6 +207,18 @@ def c09(t):
     return history.provenance(t.at(CURR), t.panel, t.missense, t.splice, t.regulatory, t.gene_constraint, versions(t))
 
 
+@query("s20_pinned_versions", "releases", "snapshots", sql=f"""WITH {VERSIONS}
+SELECT s.snapshot_id, v.source, arg_max(v.version, v.since || v.version) AS version, max(v.since) AS as_of FROM snapshots s JOIN versions v ON v.since <= s.snapshot_id GROUP BY ALL""")
+def s20_pinned(t):
+    """Two snapshots are pinned with the versions of their time; a third follows when later versions are known too."""
+    root, every = store.scratch(t.spark, "manifests"), versions(t)
+    history.pin_versions(every.where(f"since <= '{CURR}'"), t.snapshots.where(f"snapshot_id <= '{CURR}'"), root)
+    altered = every.withColumn("version", F.when(F.col("since") <= PREV, F.concat("version", F.lit(" (renamed)"))).otherwise(F.col("version")))
+    history.pin_versions(altered, t.snapshots.where(f"snapshot_id <= '{CURR}'"), root)
+    history.pin_versions(every, t.snapshots, root)
+    return store.read_companion(t.spark, root, "manifests")
+
+
 STABLE = f"""lv AS (SELECT {q.KEYS}, snapshot_id, {q.ordinal("clinvar_sig")} AS lev FROM hist WHERE snapshot_id <= '{LATER}'),
 st AS (SELECT {q.KEYS}, snapshot_id, lev - lag(lev) OVER (PARTITION BY {q.KEYS} ORDER BY snapshot_id) AS d FROM lv),
 ch AS (SELECT *, sign(d) <> sign(lag(d) OVER (PARTITION BY {q.KEYS} ORDER BY snapshot_id)) AS turn FROM st WHERE d <> 0),

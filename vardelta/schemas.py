@@ -30,6 +30,7 @@ COMPANIONS = {
         "clinvar_revstat string, gnomad_af double, acmg_tier string, model_band string, model_epoch string"
     ),
     "scan_inputs": "snapshot_id string, sample_id string, vcf_digest string, cache_version string, clinvar_date string",
+    "manifests": "snapshot_id string, source string, version string, as_of string",
     "deliveries": "snapshot_id string, sample_id string, delivery string, modified timestamp",
     "validation_runs": (
         "run_id string, replay_snapshot string, truth_snapshot string, n_deltas long, n_useful long, n_noise long, "
