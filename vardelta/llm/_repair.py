@@ -27,13 +27,18 @@ class Grammar:
     symbols: np.ndarray  # uint32
 
 
-def _apart(matches: np.ndarray) -> np.ndarray:
-    """Of neighbouring places every second one, from the left of each run."""
-    if not len(matches):
-        return matches
-    opens = np.r_[True, np.diff(matches) != 1]
-    run = np.maximum.accumulate(np.where(opens, np.arange(len(matches)), 0))
-    return matches[(np.arange(len(matches)) - run) & 1 == 0]
+def _opens(differ: np.ndarray) -> np.ndarray:
+    """Where runs begin, by whether each value but the first differs from the one before."""
+    out = np.ones(len(differ) + 1, dtype=bool)
+    out[1:] = differ
+    return out
+
+
+def _apart(opens: np.ndarray) -> np.ndarray:
+    """Of neighbouring places every second one, from the left of each run; ``opens`` marks where runs begin."""
+    places = np.arange(len(opens))
+    run = np.maximum.accumulate(np.where(opens, places, 0))
+    return (places - run) & 1 == 0
 
 
 def compress(ids: np.ndarray, base: int, least: int = PAYS) -> Grammar:
@@ -44,58 +49,82 @@ def compress(ids: np.ndarray, base: int, least: int = PAYS) -> Grammar:
     counted again. What is sorted to count it are the pairs whose hash slot is that full at least, so that no
     frequent pair is missed. A pair of which other pairs took so many occurrences that fewer are left gets no rule and is
     counted again.
+
+    A replaced symbol stays where it is and is passed over by links, so a round costs what it counts. Links and symbols
+    are closed up when a third of them is gone.
     """
     sequence = ids.astype(np.int32)
-    lengths = np.ones(base, dtype=np.uint32)
+    room = len(sequence) // max(1, least) + 1  # each rule takes so many symbols away
+    lengths = np.ones(base + room, dtype=np.uint32)
     rules, next_symbol = [], base
+    gone = 0
+
+    def linked() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        places = np.arange(len(sequence), dtype=np.int32)
+        return places + 1, places - 1, np.full(len(sequence), -1, dtype=np.int32)
+
+    after, before, seen = linked()  # neighbours; the number of the frequent pair that begins here, else -1
     at = np.arange(len(sequence) - 1)  # where pairs to be counted begin
     while len(at) >= least:
         width, places = int(next_symbol - 1).bit_length(), len(sequence).bit_length()
         if 2 * width + places > 63:
             raise ValueError("a block of so many ids and symbols can't be counted")
-        keys = (sequence[at].astype(np.int64) << width) | sequence[at + 1]
-        slots = ((keys * 0x1E3779B97F4A7C15) >> 40) & ((1 << SLOT_BITS) - 1)
-        full = np.bincount(slots, minlength=1 << SLOT_BITS)[slots] >= least
-        packed = (keys[full] << places) | at[full]
+        keys = (sequence[at].astype(np.int64) << width) | sequence[after[at]]
+        packed = (keys << places) | at
+        if len(at) > 1 << SLOT_BITS - 3:
+            slots = ((keys * 0x1E3779B97F4A7C15) >> 40) & ((1 << SLOT_BITS) - 1)
+            packed = packed[np.bincount(slots, minlength=1 << SLOT_BITS)[slots] >= least]
         if not len(packed):
             break
         packed.sort()
         pair = packed >> places
-        first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
-        counts = np.diff(np.r_[first, len(pair)])
+        first = np.flatnonzero(_opens(pair[1:] != pair[:-1]))
+        counts = np.diff(first, append=len(pair))
         frequent = counts >= least
         if not frequent.any():
             break
-        seen = np.full(len(sequence), -1, dtype=np.int32)
         where = packed[np.repeat(frequent, counts)] & ((1 << places) - 1)
         seen[where] = np.repeat(np.arange(frequent.sum(), dtype=np.int32), counts[frequent])
-        taken = _apart(np.flatnonzero(seen >= 0))
-        used = np.bincount(seen[taken], minlength=frequent.sum()) >= least
+        where.sort()
+        kind = seen[where]
+        chosen = _apart(_opens(after[where[:-1]] != where[1:]))
+        used = np.bincount(kind[chosen], minlength=frequent.sum()) >= least
         if not used.any():  # neighbours leave each other too few: one pair alone may still have enough
             for k in np.argsort(-counts[frequent], kind="stable"):
-                alone = _apart(np.flatnonzero(seen == k))
+                own = np.flatnonzero(kind == k)
+                alone = own[_apart(_opens(after[where[own[:-1]]] != where[own[1:]]))]
                 if len(alone) >= least:
-                    taken, used[k] = alone, True
+                    chosen[:] = False
+                    chosen[alone], used[k] = True, True
                     break
             else:
                 break
-        taken = taken[used[seen[taken]]]  # a pair that neighbours left too few gets no rule yet
-        number = next_symbol + np.cumsum(used) - 1
-        sequence[taken] = number[seen[taken]]
-        robbed = seen >= 0  # frequent, but a neighbour was taken
-        robbed[taken] = False
-        stays = np.ones(len(sequence), dtype=bool)
-        stays[taken + 1] = False
-        sequence, robbed = sequence[stays], robbed[stays]
+        chosen &= used[kind]  # a pair that neighbours left too few gets no rule yet
+        taken, number = where[chosen], next_symbol + np.cumsum(used) - 1
+        lost = after[taken]
+        sequence[taken], sequence[lost] = number[kind[chosen]], -1
+        after[taken] = after[lost]
+        inside = taken[after[taken] < len(sequence)]
+        before[after[inside]] = inside
         made = pair[first[frequent][used]]
         table = np.stack([made >> width, made & ((1 << width) - 1)], axis=1)
         rules.append(table)
-        lengths = np.concatenate([lengths, lengths[table[:, 0]] + lengths[table[:, 1]]])
-        new = sequence >= next_symbol
-        again = new[:-1] | new[1:] | robbed[:-1]
-        at, next_symbol = np.flatnonzero(again), next_symbol + len(table)
+        lengths[next_symbol : next_symbol + len(table)] = lengths[table[:, 0]] + lengths[table[:, 1]]
+        next_symbol += len(table)
+        # next: what holds a new symbol, and what was frequent while a neighbour was taken
+        left = before[taken]
+        left = left[left >= 0]
+        at = np.concatenate([left[seen[left] < 0], where[sequence[where] >= 0]])
+        at = at[after[at] < len(sequence)]
+        seen[where] = -1
+        gone += len(taken)
+        if 3 * gone > len(sequence):
+            stays = sequence >= 0
+            at = (np.cumsum(stays) - 1)[at]
+            sequence, gone = sequence[stays], 0
+            after, before, seen = linked()
     table = np.concatenate(rules) if rules else np.zeros((0, 2))
-    return Grammar(base, table.astype(np.uint32), lengths[base:], sequence.astype(np.uint32))
+    return Grammar(base, table.astype(np.uint32), lengths[base:next_symbol], sequence[sequence >= 0].astype(np.uint32))
 
 
 def _unfold(base: int, rules: np.ndarray, symbols: np.ndarray) -> np.ndarray:

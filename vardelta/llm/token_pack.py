@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vardelta.llm import _repair
-from vardelta.llm._pieces import CHUNK, shared_encoder
+from vardelta.llm._pieces import GROUP, shared_encoder
 from vardelta.llm._shared import materialize, shuffle_partitions
 
 BLOCK_IDS = 1 << 18
@@ -137,7 +137,7 @@ def _groups(batches: Iterator[pa.RecordBatch], cut: Callable[[str], list[str]])
             for k, part in enumerate(parts):
                 group.append((place.as_py(), doc_id.as_py(), part, k == 0, k + 1 == len(parts)))
                 held += len(part)
-                if held >= CHUNK:
+                if held >= GROUP:
                     yield group
                     group, held = [], 0
     if group:
