@@ -60,9 +60,9 @@ def piece_text(name: str) -> str:
 
 
 class PieceEncoder:
-    """Encodes texts; remembers at most ``keep`` pieces, those of the latest texts."""
+    """Encodes texts; remembers at most ``keep`` pieces."""
 
-    def __init__(self, path: str, keep: int = 500_000, block: int = CHUNK):
+    def __init__(self, path: str, keep: int = 1_000_000, block: int = CHUNK):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -73,6 +73,7 @@ class PieceEncoder:
         self.torn = any(t.lstrip or t.rstrip or t.single_word for t in added)
         self.keep, self.block = keep, block
         self.known, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.used = np.zeros(0, dtype=bool)
         if self.byte_level:
             vocabulary = self.library.get_vocab(with_added_tokens=False)
             self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
@@ -159,9 +160,11 @@ class PieceEncoder:
         coded, bounds = lists.values.dictionary_encode(), lists.offsets.to_numpy()
         del marked, lists
         pieces = coded.dictionary
-        place = pc.index_in(pieces, value_set=self.known)
-        missing = place.is_null().to_numpy(zero_copy_only=False)
-        place = place.fill_null(0).to_numpy().astype(np.int64)
+        found = pc.index_in(self.known, value_set=pieces)  # hashes these pieces, however many are known
+        held, place = np.flatnonzero(found.is_valid()), np.full(len(pieces), -1)
+        place[found.drop_null().to_numpy()] = held
+        self.used[held] = True
+        missing = place < 0
         place[missing] = len(self.known) + np.arange(missing.sum())
         ids = pa.concat_arrays([self.ids, self._learn(pieces.filter(pa.array(missing)))])
         joined = ids.take(pa.array(place[coded.indices.to_numpy()]))
@@ -171,13 +174,20 @@ class PieceEncoder:
         return [raw[a:b].to_pybytes() for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def _remember(self, pieces: pa.Array, ids: pa.Array, place: np.ndarray) -> None:
-        """Keep these pieces, whose ids are at ``place``, and of the others the latest."""
-        rest = np.ones(len(self.known), dtype=bool)
-        rest[place[place < len(rest)]] = False
-        rest = np.flatnonzero(rest)
-        pieces, place = pa.concat_arrays([pieces, self.known.take(pa.array(rest))]), np.concatenate([place, rest])
-        stays = np.flatnonzero(pc.binary_length(pieces).to_numpy() <= LONGEST_KEPT)[: self.keep]
-        self.known, self.ids = pieces.take(pa.array(stays)), ids.take(pa.array(place[stays]))
+        """Add these pieces, whose ids are at ``place``. If that is too many, half of ``keep`` stay: these, then what was used of late."""
+        new = place >= len(self.known)
+        if len(self.known) + new.sum() <= self.keep:
+            kept, room = np.arange(len(self.known)), self.keep
+        else:
+            own = place[~new]
+            self.used[own] = False
+            kept, room = np.concatenate([own, np.flatnonzero(self.used)]), self.keep // 2
+        new = np.flatnonzero(new & (pc.binary_length(pieces).to_numpy() <= LONGEST_KEPT))[:room]
+        kept = kept[: room - len(new)]
+        self.ids = ids.take(pa.array(np.concatenate([place[new], kept])))
+        self.known = pa.concat_arrays([pieces.take(pa.array(new)), self.known.take(pa.array(kept))])
+        used = self.used[kept] if room == self.keep else np.zeros(len(kept), dtype=bool)  # "of late": since the last time
+        self.used = np.concatenate([np.zeros(len(new), dtype=bool), used])
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """All ids of each text as little-endian unsigned 32-bit integers."""
