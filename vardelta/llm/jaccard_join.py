@@ -3,7 +3,7 @@
 Two sets that are alike by 80 % share one of their rarest fifth. So each text's shingles are put into one global order,
 rarest first, and only texts that meet in a shingle of their prefixes are looked at again. Length and
 position in the order bound the overlap a pair can still have; pairs that stay are verified once, from the first
-shingle they share: a suffix filter first (both rests are split at the same places, the overlap is no more than
+shingle they share: their signs first (parities, which bound how far the sets differ), a suffix filter then (both rests are split at the same places, the overlap is no more than
 the smaller halves together), then the intersection.
 
 How the rarity is known without a row for every shingle:
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vardelta.llm._shared import materialize
-from vardelta.llm.simhash import SALTS, SEED, components
+from vardelta.llm.simhash import SALTS, SEED, components, one_of_each, text_hash
 
 #: Words whose hashes a task remembers.
 REMEMBERED = 1 << 19
@@ -46,6 +47,8 @@ MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 ROUNDS, HUBS = 4, 4
 #: A largest group of a token of at least so many texts is met as a whole, in parts of about so many bytes of sets.
 WIDE, TILE_BYTES = 32, 16 << 20
+#: Longs of a text's sign: a bit for each class of its shared shingles, set if it has an odd number of them.
+SIGN_LONGS = 8
 #: Places at which a suffix is split for its filter.
 SPLITS = 16
 
@@ -252,6 +255,13 @@ def _needed(a: str, b: str, percent: int) -> Column:
     return F.expr(f"(({a} + {b}) * {percent} + {99 + percent}) div {100 + percent}")
 
 
+def sign(keys: np.ndarray) -> list[int]:
+    """Parities of the classes of a set. Two sets differ in at least so many elements as their signs do in bits."""
+    place = (keys * MIX_A) >> np.uint64(64 - (SIGN_LONGS * 64).bit_length() + 1)
+    odd = np.bincount(place.astype(np.int64), minlength=SIGN_LONGS * 64) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64).tolist()
+
+
 def _orders(percent: int, buckets: int, schema: pa.Schema):
     def rows(table: pa.Table) -> pa.Table:
         messages = table.to_pylist()
@@ -283,7 +293,7 @@ def _orders(percent: int, buckets: int, schema: pa.Schema):
             prefix = n - (n * percent + 99) // 100 + 1 - alone
             if prefix > 0 and k not in copies:
                 out.append(
-                    {"node": node, "n": n, "alone": alone, "keys": mine.tobytes(), "prefix": mine[:prefix].view(np.int64).tolist()}
+                    {"node": node, "n": n, "alone": alone, "keys": mine.tobytes(), "prefix": mine[:prefix].view(np.int64).tolist(), "sign": sign(mine)}
                 )
         return pa.Table.from_pylist(out, schema)
 
@@ -294,7 +304,7 @@ def ordered_sets(docs: DataFrame, shingle: int, percent: int, sizes: Sizes = Siz
     """Rows of two kinds, written: ``ids``, ``nodes`` and ``sizes`` of all rows of a stretch; or a text that may have links.
 
     Such a text has ``node`` (the hash of its words), ``n`` shingles, ``alone`` (those that no other text has, the first of
-    its order), ``keys`` (the others in order, as bytes) and ``prefix`` (those of them in the prefix).
+    its order), ``keys`` (the others in order, as bytes), ``prefix`` (those of them in the prefix) and :func:`sign` of them.
     """
     from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 
@@ -306,7 +316,7 @@ def ordered_sets(docs: DataFrame, shingle: int, percent: int, sizes: Sizes = Siz
     third = pa.schema(
         [
             *(first.field(c) for c in ("ids", "nodes", "sizes")), ("node", pa.int64()), ("n", pa.int32()),
-            ("alone", pa.int32()), ("keys", pa.binary()), ("prefix", pa.list_(pa.int64())),
+            ("alone", pa.int32()), ("keys", pa.binary()), ("prefix", pa.list_(pa.int64())), ("sign", pa.list_(pa.int64())),
         ]
     )
     asked = docs.select("doc_id", "text").mapInArrow(_asks(shingle, buckets, sizes, first), from_arrow_schema(first))
@@ -337,19 +347,27 @@ def _verifier(percent: int):
     return F.arrow_udf(rows, returnType="boolean")
 
 
+#: Of a text in a token: what a pair of them is judged by before it becomes a row.
+SIDE = ("node", "n", "pos", "alone", "sign")
+
+
 def _side(name: str) -> list[Column]:
-    return [F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "pos")]
+    return [F.col(c).alias(f"{name}_{c}") for c in SIDE]
 
 
 def _pairs(met: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (``a`` below ``b``) with the positions of the first shingle they share, within all bounds.
 
     ``met`` has two sides that share a shingle of both prefixes. The first one they share has their whole overlap at and
-    behind it, so a row where either side has too few shingles left is not the first of a pair that is alike.
+    behind it, so a row where either side has too few shingles left is not the first of a pair that is alike. Nor is one
+    whose sets differ in too many shingles: in all that only one text has, and at least in so many as the signs in bits.
     """
     small, large = F.least("u_n", "v_n"), F.greatest("u_n", "v_n")
     rest = F.least(F.col("u_n") - F.col("u_pos"), F.col("v_n") - F.col("v_pos"))
-    fits = (small * 100 >= large * percent) & (rest >= _needed("u_n", "v_n", percent))
+    needed = _needed("u_n", "v_n", percent)
+    bits = [F.bit_count(F.get("u_sign", F.lit(k)).bitwiseXOR(F.get("v_sign", F.lit(k)))) for k in range(SIGN_LONGS)]
+    differ = reduce(Column.__add__, bits, F.col("u_alone") + F.col("v_alone"))
+    fits = (small * 100 >= large * percent) & (rest >= needed) & (differ <= F.col("u_n") + F.col("v_n") - 2 * needed)
     low = F.col("u_node") < F.col("v_node")
     ordered = met.where(fits).select(
         F.least("u_node", "v_node").alias("a"), F.greatest("u_node", "v_node").alias("b"),
@@ -446,7 +464,7 @@ def _to_groups(told: DataFrame, joined: DataFrame | None, sets: DataFrame, perce
 def _stars(mixed: DataFrame, number: int) -> DataFrame:
     """Of every token all texts with one of them, another one in each round; a few tokens in a row share the choice."""
     lot = F.xxhash64("node", F.pmod("token", F.lit(HUBS)), F.lit(number))
-    hub = F.min_by(F.struct("node", "n", "pos", "group"), lot).alias("hub")
+    hub = F.min_by(F.struct(*SIDE, "group"), lot).alias("hub")
     hubs = mixed.groupBy("token").agg(hub).select("token", "hub.*")
     hubs = hubs.select("token", F.col("group").alias("v_group"), *_side("v"))
     own = mixed.select("token", F.col("group").alias("u_group"), *_side("u"))
@@ -456,8 +474,8 @@ def _stars(mixed: DataFrame, number: int) -> DataFrame:
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """(``id``, ``root``) of nodes that have links: the smallest node that they reach."""
     grams = materialize(
-        sets.select("node", "n", "alone", F.posexplode("prefix").alias("at", "token")).select(
-            "token", "node", "n", (F.col("alone") + F.col("at")).alias("pos")
+        sets.select("node", "n", "alone", "sign", F.posexplode("prefix").alias("at", "token")).select(
+            "token", "node", "n", (F.col("alone") + F.col("at")).alias("pos"), "alone", "sign"
         ),
         "grams",
     )
@@ -508,3 +526,15 @@ def similar_groups(
     return rows.join(placed, "node", "left").select(
         "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group (:func:`similar_groups`), with the columns of ``docs``: that with the smallest doc_id.
+
+    Texts without words are one group here. A null doc_id is the last choice, and of rows of a group that share the
+    doc_id the one stays whose text has the smallest hash. An empty table stays empty.
+    """
+    named = docs.select(F.struct(F.col(key).alias("doc_id"), text_hash(text).alias("id")).alias("__row"), F.col(text).alias("text"))
+    found = similar_groups(named, "__row", "text", shingle, percent)
+    root = F.when(F.col("n_shingles") > 0, F.col("component_id"))
+    return one_of_each(docs, found.select("doc_id.doc_id", "doc_id.id", root.alias("root")), key, text)

@@ -363,7 +363,7 @@ def verified_groups(
     these into the tiles, where each candidate is verified. So pairs never leave a tile unless they link.
     """
     columns = [f"fp{k}" for k in range(len(shingles))]
-    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    own = text_hash(text)
     found = [fingerprint(F.col(text), n).alias(c) for n, c in zip(shingles, columns, strict=True)]
     prints = materialize(docs.select(F.col(key).alias("doc_id"), own.alias("id"), *found), "fingerprints")
     distinct = materialize(prints.groupBy("id", *columns).agg(F.min("doc_id").alias("least")), "distinct-texts")
@@ -391,10 +391,20 @@ def keep_one(
     A null doc_id is the last choice. Of rows of a group that share the doc_id the one stays whose text has the
     smallest hash, and of rows that share both any one. An empty table stays empty.
     """
-    found = materialize(verified_groups(docs, shingles, radii, least, key, text), "groups")
+    return one_of_each(docs, verified_groups(docs, shingles, radii, least, key, text), key, text)
+
+
+def text_hash(text: str) -> Column:
+    """By which rows of equal texts are known; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def one_of_each(docs: DataFrame, grouped: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group, as :func:`keep_one` says. ``grouped``: doc_id, id (:func:`text_hash`) and root of every row of ``docs``."""
+    found = materialize(grouped.select("doc_id", "id", "root"), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "id")).alias("m")
     leaders = found.groupBy("root").agg(first).select(F.col("m.doc_id").alias("__keep"), F.col("m.id").alias("__id"))
-    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    own = text_hash(text)
     on = F.col(key).eqNullSafe(F.col("__keep")) & (own == F.col("__id"))
     kept = docs.join(leaders, on, "left_semi")
     same = found.groupBy("doc_id", "id").agg(F.count("*").alias("n")).where("n > 1").drop("n")
