@@ -3,8 +3,8 @@
 Two sets that are alike by 80 % share one of their rarest fifth. So each text's shingles are put into one global order,
 rarest first, and only texts that meet in a shingle of their prefixes are looked at again. Length and
 position in the order bound the overlap a pair can still have; pairs that stay are verified once, from the first
-shingle they share: their signs first (parities, which bound how far the sets differ), a suffix filter then (both rests are split at the same places, the overlap is no more than
-the smaller halves together), then the intersection.
+shingle they share: their signs first (parities, which bound how far the sets differ), a suffix filter then (both rests
+are split at the same places, the overlap is no more than the smaller halves together), and the intersection last.
 
 How the rarity is known without a row for every shingle:
 
